@@ -1,0 +1,28 @@
+"""Connected components by alternating large and small stars (Kiveris et al. 2014)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from allelespan.llm._common import staged
+
+
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """edges: (a, b), longs. node, root: each node that has an edge, and the smallest node that it can reach."""
+    edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    before = None
+    for _ in range(rounds):
+        # large star: every larger neighbour of u, and u, is tied to the smallest of u's neighbourhood
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # small star: u and its smaller neighbours are tied to the smallest of them
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        edges = staged(small, "edges")
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+        before = now
+    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from allelespan.llm.langid import op9_language_id
+from allelespan.llm.simhash import op6_simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_simhash": op6_simhash,
         "op9_language_id": op9_language_id,
     }
 

@@ -26,7 +26,7 @@ from allelespan.llm._common import table
 
 FEATURES = 8192
 #: Bound on the labelled rows that the model is fitted on: those with the smallest hashes.
-FIT_ROWS = 4000
+FIT_ROWS = 2000
 CENTROIDS = 4
 #: Characters that are held as arrays at once.
 BLOCK = 1 << 20

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from allelespan.llm.langid import op9_language_id
 from allelespan.llm.simhash import op6_simhash
+from allelespan.llm.url_filter import op3_url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_url_filter": op3_url_filter,
         "op6_simhash": op6_simhash,
         "op9_language_id": op9_language_id,
     }

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from allelespan.llm.langid import op9_language_id
+from allelespan.llm.licences import op10_license_scan
+from allelespan.llm.pieces import op7_merge_dropout
 from allelespan.llm.simhash import op6_simhash
 from allelespan.llm.url_filter import op3_url_filter
 
@@ -15,7 +17,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": op3_url_filter,
         "op6_simhash": op6_simhash,
+        "op7_merge_dropout": op7_merge_dropout,
         "op9_language_id": op9_language_id,
+        "op10_license_scan": op10_license_scan,
     }
 
 

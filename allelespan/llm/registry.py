@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from allelespan.llm.decontaminate import OP5_SQL, op5_decontaminate
 from allelespan.llm.langid import op9_language_id
 from allelespan.llm.licences import op10_license_scan
 from allelespan.llm.pieces import op7_merge_dropout
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
         "op3_url_filter": op3_url_filter,
+        "op5_decontaminate": op5_decontaminate,
         "op6_simhash": op6_simhash,
         "op7_merge_dropout": op7_merge_dropout,
         "op9_language_id": op9_language_id,
@@ -26,4 +28,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_decontaminate": OP5_SQL,
+    }

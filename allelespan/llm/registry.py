@@ -11,6 +11,7 @@ from allelespan.llm.langid import op9_language_id
 from allelespan.llm.licences import op10_license_scan
 from allelespan.llm.pieces import op7_merge_dropout
 from allelespan.llm.pii import op1_pii_surrogates
+from allelespan.llm.sharding import op4_histogram_sort
 from allelespan.llm.simhash import op6_simhash
 from allelespan.llm.url_filter import op3_url_filter
 
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
         "op3_url_filter": op3_url_filter,
+        "op4_histogram_sort": op4_histogram_sort,
         "op5_decontaminate": op5_decontaminate,
         "op6_simhash": op6_simhash,
         "op7_merge_dropout": op7_merge_dropout,

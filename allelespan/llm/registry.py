@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from allelespan.llm.decontaminate import OP5_SQL, op5_decontaminate
 from allelespan.llm.langid import op9_language_id
 from allelespan.llm.licences import op10_license_scan
+from allelespan.llm.nearest import op8_stable_projections
 from allelespan.llm.pieces import op7_merge_dropout
 from allelespan.llm.pii import op1_pii_surrogates
+from allelespan.llm.preference import OP2_SQL, op2_preference_format
 from allelespan.llm.sharding import op4_histogram_sort
 from allelespan.llm.simhash import op6_simhash
 from allelespan.llm.url_filter import op3_url_filter
@@ -19,11 +21,13 @@ from allelespan.llm.url_filter import op3_url_filter
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
+        "op2_preference_format": op2_preference_format,
         "op3_url_filter": op3_url_filter,
         "op4_histogram_sort": op4_histogram_sort,
         "op5_decontaminate": op5_decontaminate,
         "op6_simhash": op6_simhash,
         "op7_merge_dropout": op7_merge_dropout,
+        "op8_stable_projections": op8_stable_projections,
         "op9_language_id": op9_language_id,
         "op10_license_scan": op10_license_scan,
     }
@@ -31,5 +35,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_preference_format": OP2_SQL,
         "op5_decontaminate": OP5_SQL,
     }

@@ -43,3 +43,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows, stored with a row number `_row`, so that rows with equal or null ids are told apart."""
+    return staged(docs.drop("_row").withColumn("_row", F.monotonically_increasing_id()), name)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from allelespan.llm._common import WORD, ascii_lower, staged, table
+from allelespan.llm._common import WORD, ascii_lower, numbered, staged, table
 
 SIZE = 10
 RAREST = 3
@@ -115,6 +115,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    rows = numbered(docs, "decontaminate-rows")
+    hit = contaminated(rows, table(spark, sf_dir, "benchmark"), doc_id="_row").where("n_hit > 0").select(F.col("doc_id").alias("_row"))
+    return rows.join(staged(hit, "contaminated"), "_row", "left_anti").select(docs.columns)
+
+
 OP5_SQL = """
 WITH w AS (
   SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelespan.llm._common import ascii_lower, shuffle_partitions, staged, table
+from allelespan.llm._common import ascii_lower, numbered, shuffle_partitions, staged, table
 from allelespan.llm.components import components
 
 GROUPS = 5
@@ -188,3 +188,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays: the one with the smallest id, of equal ids the first row."""
+    rows = numbered(docs, "dedup-rows")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
+    got = staged(near_duplicates(rows.withColumn("_key", key), "_key"), "dedup-components")
+    late = got.where("doc_id <> component_id").select(F.col("doc_id._row").alias("_row"))
+    return rows.join(late, "_row", "left_anti").select(docs.columns)

@@ -5,20 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from allelespan.functions import seq
+from allelespan.plans import align_queries, interval_queries, kmer_queries, pair_queries
 
-
-def kmer_canonical_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(seq.bridge("text").alias("seq"))
-    kmers = seq.kmers(docs, "seq", 11)
-    return kmers.groupBy("kmer").agg(F.least(F.count("*"), F.lit(255)).alias("cnt"))
-
-
-QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
-    "kmer_canonical_count": (kmer_canonical_count, None),
-}
+QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = kmer_queries.QUERIES | interval_queries.QUERIES | pair_queries.QUERIES | align_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

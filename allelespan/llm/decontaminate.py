@@ -1,6 +1,7 @@
 """Benchmark decontamination through a positional inverted index of the training texts.
 
-Index: one row for each place of each training word that some test item has: row number, position, term. It is stored once
+Index: terms are pairs of neighbouring words (a next-word index; single words stand in long lists and cost four times the
+disk). One row for each place of each training pair that some test item has: row number, position, term. It is stored once
 (Parquet in the shared folder), with one row for each text that holds its id and number of words. Texts are read once.
 
 Search: test items become windows of `size` consecutive words. The lists of a window's rarest terms (by their number of
@@ -41,9 +42,12 @@ class Windows:
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (size - 1)))
         cut = words.select("item_id", "w", F.explode(starts).alias("s")).select("item_id", F.slice("w", F.col("s"), F.lit(size)).alias("w"))
         self.items = staged(cut.select(F.array_join("w", " ").alias("window"), "item_id").distinct(), "test-windows")
-        terms = self.items.select("window").distinct().select("window", F.posexplode(F.split("window", " ")).alias("offset", "term"))
-        self.terms = staged(terms, "test-terms")
+        words = self.items.select("window").distinct().select("window", F.split("window", " ").alias("w"))
+        pairs = F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
+        terms = F.when(F.size("w") > 1, F.filter(pairs, lambda p: p.isNotNull())).otherwise(F.col("w"))
+        self.terms = staged(words.select("window", F.size("w").alias("words"), F.size(terms).alias("terms"), F.posexplode(terms).alias("offset", "term")), "test-terms")
         self.small = self.terms.count() <= BOUND
+        self.single = not self.terms.where("words = 1").isEmpty()
 
     def joined(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.small else df
@@ -52,9 +56,15 @@ class Windows:
 def index(docs: DataFrame, doc_id: str, text: str, windows: Windows) -> tuple[DataFrame, DataFrame]:
     """Postings (row, pos, term) of the test terms, and the texts (row, doc_id, n_words)."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("w"))
-    # place 0 is the text itself, so that one pass stores both with the same row numbers
-    places = rows.select("row", "doc_id", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit("")), F.col("w"))).alias("pos", "term"))
-    known = windows.terms.select("term").union(docs.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
+    # place 0 is the text itself, so that one pass stores both with the same row numbers; its term is a pair of nothing
+    pairs = F.arrays_zip(F.concat(F.array(F.lit("")), F.col("w")).alias("a"), F.concat(F.array(F.lit("")), F.slice("w", 2, F.greatest(F.lit(1), F.size("w")))).alias("b"))
+    places = rows.select("row", "doc_id", F.size("w").alias("n_words"), F.posexplode(pairs).alias("pos", "p")).select("row", "doc_id", "n_words", "pos", "p.a", "p.b")
+    pair = F.concat("a", F.lit(" "), "b")
+    if windows.single:  # items of one word: its own list
+        places = places.select("row", "doc_id", "n_words", "pos", F.explode(F.array(pair, F.when(F.col("pos") > 0, F.col("a")))).alias("term"))
+    else:
+        places = places.select("row", "doc_id", "n_words", "pos", pair.alias("term"))
+    known = windows.terms.select("term").union(docs.sparkSession.range(1).select(F.lit(" ").alias("term"))).distinct()
     first = F.col("pos") == 0
     kept = places.join(windows.joined(known), "term").select("row", (F.col("pos") - 1).alias("pos"), "term", F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.col("n_words")).alias("n_words"))
     stored = staged(kept, "postings")
@@ -66,32 +76,32 @@ def _rarest(postings: DataFrame, windows: Windows, rarest: int) -> DataFrame:
     n = staged(postings.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
     counted = windows.terms.join(F.broadcast(n) if windows.small else n, "term", "left")
     own = Window.partitionBy("window")
-    counted = counted.withColumns({"place": F.row_number().over(own.orderBy(F.col("n").asc_nulls_first(), "offset")), "terms": F.count("*").over(own), "least": F.min(F.coalesce("n", F.lit(0))).over(own)})
-    return staged(counted.where("least > 0").select("window", "offset", "term", "terms", "place", F.least(F.lit(rarest), "terms").alias("asked")), "rarest-terms")
+    counted = counted.withColumns({"place": F.row_number().over(own.orderBy(F.col("n").asc_nulls_first(), "offset")), "least": F.min(F.coalesce("n", F.lit(0))).over(own)})
+    return staged(counted.where("least > 0").select("window", "offset", "term", "terms", "words", "place", F.least(F.lit(rarest), "terms").alias("asked")), "rarest-terms")
 
 
 def matches(postings: DataFrame, windows: Windows, rarest: int = RAREST) -> DataFrame:
-    """row, start, window, terms (words of the window): each exact place of each window."""
+    """row, start, window, words (of the window): each exact place of each window."""
     ranked = _rarest(postings, windows, rarest)
     asked, rest = ranked.where("place <= asked"), ranked.where("place > asked")
-    shifted = postings.join(windows.joined(asked), "term").select("row", "window", (F.col("pos") - F.col("offset")).alias("start"), "asked", "terms")
-    found = shifted.where("start >= 0").groupBy("row", "window", "start").agg(F.count("*").alias("n"), F.first("asked").alias("asked"), F.first("terms").alias("terms"))
-    found = staged(found.where("n = asked").select("row", "window", "start", "terms"), "candidates")
+    shifted = postings.join(windows.joined(asked), "term").select("row", "window", (F.col("pos") - F.col("offset")).alias("start"), "asked", "terms", "words")
+    found = shifted.where("start >= 0").groupBy("row", "window", "start").agg(F.count("*").alias("n"), F.first("asked").alias("asked"), F.first("terms").alias("terms"), F.first("words").alias("words"))
+    found = staged(found.where("n = asked").select("row", "window", "start", "terms", "words"), "candidates")
     # the other terms of the rows that have candidates must stand in their places
     wanted = found.where(F.col("terms") > rarest).join(windows.joined(rest.select("window", "offset", "term")), "window")
-    wanted = wanted.select("row", "window", "start", "terms", (F.col("start") + F.col("offset")).alias("pos"), "term")
+    wanted = wanted.select("row", "window", "start", "terms", "words", (F.col("start") + F.col("offset")).alias("pos"), "term")
     rows = staged(found.where(F.col("terms") > rarest).select("row").distinct(), "candidate-rows")
     there = wanted.join(postings.join(rows, "row", "left_semi"), ["row", "pos", "term"])
-    exact = there.groupBy("row", "window", "start", "terms").agg(F.count("*").alias("n")).where(F.col("n") == F.col("terms") - rarest)
-    return found.where(F.col("terms") <= rarest).union(exact.select("row", "window", "start", "terms"))
+    exact = there.groupBy("row", "window", "start", "terms", "words").agg(F.count("*").alias("n")).where(F.col("n") == F.col("terms") - rarest)
+    return found.where(F.col("terms") <= rarest).select("row", "window", "start", "words").union(exact.select("row", "window", "start", "words"))
 
 
-def proximity(postings: DataFrame, windows: Windows, slop: int, rarest: int = RAREST) -> DataFrame:
-    """row, window, start: places where the window's rarest terms all stand within `slop` words of where a phrase that
-    starts there has them. Of starts less than slop apart the smallest is kept, so a hot term gives no pairs."""
+def proximity(postings: DataFrame, windows: Windows, slop: int, missing: int = 1, rarest: int = RAREST) -> DataFrame:
+    """row, window, start: places where the window's rarest terms, all but `missing` of them, stand within `slop` words of where
+    a phrase that starts there has them. Of a run of such starts the first is kept."""
     asked = _rarest(postings, windows, rarest).where("place <= asked")
     near = postings.join(windows.joined(asked), "term").select("row", "window", "offset", "asked", F.explode(F.sequence(F.col("pos") - F.col("offset") - slop, F.col("pos") - F.col("offset") + slop)).alias("start"))
-    found = near.where("start >= 0").groupBy("row", "window", "start").agg(F.size(F.collect_set("offset")).alias("n"), F.first("asked").alias("asked")).where("n = asked")
+    found = near.where("start >= 0").groupBy("row", "window", "start").agg(F.size(F.collect_set("offset")).alias("n"), F.first("asked").alias("asked")).where(F.col("n") >= F.greatest(F.lit(1), F.col("asked") - missing))
     before = F.lag("start").over(Window.partitionBy("row", "window").orderBy("start"))
     return found.withColumn("_b", before).where("_b IS NULL OR start - _b > 1").select("row", "window", "start")
 
@@ -101,7 +111,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     windows = Windows(items, item_id, item_text, size)
     postings, texts = index(docs, doc_id, text, windows)
     found = staged(matches(postings, windows), "matches")
-    spans = found.groupBy("row", "start").agg(F.max("terms").alias("terms")).select("row", "start", (F.col("start") + F.col("terms")).alias("stop"))
+    spans = found.groupBy("row", "start").agg(F.max("words").alias("words")).select("row", "start", (F.col("start") + F.col("words")).alias("stop"))
     before = F.max("stop").over(Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.greatest(F.lit(0), F.col("stop") - F.greatest("start", F.coalesce("before", F.lit(0))))
     hits = spans.withColumn("before", before).groupBy("row").agg(F.sum(fresh).alias("n_hit"))

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +44,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _seeded(seed: int) -> np.uint64:
+    return np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64))
+
+
 class Pieces:
     """Vocabulary as arrays; small enough to be sent to the executors, which need no model file."""
 
@@ -99,7 +102,7 @@ def _skipped(salt: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: floa
 
 def _salts(code: np.ndarray, size: np.ndarray, variant: np.ndarray, seed: int) -> np.ndarray:
     """A keyed hash of each row's chunk and variant."""
-    h = _mix(variant.astype(np.uint64) + np.uint64(seed % (1 << 64)) * np.uint64(0x9E3779B97F4A7C15))
+    h = _mix(variant.astype(np.uint64) + _seeded(seed))
     for j in range(code.shape[1]):
         h = np.where(j < size, _mix(h ^ code[:, j].astype(np.uint64)) + np.uint64(0x9E3779B97F4A7C15), h)
     return h
@@ -200,7 +203,7 @@ def segment(p: Pieces, chunks: list[str], variant: np.ndarray, seed: int, dropou
             parts[(width, i)] = own[i], _expanded(p, [(s, a) for s, a in zip(symbols[i].tolist(), starts[i].tolist()) if s != -2], chunks[own[i]])
     for i in np.flatnonzero(size > LONG):
         code = np.frombuffer(chunks[i].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        h = _mix(variant[i : i + 1].astype(np.uint64) + np.uint64(seed % (1 << 64)) * np.uint64(0x9E3779B97F4A7C15))
+        h = _mix(variant[i : i + 1].astype(np.uint64) + _seeded(seed))
         h = _mix(h ^ np.bitwise_xor.reduce(_mix(code.astype(np.uint64) << np.uint64(32) | np.arange(len(code), dtype=np.uint64))))
         parts[("long", i)] = i, _expanded(p, _one(p, chunks[i], h[0], dropout), chunks[i])
     for key, (own, ids) in parts.items():
@@ -233,12 +236,14 @@ def encode(p: Pieces, texts: list[str], keys: np.ndarray, seed: int = 0, dropout
             chunks += CHUNK.findall(" " + t)
         ends.append(len(chunks))
     size = np.diff(np.concatenate(([0], ends)))
-    code, distinct = pd.factorize(np.array(chunks, dtype=object)) if chunks else (np.zeros(0, np.int64), [])
+    number: dict[str, int] = {}  # pandas.factorize() takes strings up to a zero character
+    code = np.fromiter((number.setdefault(c, len(number)) for c in chunks), dtype=np.int64, count=len(chunks))
+    distinct = list(number)
     place = np.arange(len(chunks)) - np.repeat(np.concatenate(([0], ends[:-1])) if ends else np.zeros(0, int), size)
     key = _mix(keys.astype(np.int64).view(np.uint64) + np.uint64(seed % (1 << 64)))
     variant = (_mix(np.repeat(key, size) ^ place.astype(np.uint64)) % np.uint64(variants)).astype(np.int64) if dropout > 0 else np.zeros(len(chunks), np.int64)
     both, inverse = np.unique(code * variants + variant, return_inverse=True)
-    words = np.asarray(distinct, dtype=object)[both // variants].tolist() if chunks else []
+    words = [distinct[i] for i in (both // variants).tolist()]
     count, ids = segment(p, words, both % variants, seed, dropout)
     off = np.cumsum(count) - count
     n = count[inverse]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allelespan.sources.staging import shared_dir, staged
+
+__all__ = ["UPPER", "LOWER", "WORD", "table", "ascii_lower", "shuffle_partitions", "numbered", "shared_dir", "staged"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words of the contracts of operators 5 and 10: letters, digits and all that is not ASCII.
@@ -23,24 +24,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests, one machine)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if found is None:
-        found = getattr(spark, "_allelespan_dir", None)
-        if found is None:
-            found = spark._allelespan_dir = tempfile.mkdtemp(prefix="allelespan-")
-    return found
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read back: computed once, lineage cut, safe if executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,6 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables that this driver has staged.
+_written: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes all that was staged so far; for when the results that read it have been written. Returns the number of tables."""
+    n = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests, one machine)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -22,6 +35,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read back: computed once, lineage cut, safe if executors are lost."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -48,8 +48,8 @@ def first_overlap_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unmapped_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = intervals(spark, sf_dir)
-    return annotate.unmapped(rows.where("kind = 'view'").select("chrom").distinct(), rows.where("kind = 'purchase'").select("chrom"), "chrom")
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return annotate.unmapped(docs.select("doc_id", "source"), labels, "doc_id")
 
 
 def edge_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +112,7 @@ QUERIES = {
     "interval_overlap_genes": (interval_overlap_genes, I_CTE + """ SELECT a.id, coalesce(string_agg(DISTINCT b.kind, ',' ORDER BY b.kind), '') AS genes FROM e a LEFT JOIN e b ON a.chrom = b.chrom AND b.kind IN ('click', 'purchase') AND a.start <= b."end" AND b.start <= a."end" WHERE a.kind = 'view' GROUP BY a.id"""),
     "error_region_anti": (error_region_anti, I_CTE + """ SELECT id, start, "end" FROM e a WHERE kind <> 'error' AND NOT EXISTS (SELECT 1 FROM e b WHERE b.kind = 'error' AND a.chrom = b.chrom AND a.start <= b."end" AND b.start <= a."end")"""),
     "first_overlap_lift": (first_overlap_lift, I_CTE + """ SELECT a.id, min(b.id) AS lift, CASE WHEN min(b.id) IS NULL THEN 'Novel(unmap)' ELSE 'Mapped' END AS tag FROM e a LEFT JOIN e b ON b.kind = 'view' AND a.chrom = b.chrom AND a.start < b."end" AND b.start < a."end" WHERE a.kind = 'click' GROUP BY a.id"""),
-    "unmapped_anti": (unmapped_anti, I_CTE + " SELECT DISTINCT chrom FROM e WHERE kind = 'view' AND chrom NOT IN (SELECT chrom FROM e WHERE kind = 'purchase')"),
+    "unmapped_anti": (unmapped_anti, "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"),
     "edge_filter": (
         edge_filter,
         I_CTE

@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,12 +150,14 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     df = df.drop(*added)
     schema = T.StructType([*df.schema.fields, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType()), T.StructField(added[2], T.BooleanType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            lang, score, rejected = model.predict(pdf[text].tolist())
-            yield pdf.assign(lang_pred=lang, lang_score=score, lang_rejected=rejected)
+    names, at = [f.name for f in schema], df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # Arrow, not pandas: other columns pass as they are, with their nulls and whole numbers
+            lang, score, rejected = model.predict(batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names=names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def held_out(doc_id: str = "doc_id"):

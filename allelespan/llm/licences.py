@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from allelespan.llm._common import table
@@ -163,10 +163,12 @@ def scan(df: DataFrame, key: str, text: str, automaton: Automaton | None = None)
     found = automaton or Automaton(TEMPLATES, PHRASES)
     kind = df.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for t in pdf["t"]:
+            for t in batch.column(1).to_pylist():
                 code = found.coded((t or "").encode("utf-8", "surrogatepass"))
                 base, at = set(), [np.zeros(0, np.int64)]
                 for label, where in found.places(code):
@@ -177,11 +179,10 @@ def scan(df: DataFrame, key: str, text: str, automaton: Automaton | None = None)
                 labels, score = found.scan(code)
                 first, last = (int(where.min()), int(where.max())) if len(where) else (None, None)
                 rows.append((len(code), len(where), first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), score))
-            out = pd.DataFrame(rows, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
-            out.insert(0, key, pdf[key].to_numpy())
-            yield out.astype({"first_word": "Int64", "last_word": "Int64"})
+            cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=[key, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
-    return df.selectExpr(f"`{key}`", f"`{text}` AS t").mapInPandas(run, f"`{key}` {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return df.selectExpr(f"`{key}`", f"`{text}` AS t").mapInArrow(run, f"`{key}` {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 A text becomes counts of its letter bigrams and trigrams, hashed into a fixed number of features, weighted by
 1 + log(count) and inverse document frequency, and scaled to length one. Each language has several centroids, found by
 spherical k-means. A text gets the language of the centroid with the largest cosine; it is rejected if that centroid is
-farther than its language's rejection distance.
+farther than its language's rejection distance, which is widened for texts of few n-grams.
 
 Edge cases: null text, empty text and text without any letter are `und` with score 0 and rejected. Very long texts are
 read in blocks, whole. Repeated rows get equal answers. Ties go to the language that sorts first. An empty training
@@ -33,6 +33,8 @@ CENTROIDS = 4
 BLOCK = 1 << 20
 #: Rejected: cosine under this share of the smallest cosine (lowest thousandth) of the language's training texts with their centroids.
 REJECT_SHARE = 0.5
+#: A text of fewer n-grams says less about its distance: its limit shrinks in proportion.
+EVIDENCE = 100
 
 
 @lru_cache(1)
@@ -101,10 +103,11 @@ class Model:
         for a in range(0, len(texts) if self.langs else 0, 64):
             counts, has = _counts(texts[a : a + 64])
             cos = _weighted(counts, self.idf) @ self.centroids.T
+            sure = np.minimum(1.0, counts.sum(axis=1) / EVIDENCE)
             best = cos.argmax(axis=1)
             for i in np.flatnonzero(has):
                 j = best[i]
-                lang[a + i], score[a + i], rejected[a + i] = self.langs[j], min(1.0, max(0.0, float(cos[i, j]))), cos[i, j] < self.least[j]
+                lang[a + i], score[a + i], rejected[a + i] = self.langs[j], min(1.0, max(0.0, float(cos[i, j]))), cos[i, j] < self.least[j] * sure[i]
         return lang, score, rejected
 
 

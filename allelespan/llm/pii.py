@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,7 @@ _KINDS = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w@])"),
     ("access_key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("token", r"(?<=(?i:token = \"))[0-9A-Fa-f]{40}(?=\")"),
-    ("password", r"(?<=(?i:password=))[^\s\"'#$%&*|!,;]{5,}[^\s\"'#$%&*|!,;.]"),
+    ("password", r"(?<=(?:password|PASSWORD|Password)=)[^\s\"'#$%&*|!,;]{5,}[^\s\"'#$%&*|!,;.]"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"),
     ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"),
     ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"),
@@ -59,8 +59,14 @@ _KINDS = [
     ("name", rf"(?<!\w)(?:{'|'.join(ADDRESS)})\.? {_NAME}(?: {_NAME}){{0,2}}"),
 ]
 FIND = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(_KINDS)))
-#: Cheap test on the JVM: without any of these there is no entity.
-MAYBE = rf"[0-9@]|(?i:akia|password=)|(?:{'|'.join(ADDRESS)})\.? \p{{Lu}}"
+
+
+def maybe(text: Column) -> Column:
+    """Cheap test on the JVM: a text for which it is false has no entity. The first part decides most; null for null."""
+    found = text.rlike("[0-9@]")
+    for mark in ("AKIA", "password=", "PASSWORD=", "Password=", *(f"{a}{dot} " for a in ADDRESS for dot in ("", "."))):
+        found = found | text.contains(mark)
+    return found
 
 
 def luhn(digits: str) -> int:
@@ -196,7 +202,7 @@ def entities(df: DataFrame, text: str) -> DataFrame:
             found = {(kind, canon) for t in pdf["t"] for _, _, kind, canon in find(t)}
             yield pd.DataFrame(list(found), columns=["kind", "canon"])
 
-    return df.select(F.col(text).alias("t")).where(F.col("t").rlike(MAYBE)).mapInPandas(run, "kind string, canon string").distinct()
+    return df.select(F.col(text).alias("t")).where(maybe(F.col("t"))).mapInPandas(run, "kind string, canon string").distinct()
 
 
 def exceptions(found: DataFrame, key: str = KEY, most: int = 64) -> DataFrame:
@@ -233,12 +239,11 @@ def replaced(df: DataFrame, text: str = "text", key: str = KEY, bound: int = EXC
 
         @F.pandas_udf(out)
         def rewritten(texts: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([rewrite(t, attempts.value, key) for t in texts], columns=["text", "n"])
+            return pd.DataFrame([(None, 0) if t is None else rewrite(t, attempts.value, key) for t in texts], columns=["text", "n"])
 
-        maybe = F.col(text).rlike(MAYBE)
-        clean = df.where(F.coalesce(~maybe, F.lit(True))).withColumn("n_entities", F.lit(0).cast("long"))
-        hit = df.where(maybe).withColumn("_r", rewritten(text)).withColumns({text: F.col("_r.text"), "n_entities": F.col("_r.n")}).drop("_r")
-        return clean.unionByName(hit)
+        # only texts that may have entities go to Python; all come from one scan
+        got = df.withColumn("_r", rewritten(F.when(maybe(F.col(text)), F.col(text))))
+        return got.withColumns({text: F.coalesce("_r.text", text), "n_entities": F.coalesce("_r.n", F.lit(0).cast("long"))}).drop("_r")
 
     @F.pandas_udf("array<struct<kind:string,canon:string>>")
     def mentioned(texts: pd.Series) -> pd.Series:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import seq as S
 from allelespan.operators import kmer as K
-from allelespan.sources.staging import spread
+from allelespan.sources.staging import spread, staged
 
 LEN = 31
 
@@ -59,7 +59,8 @@ def kmer_exclude_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_kmers(spark, sf_dir, "source", "lang").withColumnRenamed("source", "haplo")
     n, g = F.count("*"), F.count_if(F.col("lang") == "en")
-    both = rows.groupBy("haplo", "kmer").agg(n.alias("n"), g.alias("g"))  # gene loci are part of the assembly: counted in one pass
+    # gene loci are part of the assembly: both are counted in one pass, which is stored as it is read several times
+    both = staged(rows.groupBy("haplo", "kmer").agg(n.alias("n"), g.alias("g")), "haplotype-kmers")
     gene = both.where("g > 0").select("haplo", "kmer", F.least("g", F.lit(255)).alias("cnt"))
     return K.exclusive(gene, both.select("haplo", "kmer", F.least("n", F.lit(255)).alias("cnt")))
 

@@ -19,14 +19,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from allelespan.llm._common import table
 
 FEATURES = 8192
-#: Bound on the labelled rows that the model is fitted on: those with the smallest hashes.
+#: Bound on the labelled rows that the model is fitted on: of each language in turn the distinct texts with the smallest hashes.
 FIT_ROWS = 2000
 CENTROIDS = 4
 #: Characters that are held as arrays at once.
@@ -115,17 +115,24 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", fit_rows: i
     """labelled: text and language; rows with a null in either are not used. Counts of at most fit_rows rows, in at most
     FEATURES numbers each, come to the driver; no text does."""
     rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t IS NOT NULL AND l IS NOT NULL").withColumn("h", F.xxhash64("t", "l"))
-    last = rows.select("h").orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))  # at most fit_rows of a language leave a task
+    chosen = rows.select("l", "h").distinct().withColumn("place", place).where(F.col("place") <= fit_rows).orderBy("place", "l").limit(fit_rows).select("h").collect()
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()  # copies count once; no more than fit_rows hashes come here
         for pdf in batches:
+            pdf = pdf[~pdf["h"].duplicated() & ~pdf["h"].isin(seen)]
+            seen.update(pdf["h"].tolist())
             for a in range(0, len(pdf), 64):
                 part = pdf.iloc[a : a + 64]
                 counts, has = _counts(part["t"].tolist())
                 at = [np.flatnonzero(c) for c in counts]
-                yield pd.DataFrame({"l": part["l"].tolist(), "f": at, "n": [c[i] for c, i in zip(counts, at)]})[has]
+                yield pd.DataFrame({"h": part["h"].tolist(), "l": part["l"].tolist(), "f": at, "n": [c[i] for c, i in zip(counts, at)]})[has]
 
-    got = [] if last is None else rows.where(F.col("h") <= F.lit(last)).mapInPandas(features, "l string, f array<int>, n array<float>").limit(fit_rows).collect()
+    got = []
+    if chosen:
+        asked = F.broadcast(labelled.sparkSession.createDataFrame([(r.h,) for r in chosen], "h long"))
+        got = rows.join(asked, "h", "left_semi").select("h", "l", "t").mapInPandas(features, "h long, l string, f array<int>, n array<float>").dropDuplicates(["h"]).drop("h").collect()
     if not got:
         return Model([], np.zeros((0, FEATURES), np.float32), np.zeros(0), np.zeros(FEATURES, np.float32))
     got.sort(key=lambda r: (r["l"], r["f"], r["n"]))

@@ -33,3 +33,14 @@ def test_strange_text_is_rejected(spark, sf_dir):
     model = langid.trained(docs)
     _, _, rejected = model.predict(["зжщ юяэ ъыь ёйц " * 20, "qxzj kvwq xqzv " * 20])
     assert rejected.all()
+
+
+def test_copies_and_rare_languages_in_the_fit(spark):
+    """A third of all rows are one text, and one language has three rows: the fit holds each distinct text once."""
+    rows = [("copied words here", "en")] * 300 + [(f"the thing number {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(500)] + [(t, "de") for t in ("und nicht", "der hund", "die katze")]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    model = langid.fit(df, fit_rows=20, centroids=2)
+    assert set(model.langs) == {"de", "en"}
+    assert model.predict(["die katze und der hund"])[0] == ["de"]
+    again = langid.fit(df.repartition(3), fit_rows=20, centroids=2)
+    assert (again.centroids == model.centroids).all() and (again.idf == model.idf).all()

@@ -88,8 +88,13 @@ def find(text: str) -> Iterator[tuple[int, int, str, str]]:
             canon = re.sub(r"\D", "", found)
             if kind == "card" and luhn(canon):
                 continue
-            if kind == "phone" and not 8 <= len(canon) <= 15 and not (len(canon) == 7 + 3):
-                continue
+            if kind == "phone":
+                if not 8 <= len(canon) <= 15:
+                    continue
+                if canon[0] == "1" and len(canon) == 11:  # a ten-digit number is the same with its country code
+                    canon = canon[1:]
+                elif found[0] == "+":
+                    canon = "+" + canon
         elif kind == "ip":
             canon = ".".join(str(int(x)) for x in found.split("."))
         elif kind == "name":
@@ -151,9 +156,10 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
         body = canon[0] + _like(s, canon[1:-1])
         return body + str((10 - luhn(body + "0")) % 10)
     if kind == "phone":
-        if len(canon) in (10, 11) and (len(canon) == 10 or canon[0] == "1"):
-            return canon[:-10] + "".join(str(2 + s.below(8)) + _like(s, "00") for _ in range(2)) + _like(s, "0000")
-        return canon[:2] + _like(s, canon[2:])
+        if len(canon) == 10 and canon[0] != "+":
+            return "".join(str(2 + s.below(8)) + _like(s, "00") for _ in range(2)) + _like(s, "0000")
+        kept = 2 + (canon[0] == "+")
+        return canon[:kept] + _like(s, canon[kept:])
     if kind == "ip":
         return ".".join(str((1 + s.below(223)) if i == 0 else s.below(256)) for i in range(4))
     if kind == "access_key":
@@ -177,7 +183,9 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
 def rendered(kind: str, found: str, made: str) -> str:
     """The surrogate in the format of the mention."""
     if kind in ("phone", "card"):
-        digits = iter(made)
+        made = made.lstrip("+")
+        own = re.sub(r"\D", "", found)
+        digits = iter(own[: len(own) - len(made)] + made)
         return re.sub(r"\d", lambda _: next(digits), found)
     if kind == "name":
         return made.partition("|")[2]

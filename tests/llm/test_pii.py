@@ -23,6 +23,14 @@ def test_types_formats_and_coreference():
     assert pii.rewrite(TEXT, {})[0] == out and pii.rewrite(TEXT, {}, "other")[0] != out
 
 
+def test_country_codes():
+    """A number is the same with and without the code of its country; other countries keep theirs."""
+    out, n = pii.rewrite("(212) 555-1234, +1 212 555 1234, 212-555-1234, +49 212 555 1234", {})
+    a, b, c, d = out.split(", ")
+    assert n == 4 and "1234" not in out and a.replace("(", "").replace(") ", "-") == c
+    assert b == "+1 " + c.replace("-", " ") and d.startswith("+49 ") and d[4:].replace(" ", "-") != c
+
+
 def test_edges_and_both_paths(spark):
     rows = [(1, None), (2, ""), (3, "clean text, nothing 12 here"), (4, TEXT), (4, TEXT), (None, TEXT), (5, "x " * 100_000 + "a@b.co")]
     df = spark.createDataFrame([(*r, 9, "k") for r in rows], "doc_id long, text string, n_entities int, kind string")

@@ -2,36 +2,42 @@
 
 Largest inner product becomes nearest neighbour by one more coordinate, sqrt(max norm^2 - norm^2), which is 0 for queries.
 Vectors are projected on DIMENSIONS Gaussian directions (2-stable), so a projected squared distance is the true one times a
-chi-square variable. Each block of vectors is indexed by a kd-tree of its projections; a query takes leaves in the order of
-their distance in the projected space, verifies their vectors on the true measure, and stops when the next leaf is farther
-than sqrt(chi2inv(SURE) * d_k^2), d_k being the distance of its k-th best: a vector that is nearer than that best is then
-missed with probability 1 - SURE at most. Every row is indexed; nothing is fitted.
+chi-square variable. A kd-tree of the projections holds them: its upper levels cut the rows into cells, its lower ones the
+rows of a task into leaves. A query takes cells and leaves by their distance in the projected space, verifies their vectors
+on the true measure, and stops when all others are farther than sqrt(chi2inv(SURE) * d_k^2), d_k being the distance of its
+k-th best: a vector that is nearer than that best is then missed with probability 1 - SURE at most.
 
-Rows and queries are dealt into blocks by hash, and each block of rows meets each block of queries in one task, of bounded
-size. Equal vectors of a block are held once. Scores of what is returned are computed again in double precision in a fixed
-order, so equal vectors have equal scores; ties go to the smaller id.
+The upper levels are fitted on at most FIT_ROWS rows; every row is indexed, and each cell's box and number of rows are exact.
+There are two rounds: a query meets the rows of its nearest cell, which gives d_k, then those of every cell whose box is near
+enough, so rows and queries are not all sent to each other. A cell of over `block` rows, such as a hot group of equal
+vectors, is dealt into parts of that size, and so are the queries of a cell; each task is of bounded size. The driver holds
+one box a cell, at most FIT_ROWS / LEAST. Equal vectors of a task are held once. Scores of what is returned are computed
+again in double precision in a fixed order, so equal vectors have equal scores; ties go to the smaller id.
 
 Edge cases: rows with a null id, null or zero vectors, null or non-finite components, or another length than most rows
-have, take no part. Rows that share the query's id are not its candidates. Fewer candidates than k: all of them. Empty
-tables give no rows. Extra columns are not read.
+have, take no part. Rows that share the query's id are not its candidates. Equal queries count once. Fewer candidates than
+k: all of them. Empty tables give no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from math import ceil, exp
+from collections.abc import Iterator
+from math import ceil, exp, log2
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from allelespan.llm._common import table
+from allelespan.llm._common import staged, table
 
 DIMENSIONS = 8
 SURE = 0.97
 BLOCK, QUERIES, LEAF = 8192, 8192, 256
 SPARE = 12
 SEED = 20141
+#: Bound on the rows that the upper levels are fitted on, and how many of them a cell has.
+FIT_ROWS, LEAST = 32768, 16
 
 
 def chi_square_inverse(p: float, m: int) -> float:
@@ -61,18 +67,60 @@ def _leaves(x: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
     return out
 
 
-def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, norm2: float, sure: float = SURE) -> pd.DataFrame:
-    """The k best of x for each query: query_id, vec_id, score. norm2: largest squared norm of all vectors."""
+def _axes(d: int) -> np.ndarray:
+    return np.random.default_rng(SEED).standard_normal((d + 1, DIMENSIONS))
+
+
+def projected(x: np.ndarray, norm2: float) -> np.ndarray:
+    """Low-dimensional places of candidates; those of queries lack the last coordinate."""
+    axes = _axes(x.shape[1])
+    more = np.sqrt(np.maximum(0, norm2 - np.einsum("ij,ij->i", x, x)))
+    return x @ axes[:-1] + more[:, None] * axes[-1]
+
+
+class Cells:
+    """Upper levels of the kd-tree: a complete tree of median cuts of the widest side."""
+
+    def __init__(self, sample: np.ndarray, levels: int):
+        self.levels, n = levels, (1 << levels) - 1
+        self.side, self.cut = np.zeros(n, dtype=np.int64), np.zeros(n)
+        held = [sample]
+        for node in range(n):
+            x = held[node]
+            if len(x):
+                self.side[node] = np.argmax(np.ptp(x, axis=0))
+                self.cut[node] = np.median(x[:, self.side[node]])
+            right = x[:, self.side[node]] > self.cut[node]
+            held += [x[~right], x[right]]
+            held[node] = x[:0]
+
+    def of(self, low: np.ndarray) -> np.ndarray:
+        node, rows = np.zeros(len(low), dtype=np.int64), np.arange(len(low))
+        for _ in range(self.levels):
+            node = 2 * node + 1 + (low[rows, self.side[node]] > self.cut[node])
+        return (node - len(self.cut)).astype(np.int32)
+
+
+def _gaps(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distance of each place from each box."""
+    out = np.zeros((len(p), len(a)))
+    for i in range(p.shape[1]):
+        out += np.maximum(0, np.maximum(a[None, :, i] - p[:, None, i], p[:, None, i] - b[None, :, i])) ** 2
+    return out
+
+
+def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, norm2: float, sure: float = SURE, rows_of: np.ndarray | None = None, known: np.ndarray | None = None) -> pd.DataFrame:
+    """The k best of x for each query: query_id, q, vec_id, score. norm2: largest squared norm of all vectors. rows_of: a
+    number for each query, returned as q. known: k-th best score that each query has already (-inf for none)."""
+    rows_of = np.arange(len(q)) if rows_of is None else rows_of
+    known = np.full(len(q), -np.inf) if known is None else known
     order = np.lexsort((ids,))
     ids, x = ids[order], np.ascontiguousarray(x[order])
     _, first, inverse = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_index=True, return_inverse=True)
     distinct = x[first]
     by = np.argsort(inverse, kind="stable")  # rows of each distinct vector, smaller ids first
     begin = np.concatenate(([0], np.cumsum(np.bincount(inverse))))
-    rng = np.random.default_rng(SEED)
-    axes = rng.standard_normal((x.shape[1] + 1, DIMENSIONS))
-    more = np.sqrt(np.maximum(0, norm2 - np.einsum("ij,ij->i", distinct, distinct)))
-    low = distinct @ axes[:-1] + more[:, None] * axes[-1]
+    axes, low = _axes(x.shape[1]), projected(distinct, norm2)
     leaves = _leaves(low)
     a, b = (np.array([f(low[at], axis=0) for at in leaves]) for f in (np.min, np.max))
     kk, stretch = min(len(distinct), k + SPARE), chi_square_inverse(sure, DIMENSIONS)
@@ -80,15 +128,15 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
     for s in range(0, len(q), 512):
         part = q[s : s + 512]
         p = part @ axes[:-1]
-        gap = np.maximum(0, np.maximum(a[None] - p[:, None], p[:, None] - b[None]))
-        gap = np.einsum("qld,qld->ql", gap, gap)
+        gap = _gaps(p, a, b)
         turn = np.argsort(gap, axis=1, kind="stable")
         own2 = np.einsum("ij,ij->i", part, part)
         top, at = np.full((len(part), kk), -np.inf), np.zeros((len(part), kk), dtype=np.int64)
         live = np.arange(len(part))
         for r in range(len(leaves)):
             leaf = turn[live, r]
-            kth = np.sort(top[live], axis=1)[:, -min(kk, k)]
+            # one more than k, as the query's own vector may be among them
+            kth = np.maximum(np.sort(top[live], axis=1)[:, -min(kk, k + 1)], known[s + live])
             # d_k^2 = norm2 + |q|^2 - 2 * k-th inner product; infinite while fewer than k are verified
             far = gap[live, leaf] > stretch * (norm2 + own2[live] - 2 * kth)
             live, leaf = live[~far], leaf[~far]
@@ -109,41 +157,109 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
             other = names != query_ids[s + i]
             names, score = names[other], score[other]
             best = np.lexsort((names, -score))[:k]
-            rows.append((np.full(len(best), query_ids[s + i]), names[best], score[best]))
-    cols = [np.concatenate(c) for c in zip(*rows)] if rows else [[], [], []]
-    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
+            rows.append((np.full(len(best), query_ids[s + i]), np.full(len(best), rows_of[s + i]), names[best], score[best]))
+    cols = [np.concatenate(c) for c in zip(*rows)] if rows else [[], [], [], []]
+    return pd.DataFrame(dict(zip(("query_id", "q", "vec_id", "score"), cols)))
+
+
+def _stacked(e: pd.Series) -> np.ndarray:
+    return np.stack(e).astype(np.float64)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", embedding: str = "embedding", sure: float = SURE, block: int = BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", embedding: str = "embedding", sure: float = SURE, block: int = BLOCK, fit_rows: int = FIT_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score. queries: rows of the same shape as vectors."""
+    spark = vectors.sparkSession
 
     def usable(df: DataFrame) -> DataFrame:
         e = F.col("e")
         finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        df = df.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("e"))
+        kind = df.schema[embedding].dataType.simpleString()
+        kept = F.col(embedding) if kind in ("array<float>", "array<double>") else F.col(embedding).cast("array<double>")
+        df = df.select(F.col(vec_id).cast("long").alias("id"), kept.alias("e"))
         return df.where(F.col("id").isNotNull() & e.isNotNull() & finite & F.exists(e, lambda x: x != 0))
 
     rows, asked = usable(vectors), usable(queries)
-    norm = F.aggregate("e", F.lit(0.0), lambda s, x: s + x * x)
+    norm = F.aggregate("e", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     sizes = rows.groupBy(F.size("e").alias("d")).agg(F.count("*").alias("n"), F.max(norm).alias("norm2")).orderBy(F.desc("n"), "d").limit(1).collect()
-    schema = "query_id long, vec_id long, score double"
     if not sizes:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d, norm2 = sizes[0].d, sizes[0].norm2
-    rows, asked = rows.where(F.size("e") == d), asked.where(F.size("e") == d)
-    nb, nq = ceil(sizes[0].n / block), max(1, ceil(asked.count() / QUERIES))
-    span = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")).withColumn("c", span(nq))
-    asking = asked.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn("b", span(nb))
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    d, n, norm2 = sizes[0].d, sizes[0].n, sizes[0].norm2
+    rows, asked = rows.where(F.size("e") == d), asked.where(F.size("e") == d).distinct()
+    kind = rows.schema["e"].dataType.simpleString()
+
+    def low_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({"low": list(projected(_stacked(pdf["e"]), norm2))})
+
+    levels = max(0, min(ceil(log2(n / block)), int(log2(fit_rows / LEAST))))
+    sample = np.zeros((0, DIMENSIONS))
+    if levels:
+        share = rows.where(F.pmod(F.xxhash64("id", "e"), F.lit(ceil(n / fit_rows))) == 0).select("e").limit(fit_rows)
+        sample = np.array([r.low for r in share.mapInPandas(low_of, "low array<double>").collect()]).reshape(-1, DIMENSIONS)
+    cells = Cells(sample, levels)
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                low = projected(_stacked(pdf["e"]), norm2)
+                yield pdf.assign(cell=cells.of(low), low=list(low))
+
+    indexed = rows.mapInPandas(placed, f"id long, e {kind}, cell int, low array<double>")
+    indexed = staged(indexed.withColumn("r", F.monotonically_increasing_id()), "srs-rows")
+    ends = [f(F.get("low", F.lit(i))).alias(f"{name}{i}") for i in range(DIMENSIONS) for name, f in (("a", F.min), ("b", F.max))]
+    boxes = sorted(indexed.groupBy("cell").agg(F.count("*").alias("n"), *ends).collect(), key=lambda r: r.cell)
+    names = np.array([r.cell for r in boxes], dtype=np.int32)
+    a, b = (np.array([[r[f"{name}{i}"] for i in range(DIMENSIONS)] for r in boxes]) for name in "ab")
+    stretch = chi_square_inverse(sure, DIMENSIONS)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for s in range(0, len(pdf), 256):
+                part = pdf.iloc[s : s + 256]
+                gap = _gaps(_stacked(part["e"]) @ _axes(d)[:-1], a, b)
+                yield part.assign(cell=names[gap.argmin(axis=1)], known=-np.inf)
+
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each query with each other cell that may hold a nearer vector."""
+        for pdf in batches:
+            for s in range(0, len(pdf), 256):
+                part = pdf.iloc[s : s + 256]
+                x = _stacked(part["e"])
+                far = stretch * (norm2 + np.einsum("ij,ij->i", x, x) - 2 * part["known"].to_numpy())
+                near = _gaps(x @ _axes(d)[:-1], a, b) <= far[:, None]
+                near &= names[None, :] != part["cell"].to_numpy()[:, None]
+                i, j = np.nonzero(near)
+                yield part.iloc[i].assign(cell=names[j])
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return search(left["id"].to_numpy(), np.stack(left["e"]), right["id"].to_numpy(), np.stack(right["e"]), k, norm2, sure)
+            return pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
+        return search(left["id"].to_numpy(), _stacked(left["e"]), right["id"].to_numpy(), _stacked(right["e"]), k, norm2, sure, right["q"].to_numpy(), right["known"].to_numpy())
+
+    def met(asking: DataFrame) -> DataFrame:
+        """The best of each query (staged: id, e, q, cell, known) in the cells it is sent to."""
+        sent = {r.cell: r.n for r in asking.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        deal = [(r.cell, ceil(r.n / block), ceil(sent[r.cell] / QUERIES)) for r in boxes if r.cell in sent]
+        parts = F.broadcast(spark.createDataFrame(deal, "cell int, np int, nq int"))
+        span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        left = indexed.select("id", "e", "cell", "r").join(parts, "cell").select("id", "e", "cell", F.pmod(F.xxhash64("r"), "np").cast("int").alias("i"), span("nq").alias("j"))
+        right = asking.join(parts, "cell").select("id", "e", "q", "known", "cell", span("np").alias("i"), F.pmod(F.xxhash64("q"), "nq").cast("int").alias("j"))
+        found = left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(run, "query_id long, q long, vec_id long, score double")
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    found = dealt.groupBy("b", "c").cogroup(asking.groupBy("b", "c")).applyInPandas(run, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    schema = f"id long, e {kind}, q long, cell int, known double"
+    asked = staged(asked.withColumn("q", F.monotonically_increasing_id()).mapInPandas(first, schema), "srs-queries")
+    near = met(asked)
+    if len(boxes) > 1:
+        near = staged(near, "srs-near")
+        kth = near.where(F.col("rank") == k).select("q", F.col("score").alias("kth"))
+        again = asked.join(kth, "q", "left").select("id", "e", "q", "cell", F.coalesce("kth", F.lit(float("-inf"))).alias("known"))
+        again = staged(again.mapInPandas(others, schema), "srs-again")
+        if not again.isEmpty():
+            near = near.unionByName(met(again)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return near.select("query_id", "rank", "vec_id", "score")
 
 
 def op8_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:

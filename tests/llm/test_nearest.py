@@ -43,6 +43,21 @@ def test_equal_vectors_go_by_id(spark):
     assert recall(spark, x, np.arange(200), block=70) == 1
 
 
+def test_cells_and_hot_groups(spark):
+    """Several cells and parts; a third of the rows are one vector. Far clusters are not sent to each other."""
+    rng = np.random.default_rng(2)
+    x = 3 * rng.standard_normal((12, 16))[rng.integers(0, 12, 2400)] + 0.02 * rng.standard_normal((2400, 16))
+    x[:800] = x[0]
+    assert recall(spark, x, rng.permutation(2400), block=150, fit_rows=1000) >= 0.9
+    low = n.projected(x, float((x * x).sum(axis=1).max()))
+    cells = n.Cells(low[::3], 4)
+    own = cells.of(low)
+    assert own.min() >= 0 and own.max() < 16 and len(set(own[:800])) == 1 and len(set(own)) > 4
+    boxes = [(low[own == c].min(axis=0)[None], low[own == c].max(axis=0)[None]) for c in sorted(set(own))]
+    inside = np.array([n._gaps(low, a, b)[:, 0] for a, b in boxes])
+    assert (inside.min(axis=0) == 0).all()
+
+
 def test_documents_table(spark, sf_dir):
     tb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas()
     assert recall(spark, np.stack(tb.embedding), tb.vec_id.to_numpy()) >= 0.9

@@ -8,7 +8,7 @@ row's key and the chunk's place, modulo `variants`, so a word is cut differently
 same pieces. Characters outside the vocabulary, and the space mark itself where a text holds it, become byte pieces.
 
 Distinct (chunk, variant) pairs of a block of text are merged together in numpy; chunks of over LONG characters go through
-a heap. Memory is bounded by BLOCK characters of text (or one text, if that is longer).
+a heap. Memory is bounded by BLOCK bytes of text (or one text, if that is longer).
 
 Edge cases: null gives null ids and null lossless; empty text gives no ids. Repeated rows with equal keys get equal ids.
 Extra columns of the input are dropped; `keep` names those to carry.
@@ -23,6 +23,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,7 @@ from allelespan.llm._common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BLOCK = 4_000_000
+BLOCK = 1_500_000
 LONG = 256
 NONE = np.int32(2**31 - 1)
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, LONG)
@@ -265,16 +266,17 @@ def encoded(df: DataFrame, key: str, text: str, keep: list[str], p: Pieces | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys = batch.column(0 + 1).to_pylist(), batch.column(0).to_numpy()
+            keys, size = batch.column(0).to_numpy(), pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             a = 0
-            while a < len(texts):
+            while a < len(size):
                 b, held = a, 0
-                while b < len(texts) and (b == a or held + len(texts[b] or "") <= BLOCK):
-                    held += len(texts[b] or "")
+                while b < len(size) and (b == a or held + size[b] <= BLOCK):
+                    held += size[b]
                     b += 1
-                off, ids = encode(p, [t or "" for t in texts[a:b]], keys[a:b], seed, dropout, variants)
-                null = np.array([t is None for t in texts[a:b]])
-                ok = [None if t is None else decode(p, ids[x:y].tolist()) == t for t, (x, y) in zip(texts[a:b], pairwise(off.tolist()))]
+                texts = batch.column(1).slice(a, b - a).to_pylist()  # only the block's texts become strings
+                off, ids = encode(p, [t or "" for t in texts], keys[a:b], seed, dropout, variants)
+                null = np.array([t is None for t in texts])
+                ok = [None if t is None else decode(p, ids[x:y].tolist()) == t for t, (x, y) in zip(texts, pairwise(off.tolist()))]
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array(null))
                 counts = pa.array(np.diff(off), pa.int32(), mask=null)
                 part = batch.slice(a, b - a)

@@ -7,7 +7,9 @@ wherever and however it is written (coreference). The surrogate is made from a k
 and attempt; it fills the entity's own format (digits for digits, letters for letters in their case and script, Luhn digits
 right, octets in range, given names of the same gender and script). Two entities with one surrogate, or a surrogate that is
 an entity of the corpus, are found by a group-by over all distinct entities; all but the first try the next attempt, until
-none is left. Only entities past attempt 0 are kept, for use when texts are rewritten.
+none is left. Later attempts give up format for room (other characters of a password become letters, then all of them; an
+address gets a longer local part; a foreign number another country code), so entities with few or no characters to fill
+find a free one. Only entities past attempt 0 are kept, for use when texts are rewritten.
 
 Both passes are over rows; only distinct entities are shuffled. The exceptions are broadcast while there are at most
 EXCEPTIONS of them; beyond that they are joined to the mentions and the texts are rewritten through that join.
@@ -32,6 +34,9 @@ from allelespan.llm._common import staged, table
 
 KEY = "surrogates-1"
 EXCEPTIONS = 1_000_000
+#: Attempts after this one give up more of the format.
+FORMAT = 8
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Given names by gender and script, family names by script, forms of address by gender.
 GIVEN = {
@@ -122,8 +127,12 @@ class _Stream:
         return x % n
 
 
-def _like(s: _Stream, text: str, hexed: bool = False) -> str:
-    """Digits for digits, letters for letters in their case and script, all else as it is."""
+def _letters(s: _Stream, n: int) -> str:
+    return "".join(LETTERS[s.below(52)] for _ in range(n))
+
+
+def _like(s: _Stream, text: str, hexed: bool = False, every: bool = False) -> str:
+    """Digits for digits, letters for letters in their case and script, Latin letters for those of other scripts and, with `every`, for all else."""
     out = []
     for c in text:
         if hexed and c in "0123456789abcdef":
@@ -141,7 +150,7 @@ def _like(s: _Stream, text: str, hexed: bool = False) -> str:
         elif "А" <= c <= "Я":
             out.append(chr(0x410 + s.below(32)))
         else:
-            out.append(c)
+            out.append(_letters(s, 1) if every or c.isalnum() else c)
     return "".join(out)
 
 
@@ -151,7 +160,8 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
     if kind == "email":
         local, _, domain = canon.partition("@")
         name, dot, top = domain.rpartition(".")
-        return f"{_like(s, local)}@{_like(s, name)}{dot}{top}"
+        more = _letters(s, 8).lower() if attempt > FORMAT else ""
+        return f"{_like(s, local)}{more}@{_like(s, name)}{dot}{top}"
     if kind == "card":
         body = canon[0] + _like(s, canon[1:-1])
         return body + str((10 - luhn(body + "0")) % 10)
@@ -159,6 +169,8 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
         if len(canon) == 10 and canon[0] != "+":
             return "".join(str(2 + s.below(8)) + _like(s, "00") for _ in range(2)) + _like(s, "0000")
         kept = 2 + (canon[0] == "+")
+        if attempt > FORMAT:  # not 1: that is the code of ten-digit numbers
+            return "+" * (kept - 2) + str(2 + s.below(8)) + _like(s, canon[kept - 1 :])
         return canon[:kept] + _like(s, canon[kept:])
     if kind == "ip":
         return ".".join(str((1 + s.below(223)) if i == 0 else s.below(256)) for i in range(4))
@@ -167,7 +179,9 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
     if kind == "token":
         return _like(s, canon, hexed=True)
     if kind == "password":
-        return _like(s, canon, hexed=re.fullmatch("[0-9a-f]+|[0-9A-F]+", canon) is not None)
+        if attempt > FORMAT:
+            return _letters(s, len(canon))
+        return _like(s, canon, hexed=re.fullmatch("[0-9a-f]+|[0-9A-F]+", canon) is not None, every=attempt > 0)
     gender, _, name = canon.partition("|")
     parts, script = name.split(" "), "cyrillic" if re.search("[А-Яа-яЁё]", name) else "latin"
     given = GIVEN[(gender or "fm"[s.below(2)], script)]
@@ -175,7 +189,7 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
     last = FAMILY[script][s.below(len(FAMILY[script]))]
     if attempt:  # few names, many people: a second family name
         last += "-" + FAMILY[script][s.below(len(FAMILY[script]))]
-    if attempt > 8:
+    if attempt > FORMAT:
         last += "-" + "".join(chr((0x430 if script == "cyrillic" else 97) + s.below(26)) for _ in range(8)).title()
     return gender + "|" + " ".join([*made, last])
 
@@ -190,7 +204,7 @@ def rendered(kind: str, found: str, made: str) -> str:
     if kind == "name":
         return made.partition("|")[2]
     if kind == "email" and found != found.lower():
-        return "".join(b.upper() if a.isupper() else b for a, b in zip(found, made))
+        return "".join(b.upper() if a.isupper() else b for a, b in zip(found.ljust(len(made)), made))
     return made
 
 

@@ -51,6 +51,19 @@ def test_collisions_are_resolved(spark):
     assert odd and len(set(made)) == len(made) and not set(made) & {("ip", x) for x in real}
 
 
+def test_every_entity_has_an_unused_surrogate(spark):
+    """Passwords without letters and digits of ASCII or Cyrillic; later attempts make room where a format is full."""
+    secret = ["______", "------", "密码密码密码", "ééé___"]
+    rows = [(i, f"my password={x} here") for i, x in enumerate(secret)]
+    got = {r.doc_id: r for r in pii.replaced(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    made = [re.fullmatch(r"my password=(\S{6}) here", got[i].text)[1] for i in range(len(secret))]
+    assert len(set(made)) == len(made) and not set(made) & set(secret) and all(got[i].n_entities == 1 for i in range(len(secret)))
+    assert not re.search("[密码]", pii.surrogate("password", "密码密码1a"))
+    for kind, canon in (("email", "a@b.co"), ("password", "123456"), ("phone", "+4912345678")):
+        assert len({pii.surrogate(kind, canon, n) for n in range(9, 2009)}) > 1990
+    assert re.fullmatch(r"[A-Z][a-z]{8}@[A-Z]\.co", pii.rendered("email", "A@B.co", pii.surrogate("email", "a@b.co", 9)), re.I)
+
+
 def test_documents(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = pii.op1_pii_surrogates(spark, sf_dir).collect()

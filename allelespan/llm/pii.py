@@ -15,7 +15,8 @@ Both passes are over rows; only distinct entities are shuffled. The exceptions a
 EXCEPTIONS of them; beyond that they are joined to the mentions and the texts are rewritten through that join.
 
 Edge cases: null stays null with 0 entities; empty texts and texts without entities come back as they are, byte for byte.
-Overlapping finds go to the one that starts first, then the longer. Repeated rows get equal texts. Extra columns are
+Overlapping finds go to the one that starts first, then the longer. A run of digits that is
+no card is searched for one between the borders of its groups. Repeated rows get equal texts. Extra columns are
 carried; columns of the names that are added are replaced.
 """
 
@@ -83,15 +84,35 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
+def _card_in(found: str) -> tuple[int, int] | None:
+    """Start and end of the first, then longest, run of whole groups of digits in `found` that is a card."""
+    groups = [m.span() for m in re.finditer(r"\d+", found)]
+    for i, (a, _) in enumerate(groups):
+        for _, b in reversed(groups[i:]):
+            digits = re.sub(r"\D", "", found[a:b])
+            if 13 <= len(digits) <= 19 and luhn(digits) == 0:
+                return a, b
+    return None
+
+
 def find(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of each entity."""
-    for m in FIND.finditer(text):
+    at = 0
+    while m := FIND.search(text, at):
+        at = m.end()
         kind, found = _KINDS[int(m.lastgroup[1:])][0], m[0]
         if kind == "email":
             canon = found.lower()
         elif kind in ("phone", "card"):
             canon = re.sub(r"\D", "", found)
-            if kind == "card" and luhn(canon):
+            if kind == "card" and luhn(canon):  # other numbers beside it, or no card
+                inner = _card_in(found)
+                if inner is None:
+                    at = m.start() + re.match(r"\d+", found).end()  # the next group may begin an entity
+                    continue
+                a, b = m.start() + inner[0], m.start() + inner[1]
+                at = b
+                yield a, b, kind, re.sub(r"\D", "", text[a:b])
                 continue
             if kind == "phone":
                 if not 8 <= len(canon) <= 15:

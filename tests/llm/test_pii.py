@@ -31,6 +31,17 @@ def test_country_codes():
     assert b == "+1 " + c.replace("-", " ") and d.startswith("+49 ") and d[4:].replace(" ", "-") != c
 
 
+def test_cards_beside_other_numbers():
+    card = "4111111111111111"
+    for text in (f"{card} 123", "4111 1111 1111 1111 12/27", f"no 12 {card}.", f"1 2 {card} 4 5 6 7", "12-4111-1111-1111-1111", "77 4111 1111 1111 1111 88 99"):
+        found = [(k, c) for _, _, k, c in pii.find(text)]
+        assert found == [("card", card)], (text, found)
+        out, n = pii.rewrite(text, {})
+        assert n == 1 and "1111" not in out and len(out) == len(text)
+    assert pii.rewrite("4111111111111112 123 and 4111 1111 1111 1112 12/27", {})[1] == 0
+    assert [k for _, _, k, _ in pii.find("4111111111111112 212 555 1234")] == ["phone"]
+
+
 def test_edges_and_both_paths(spark):
     rows = [(1, None), (2, ""), (3, "clean text, nothing 12 here"), (4, TEXT), (4, TEXT), (None, TEXT), (5, "x " * 100_000 + "a@b.co")]
     df = spark.createDataFrame([(*r, 9, "k") for r in rows], "doc_id long, text string, n_entities int, kind string")

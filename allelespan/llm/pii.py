@@ -2,14 +2,16 @@
 
 Detection: e-mail addresses, telephone numbers, payment cards (Luhn), IPv4 addresses, credentials (access keys, quoted
 tokens, passwords) and person names that stand after a form of address. An entity's canonical form (digits of a number,
-lower-case address, name without its form of address) names it in the whole corpus, so one entity has one surrogate
-wherever and however it is written (coreference). The surrogate is made from a keyed BLAKE2 hash of type, canonical form
+lower-case address, gender and name without its form of address) names it in the whole corpus, so one entity has one surrogate
+wherever and however it is written (coreference). A name without gender (Dr, Prof) is the person of that name whose gender
+is known, if the corpus has it with one gender only. The surrogate is made from a keyed BLAKE2 hash of type, canonical form
 and attempt; it fills the entity's own format (digits for digits, letters for letters in their case and script, Luhn digits
-right, octets in range, given names of the same gender and script). Two entities with one surrogate, or a surrogate that is
-an entity of the corpus, are found by a group-by over all distinct entities; all but the first try the next attempt, until
+right, octets in range, given names of the same gender and script). Two entities with one surrogate as written, or a surrogate written
+like an entity of the corpus, are found by a group-by over all distinct entities; all but the first try the next attempt, until
 none is left. Later attempts give up format for room (other characters of a password become letters, then all of them; an
 address gets a longer local part; a foreign number another country code), so entities with few or no characters to fill
-find a free one. Only entities past attempt 0 are kept, for use when texts are rewritten.
+find a free one. Only entities past attempt 0, and names that take another's form,
+are kept, for use when texts are rewritten.
 
 Both passes are over rows; only distinct entities are shuffled. The exceptions are broadcast while there are at most
 EXCEPTIONS of them; beyond that they are joined to the mentions and the texts are rewritten through that join.
@@ -229,10 +231,11 @@ def rendered(kind: str, found: str, made: str) -> str:
     return made
 
 
-def rewrite(text: str, attempts: dict[tuple[str, str], int], key: str = KEY, kinds: list[str] | None = None) -> tuple[str, int]:
+def rewrite(text: str, attempts: dict[tuple[str, str], tuple[str, int]], key: str = KEY, kinds: list[str] | None = None) -> tuple[str, int]:
+    """attempts: the canonical form to use and the attempt, of the entities that exceptions() has."""
     out, at, n = [], 0, 0
     for a, b, kind, canon in find(text):
-        out += [text[at:a], rendered(kind, text[a:b], surrogate(kind, canon, attempts.get((kind, canon), 0), key))]
+        out += [text[at:a], rendered(kind, text[a:b], surrogate(kind, *attempts.get((kind, canon), (canon, 0)), key))]
         at, n = b, n + 1
     return ("".join(out) + text[at:], n) if n else (text, 0)
 
@@ -248,26 +251,42 @@ def entities(df: DataFrame, text: str) -> DataFrame:
     return df.select(F.col(text).alias("t")).where(maybe(F.col("t"))).mapInPandas(run, "kind string, canon string").distinct()
 
 
+def _written(form: str) -> Column:
+    """What of a canonical form stands in texts: names go without gender."""
+    return F.when(F.col("kind") == "name", F.substring_index(form, "|", -1)).otherwise(F.col(form))
+
+
+def persons(found: DataFrame) -> DataFrame:
+    """kind, canon, own: own is canon, but for a name without gender that is found with one gender only, which it takes."""
+    named = found.where("kind = 'name' AND canon NOT LIKE '|%'").groupBy(F.concat(F.lit("|"), F.substring_index("canon", "|", -1)).alias("canon"))
+    one = named.agg(F.min("canon").alias("_own"), F.count("*").alias("n")).where("n = 1").select(F.lit("name").alias("kind"), "canon", "_own")
+    return found.select("kind", "canon").join(one, ["kind", "canon"], "left").select("kind", "canon", F.coalesce("_own", "canon").alias("own"))
+
+
 def exceptions(found: DataFrame, key: str = KEY, most: int = 64) -> DataFrame:
-    """kind, canon, attempt: the entities whose first surrogate was taken. found: distinct entities, staged."""
+    """kind, canon, own, attempt: the entities whose first surrogate was taken, or that take another's form. found: distinct entities, staged."""
 
     @F.pandas_udf("string")
     def made(kind: pd.Series, canon: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(k, c, int(a), key) for k, c, a in zip(kind, canon, attempt)], dtype=object)
 
-    now = staged(found.select("kind", "canon", F.lit(0).alias("attempt")).withColumn("made", made("kind", "canon", "attempt")), "pii-surrogates")
+    def attempted(df: DataFrame) -> DataFrame:
+        return df.withColumn("made", made("kind", "own", "attempt")).withColumn("made", _written("made"))
+
+    people = staged(persons(found), "pii-persons")
+    now = staged(attempted(people.select("kind", "own").distinct().withColumn("attempt", F.lit(0))), "pii-surrogates")
+    real = people.select("kind", _written("own").alias("made"))
     for _ in range(most):
         # a real entity owns its own form; among surrogates the earliest attempt, then the smallest form, stays
-        real = found.select("kind", F.col("canon").alias("made"))
-        taken = now.join(real, ["kind", "made"], "left_semi").select("kind", "canon")
+        taken = now.join(real, ["kind", "made"], "left_semi").select("kind", "own")
         shared = now.groupBy("kind", "made").agg(F.count("*").alias("n")).where("n > 1").select("kind", "made")
-        order = Window.partitionBy("kind", "made").orderBy("attempt", "canon")
-        late = now.join(shared, ["kind", "made"], "left_semi").withColumn("r", F.row_number().over(order)).where("r > 1").select("kind", "canon")
+        order = Window.partitionBy("kind", "made").orderBy("attempt", "own")
+        late = now.join(shared, ["kind", "made"], "left_semi").withColumn("r", F.row_number().over(order)).where("r > 1").select("kind", "own")
         again = staged(taken.union(late).distinct(), "pii-again")
         if again.isEmpty():
-            return now.where("attempt > 0").select("kind", "canon", "attempt")
-        moved = now.join(again, ["kind", "canon"], "left_semi").select("kind", "canon", (F.col("attempt") + 1).alias("attempt")).withColumn("made", made("kind", "canon", "attempt"))
-        now = staged(now.join(again, ["kind", "canon"], "left_anti").unionByName(moved), "pii-surrogates")
+            return people.join(now.select("kind", "own", "attempt"), ["kind", "own"]).where("attempt > 0 OR own <> canon").select("kind", "canon", "own", "attempt")
+        moved = attempted(now.join(again, ["kind", "own"], "left_semi").select("kind", "own", (F.col("attempt") + 1).alias("attempt")))
+        now = staged(now.join(again, ["kind", "own"], "left_anti").unionByName(moved), "pii-surrogates")
     raise RuntimeError(f"surrogates still collide after {most} attempts")
 
 
@@ -278,7 +297,7 @@ def replaced(df: DataFrame, text: str = "text", key: str = KEY, bound: int = EXC
     many = odd.count() > bound
     out = T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())])
     if not many:
-        attempts = df.sparkSession.sparkContext.broadcast({(r.kind, r.canon): r.attempt for r in odd.collect()})
+        attempts = df.sparkSession.sparkContext.broadcast({(r.kind, r.canon): (r.own, r.attempt) for r in odd.collect()})
 
         @F.pandas_udf(out)
         def rewritten(texts: pd.Series) -> pd.DataFrame:
@@ -294,12 +313,12 @@ def replaced(df: DataFrame, text: str = "text", key: str = KEY, bound: int = EXC
 
     @F.pandas_udf(out)
     def through(texts: pd.Series, own: pd.Series) -> pd.DataFrame:
-        got = [(t, 0) if t is None else rewrite(t, {(x["kind"], x["canon"]): x["attempt"] for x in (o if o is not None else [])}, key) for t, o in zip(texts, own)]
+        got = [(t, 0) if t is None else rewrite(t, {(x["kind"], x["canon"]): (x["own"], x["attempt"]) for x in (o if o is not None else [])}, key) for t, o in zip(texts, own)]
         return pd.DataFrame(got, columns=["text", "n"])
 
     rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
     mentions = rows.select("_row", F.explode(mentioned(text)).alias("m")).select("_row", "m.kind", "m.canon").join(odd, ["kind", "canon"])
-    own = mentions.groupBy("_row").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("_own"))
+    own = mentions.groupBy("_row").agg(F.collect_list(F.struct("kind", "canon", "own", "attempt")).alias("_own"))
     got = rows.join(own, "_row", "left").withColumn("_r", through(text, "_own"))
     return got.withColumns({text: F.col("_r.text"), "n_entities": F.col("_r.n")}).drop("_r", "_own", "_row")
 

@@ -75,6 +75,21 @@ def test_every_entity_has_an_unused_surrogate(spark):
     assert re.fullmatch(r"[A-Z][a-z]{8}@[A-Z]\.co", pii.rendered("email", "A@B.co", pii.surrogate("email", "a@b.co", 9)), re.I)
 
 
+def test_names_across_forms_of_address(spark):
+    """One written name is one person unless genders differ; no two people get one written name, nor a real one."""
+    family = [f"B{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90)]
+    texts = [f"{t} {x}" for i, x in enumerate(family) for t in [("Mr", "Mrs", "Dr")[i % 3]]] + [f"Mr {x}" for x in pii.FAMILY["latin"][:6]]
+    texts += ["Dr Anna Weber and Frau Anna Weber", "Prof Sam Roe, Mr Sam Roe, Mrs Sam Roe"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id int, text string")
+    got = {r.doc_id: r.text for r in pii.replaced(df).collect()}
+    one = [got[i].split(" ", 1)[1] for i in range(96)]
+    assert len(set(one)) == 96 and not set(one) & {*family, *pii.FAMILY["latin"][:6]}
+    a, b = re.fullmatch(r"Dr (.+) and Frau (.+)", got[96]).groups()
+    assert a == b and a.split()[0] in pii.GIVEN["f", "latin"]
+    assert len({x.split(" ", 1)[1] for x in got[97].split(", ")}) == 3
+    assert got == {r.doc_id: r.text for r in pii.replaced(df, bound=-1).collect()}
+
+
 def test_documents(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = pii.op1_pii_surrogates(spark, sf_dir).collect()

@@ -7,8 +7,9 @@ p_k = (count(context, char) + STRENGTH * p_(k-1)) / (count(context) + STRENGTH),
 difference of the log-likelihoods a character. A fifth of the labelled URLs, by hash, is kept out of training; the
 threshold is the one with the best balanced accuracy on it.
 
-Counts are held in SLOTS hashed slots, so the model is one row of fixed size whatever the input; it is summed over all
-labelled rows. All of it is DataFrame functions.
+Counts are held in hashed slots: SLOTS of them, doubled until there are LOAD for each distinct gram and context of the
+training URLs, so the share of grams that meet in a slot does not grow with the input. The model is one row, summed over
+all labelled rows; it grows with the distinct grams. All of it is DataFrame functions.
 
 Edge cases: a null url or one without `://` has empty host and path, fits no rule and scores 0. Empty tables and tables
 without labelled rows give scores and threshold 0, so all is allowed. Repeated rows get equal answers. Extra columns are
@@ -20,9 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from allelespan.llm._common import ascii_lower, table
+from allelespan.llm._common import ascii_lower, staged, table
 
-SLOTS = 1 << 17
+#: Fewest slots, and slots for each distinct gram at least.
+SLOTS, LOAD = 1 << 17, 8
 ORDERS = 5
 STRENGTH = 2.0
 SYMBOLS = 64.0
@@ -58,8 +60,8 @@ def characters(host: Column, path: Column) -> Column:
     return F.lower(F.concat(host, path))
 
 
-def _slot(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(SLOTS))
+def _slot(gram: Column, slots: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), slots)
 
 
 def _context(s: Column, i: Column, k: int) -> Column:
@@ -75,15 +77,26 @@ def _places(s: str) -> Column:
     return F.when(F.length(s) > 0, F.sequence(F.lit(1), F.length(s))).otherwise(F.array().cast("array<int>"))
 
 
+def slots_for(n: int) -> int:
+    """Slots for n distinct grams and contexts."""
+    slots = SLOTS
+    while slots < LOAD * n:
+        slots *= 2
+    return slots
+
+
 def model(labelled: DataFrame) -> DataFrame:
-    """labelled: s (string), ok (boolean). One row: m, a struct of two arrays of SLOTS counts."""
+    """labelled: s (string), ok (boolean). One row: m, a struct of two arrays of counts, one a slot."""
     rows = labelled.select(_padded("s").alias("p"), "ok", F.explode(_places("s")).alias("i"))
     grams = []
     for k in range(ORDERS):
         ctx = _context(F.col("p"), F.col("i"), k)
-        grams += [_slot(F.concat(ctx, F.substring(F.col("p"), F.col("i") + (ORDERS - 1), F.lit(1)))), _slot(F.concat(ctx, F.lit("\n")))]
-    counts = rows.select("ok", F.explode(F.array(*grams)).alias("slot")).groupBy("slot").agg(F.count_if("ok").alias("a"), F.count_if(~F.col("ok")).alias("r"))
-    full = labelled.sparkSession.range(SLOTS).withColumnRenamed("id", "slot").join(counts, "slot", "left")
+        grams += [F.concat(ctx, F.substring(F.col("p"), F.col("i") + (ORDERS - 1), F.lit(1))), F.concat(ctx, F.lit("\n"))]
+    counts = rows.select("ok", F.explode(F.array(*grams)).alias("gram")).groupBy("gram").agg(F.count_if("ok").alias("a"), F.count_if(~F.col("ok")).alias("r"))
+    counts = staged(counts, "url-grams")
+    slots = slots_for(counts.count())
+    counts = counts.groupBy(_slot(F.col("gram"), F.lit(slots)).alias("slot")).agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+    full = labelled.sparkSession.range(slots).withColumnRenamed("id", "slot").join(counts, "slot", "left")
     one = full.agg(F.sort_array(F.collect_list(F.struct("slot", F.coalesce("a", F.lit(0)).cast("double").alias("a"), F.coalesce("r", F.lit(0)).cast("double").alias("r")))).alias("x"))
     return one.select(F.struct(F.col("x.a").alias("a"), F.col("x.r").alias("r")).alias("m"))
 
@@ -91,11 +104,13 @@ def model(labelled: DataFrame) -> DataFrame:
 def scored(df: DataFrame, m: DataFrame, s: str = "s") -> DataFrame:
     """Adds score: the difference of the log-likelihoods a character; 0 for an empty string."""
 
+    slots = F.size("_m.a")
+
     def place(i: Column) -> Column:
         p = {"a": F.lit(1 / SYMBOLS), "r": F.lit(1 / SYMBOLS)}
         for k in range(ORDERS):
             ctx = _context(F.col("_p"), i, k)
-            gram, total = _slot(F.concat(ctx, F.substring(F.col("_p"), i + (ORDERS - 1), F.lit(1)))), _slot(F.concat(ctx, F.lit("\n")))
+            gram, total = _slot(F.concat(ctx, F.substring(F.col("_p"), i + (ORDERS - 1), F.lit(1))), slots), _slot(F.concat(ctx, F.lit("\n")), slots)
             p = {c: (F.get(F.col(f"_m.{c}"), gram.cast("int")) + STRENGTH * p[c]) / (F.get(F.col(f"_m.{c}"), total.cast("int")) + STRENGTH) for c in p}
         return F.log(p["a"]) - F.log(p["r"])
 

@@ -75,6 +75,13 @@ def test_plan_is_native(spark, sf_dir):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
+def test_slots_follow_the_grams(spark):
+    urls = [f"{xxhash.xxh64_hexdigest(str(i))}{xxhash.xxh64_hexdigest('x' + str(i))}" for i in range(2000)]
+    distinct = len({("^" * (u.ORDERS - 1) + s)[i - k : i] + c for s in urls for i in range(u.ORDERS - 1, u.ORDERS - 1 + len(s)) for k in range(u.ORDERS) for c in (("^" * (u.ORDERS - 1) + s)[i], "\n")})
+    m = u.model(spark.createDataFrame([(s, True) for s in urls], "s string, ok boolean")).first().m
+    assert len(m.a) == len(m.r) >= 8 * distinct > u.SLOTS and sum(m.a) == 2000 * 32 * u.ORDERS * 2 and sum(m.r) == 0
+
+
 def test_edges(spark):
     urls = [None, "", "abc", "://", "x://A.COM", "http://a.com/en/1?x", "http://b.example.com/en/7#y", "http://xcom/en/", "http://é.net/de/ü", "http://a.com/" + "z" * 20_000, "http://a.com/en/1?x"]
     df = spark.createDataFrame([(i, x, "old", 1) for i, x in enumerate(urls)], "page_id int, url string, verdict string, score int")

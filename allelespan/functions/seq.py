@@ -35,9 +35,9 @@ CHUNK = 128
 
 
 def kmers(df: DataFrame, seq: str, k: int, *keep: str) -> DataFrame:
-    """A row for each k-mer of ACGT only: keep, pos (0-based start), kmer (canonical). The reverse complement is made once for
-    each chunk, not for each k-mer."""
-    long = df.where(F.length(seq) >= k).select(*keep, F.col(seq).alias("_seq"))
+    """A row for each k-mer of ACGT in either case: keep, pos (0-based start), kmer (canonical, upper case). The reverse complement
+    is made once for each chunk, not for each k-mer."""
+    long = df.where(F.length(seq) >= k).select(*keep, F.translate(seq, "acgt", "ACGT").alias("_seq"))
     cut = long.select(*keep, "_seq", F.explode(F.sequence(F.lit(0), F.length("_seq") - k, F.lit(CHUNK))).alias("_at"))
     cut = cut.select(*keep, "_at", F.substring("_seq", F.col("_at") + 1, F.lit(CHUNK + k - 1)).alias("_c"))
     cut = cut.select(*keep, "_at", "_c", reverse_complement(F.col("_c")).alias("_r"), F.col("_c").rlike("^[ACGT]*$").alias("_ok"))
@@ -48,7 +48,8 @@ def kmers(df: DataFrame, seq: str, k: int, *keep: str) -> DataFrame:
 
 
 def encode2bit(kmer: Column) -> Column:
-    """A=0, C=1, G=2, T=3, first base highest; null where a character is none of them. Up to 31 bases."""
+    """A=0, C=1, G=2, T=3 in either case, first base highest; null where a character is none of them. Up to 31 bases."""
+    kmer = F.translate(kmer, "acgt", "ACGT")
     packed = F.aggregate(F.split(kmer, ""), F.lit(0).cast("long"), lambda a, c: F.when(c == "", a).otherwise(a * 4 + F.instr(F.lit("ACGT"), c) - 1))
     return F.when(kmer.rlike("^[ACGT]+$"), packed)
 
@@ -141,9 +142,9 @@ def unique_bases(seq: Column) -> Column:
 
 
 def group_name(genes: Column, family: str) -> Column:
-    """At most three names, those with the family's prefix first, joined for use in a file name."""
+    """At most three names, those that hold the family's name first, joined for use in a file name."""
     names = F.array_sort(F.array_distinct(genes))
-    own = F.filter(names, lambda g: g.startswith(family))
+    own = F.filter(names, lambda g: g.contains(family))
     return F.replace(F.array_join(F.slice(F.concat(own, F.array_except(names, own)), 1, 3), "OOO"), F.lit("."), F.lit("v"))
 
 

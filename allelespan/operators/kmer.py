@@ -31,7 +31,10 @@ def targets(kmers: DataFrame, target: str) -> DataFrame:
 
 
 def target_counts(kmers: DataFrame, found: DataFrame, target: str, *by: str, cap: int = 255, small: bool = False) -> DataFrame:
-    """Count of each target k-mer in kmers; k-mers are summed before the join, and one in several targets counts for each."""
+    """Count of each target k-mer in kmers; one in several targets counts for each. A small target set is probed first, so that
+    only its k-mers are counted and shuffled; beside a large one k-mers are summed before the join."""
+    if small:
+        kmers = kmers.join(F.broadcast(found.select("kmer").distinct()), "kmer", "left_semi")
     summed = kmers.groupBy(*by, "kmer").agg(F.count("*").alias("n"))
     return summed.join(probe(found, small), "kmer").select(*by, target, "kmer", F.least("n", F.lit(cap)).alias("cnt"))
 
@@ -42,17 +45,39 @@ def exclusive(gene: DataFrame, whole: DataFrame, cap: int = 255) -> DataFrame:
     both = gene.select("haplo").distinct().join(whole.select("haplo").distinct(), "haplo")
     g, w = gene.join(both, "haplo", "left_semi"), whole.join(both, "haplo", "left_semi")
     g, w = g.select("haplo", "kmer", F.col("cnt").alias("g")), w.select("haplo", "kmer", F.col("cnt").alias("w"))
-    out = g.join(w, ["haplo", "kmer"], "full").withColumns({"gene_cnt": F.coalesce("g", F.lit(0)), "whole_cnt": F.coalesce("w", F.lit(0))})
+    return _judged(g.join(w, ["haplo", "kmer"], "full"), cap)
+
+
+def _judged(counted: DataFrame, cap: int) -> DataFrame:
+    """counted: haplo, kmer, g, w; null for none."""
+    out = counted.withColumns({"gene_cnt": F.coalesce("g", F.lit(0)), "whole_cnt": F.coalesce("w", F.lit(0))})
     ok = (F.col("gene_cnt") == F.col("whole_cnt")) & (F.col("gene_cnt") < cap)
     return out.select("haplo", "kmer", "gene_cnt", "whole_cnt", ok.alias("included"), F.when(~ok, F.abs(F.col("gene_cnt") - F.col("whole_cnt"))).alias("diff"))
 
 
+def exclusive_within(counted: DataFrame, cap: int = 255) -> DataFrame:
+    """counted: haplo, kmer, g and w, the uncapped counts in the gene's loci and in the whole assembly that holds them. As
+    exclusive(), without a join of k-mers: both counts stand in one row. Read twice, so it should be stored."""
+    both = counted.groupBy("haplo").agg(F.max("g").alias("most")).where("most > 0").select("haplo")
+    capped = counted.join(both, "haplo", "left_semi").select("haplo", "kmer", F.least("g", F.lit(cap)).alias("g"), F.least("w", F.lit(cap)).alias("w"))
+    return _judged(capped, cap)
+
+
 def dual_counts(target: DataFrame, query: DataFrame) -> DataFrame:
     """target, query: (kmer, cnt uncapped). c1 in 1..254, c2 up to 65535."""
     out = target.select("kmer", F.least("cnt", F.lit(255)).alias("c1")).join(query.select("kmer", F.col("cnt").alias("q")), "kmer", "left")
     return out.where("c1 BETWEEN 1 AND 254").select("kmer", "c1", F.least(F.coalesce("q", F.lit(0)), F.lit(65535)).alias("c2"))
 
 
+def dual_counts_of(target: DataFrame, kmers: DataFrame) -> DataFrame:
+    """target: (kmer, cnt uncapped), kmers: kmer, uncounted. As dual_counts(); a small target is probed first, so that only its
+    k-mers are counted."""
+    small = bounded(target)
+    if small:
+        kmers = kmers.join(F.broadcast(target.select("kmer")), "kmer", "left_semi")
+    return dual_counts(target, counts(kmers, cap=None))
+
+
 def set_filter(includes: DataFrame, excludes: DataFrame) -> DataFrame:
     """Distinct k-mers of includes; excluded tells those that excludes has too."""
     out = includes.select("kmer").distinct().join(excludes.select("kmer").distinct().withColumn("x", F.lit(True)), "kmer", "left")
@@ -92,20 +117,20 @@ def hotspots(hits: DataFrame, c: int = 50, near: int = 1000, by: tuple[str, ...]
 
 def end_trim(hits: DataFrame, cutoff: int, hit: int = 9, miss: int = -1, by: str = "name") -> DataFrame:
     """hits: by, pos, is_hit for each k-mer of a sequence. by, left, right: places where the score, which restarts below
-    zero, first reaches cutoff * hit from either end; null where it never does. Scores are whole numbers (r = 0.1: +9, -1)."""
-
-    def side(order: list[Column], name: str, edge) -> DataFrame:
-        w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        before = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        scored = hits.withColumn("p", F.sum(F.when(F.col("is_hit"), hit).otherwise(miss)).over(w))
-        scored = scored.withColumn("m", F.least(F.lit(0), F.coalesce(F.min("p").over(before), F.lit(0))))
-        scored = scored.withColumns({"low": F.col("p") < F.col("m"), "high": F.col("p") - F.least("m", "p") >= cutoff * hit})
-        scored = scored.withColumn("past", F.max("high").over(w))
-        first = edge(F.when(F.col("low") & ~F.col("past"), F.col("pos")))
-        whole = F.min("pos") if name == "left" else F.max("pos")
-        return scored.groupBy(by).agg(F.when(F.max("high"), F.coalesce(first, whole)).alias(name))
-
-    return side([F.col("pos").asc()], "left", F.max).join(side([F.col("pos").desc()], "right", F.min), by)
+    zero, first reaches cutoff * hit from either end; null where it never does. Scores are whole numbers (r = 0.1: +9, -1).
+    One shuffle of eight bytes a k-mer; a sequence's marks are folded from both ends in its row."""
+    marks = hits.groupBy(by).agg(F.sort_array(F.collect_list(F.col("pos").cast("long") * 2 + F.col("is_hit").cast("int"))).alias("marks"))
+
+    def step(acc: Column, mark: Column) -> Column:
+        pos, score = F.shiftright(mark, 1), acc["score"] + F.when(mark % 2 == 1, F.lit(hit)).otherwise(F.lit(miss))
+        start = F.when(score < 0, pos).otherwise(F.coalesce(acc["start"], pos))
+        held = F.greatest(F.lit(0), score)
+        return F.struct(held.alias("score"), start.alias("start"), F.coalesce(acc["edge"], F.when(held >= cutoff * hit, start)).alias("edge"))
+
+    zero = F.struct(F.lit(0).alias("score"), F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("edge"))
+    kind = hits.schema["pos"].dataType
+    edge = lambda marks: F.aggregate(marks, zero, step)["edge"].cast(kind)
+    return marks.select(by, edge(F.col("marks")).alias("left"), edge(F.reverse("marks")).alias("right"))
 
 
 def masked_runs(hits: DataFrame, k: int = 31, by: str = "name") -> DataFrame:

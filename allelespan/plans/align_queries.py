@@ -18,13 +18,14 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cigar_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("cigar")
-    got = rows(spark, sf_dir).select("allele", C.length(c, "=MXI").alias("ref_len"), C.length(c, "=MXD").alias("query_len"), C.length(c, "H").alias("clip"), C.length(c, "I").alias("inserted"))
+    got = rows(spark, sf_dir).select("allele", C.lengths(c, ref_len="=MXI", query_len="=MXD", clip="H", inserted="I").alias("n")).select("allele", "n.*")
     return got.withColumn("kind", C.insert_kind(F.col("inserted"), F.col("query_len") / 10))
 
 
 def paf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("cigar")
-    got = rows(spark, sf_dir).select("allele", (100 - F.col("l_linenumber") * 2).alias("identity"), C.length(c, "=").alias("match"), (C.length(c, "=MXI") - F.col("l_partkey") % 200).alias("unmasked"), (C.length(c, "=MXI") * 2).alias("rlen"))
+    got = rows(spark, sf_dir).select("allele", "l_partkey", (100 - F.col("l_linenumber") * 2).alias("identity"), C.lengths(c, match="=", ref_len="=MXI").alias("n"))
+    got = got.select("allele", "identity", "n.match", (F.col("n.ref_len") - F.col("l_partkey") % 200).alias("unmasked"), (F.col("n.ref_len") * 2).alias("rlen"))
     return got.where(C.paf_filter()).select("allele", "match")
 
 

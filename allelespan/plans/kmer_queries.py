@@ -38,7 +38,7 @@ def kmer_target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmer_dual_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.dual_counts(K.counts(item_kmers(spark, sf_dir), cap=None), K.counts(document_kmers(spark, sf_dir), cap=None))
+    return K.dual_counts_of(K.counts(item_kmers(spark, sf_dir), cap=None), document_kmers(spark, sf_dir))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +58,9 @@ def kmer_exclude_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_kmers(spark, sf_dir, "source", "lang").withColumnRenamed("source", "haplo")
-    n, g = F.count("*"), F.count_if(F.col("lang") == "en")
-    # gene loci are part of the assembly: both are counted in one pass, which is stored as it is read several times
-    both = staged(rows.groupBy("haplo", "kmer").agg(n.alias("n"), g.alias("g")), "haplotype-kmers")
-    gene = both.where("g > 0").select("haplo", "kmer", F.least("g", F.lit(255)).alias("cnt"))
-    return K.exclusive(gene, both.select("haplo", "kmer", F.least("n", F.lit(255)).alias("cnt")))
+    # gene loci are part of the assembly: both are counted in one pass, which is stored as it is read twice
+    counted = rows.groupBy("haplo", "kmer").agg(F.count_if(F.col("lang") == "en").alias("g"), F.count("*").alias("w"))
+    return K.exclusive_within(staged(counted, "haplotype-kmers"))
 
 
 def kmer_exclusive_select(spark: SparkSession, sf_dir: str) -> DataFrame:

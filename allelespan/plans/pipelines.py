@@ -66,15 +66,23 @@ def masked_trees(seqs: DataFrame, listed: DataFrame, group: str, k: int = 31) ->
     return masked, cluster.trees(matrix.unionByName(whole), group)
 
 
-def linear_graph(steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """steps: allele, segment, strand, start, end, qstart. Chunks of the segments, and each allele's visits to them in order."""
+def linear_graph(steps: DataFrame, group: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """steps: allele, segment, strand, start, end, qstart, and group if there is more than one graph. Chunks of the segments, each
+    allele's visits to them in order, and the linear order of all visits of a graph."""
     cut = graph.chunks(steps)
     at = cut.withColumnsRenamed({"start": "start2", "end": "end2", "strand": "own"})
     over = interval.overlap_join(steps, at, "segment", 10_000, strict=True)
     chunk = F.concat_ws("_", "segment", F.col("start2").cast("string"), F.col("end2").cast("string"))
     place = F.col("qstart") + F.when(F.col("strand") == "<", F.col("end") - F.col("end2")).otherwise(F.col("start2") - F.col("start"))
-    visits = over.select("allele", chunk.alias("chunk"), place.alias("place"), F.when(F.col("strand") == F.col("own"), ">").otherwise("<").alias("strand"))
-    return cut, graph.numbered(visits, "allele", "chunk", "place")
+    graph_of = F.col(group) if group else F.lit("")
+    visits = over.select(graph_of.alias(group or "graph"), "allele", chunk.alias("chunk"), place.alias("place"), F.when(F.col("strand") == F.col("own"), ">").otherwise("<").alias("strand"))
+    visits = graph.numbered(visits, "allele", "chunk", "place")
+    # a visit's name holds its graph, so that successors of one graph are not counted with those of another
+    own = visits.withColumn("visit", F.concat_ws("\x01", F.col(group or "graph").cast("string"), "visit"))
+    edges = graph.successors(own, "allele", "visit", "place")
+    parts = F.split("next", "\x01")
+    edges = edges.select(parts[0].alias(group or "graph"), F.split("visit", "\x01")[1].alias("visit"), parts[1].alias("next"), "n", "first")
+    return cut, visits, graph.linear_orders(edges, group or "graph")
 
 
 def group_names(members: DataFrame, genes: DataFrame, family: str) -> DataFrame:
@@ -92,12 +100,15 @@ def annotated_types(members: DataFrame, genes: DataFrame) -> DataFrame:
     return tags.join(names, "type").join(refs, "type")
 
 
-def lifted(alleles: DataFrame, mapped: DataFrame) -> DataFrame:
-    """alleles: id, chrom, start, end, size, exon; mapped: chrom, start2, end2, ref, cigar, place. The first strictly overlapping
-    alignment of each allele, its inserted bases and kind; each allele keeps its own exon flag."""
-    best = interval.first_overlap(alleles, mapped, "place")
+def lifted(alleles: DataFrame, mapped: DataFrame, refs: DataFrame) -> DataFrame:
+    """alleles: id, size, exon; mapped: id, chrom, start, end, cigar (an allele's alignment to the assembly); refs: chrom, start2,
+    end2, ref, place. Of each allele the first reference whose locus its alignment strictly overlaps, the inserted bases and
+    the kind: Novel(trans) where the alignment meets no reference, Novel(unmap) where there is none. Each allele keeps its own
+    exon flag."""
+    found = interval.first_overlap(mapped, refs, "place").select("id", "ref", "cigar", F.concat(F.col("chrom"), F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("end").cast("string")).alias("ref_align"))
+    best = alleles.join(found, "id", "left")
     inserted = F.when(F.col("ref").isNotNull(), C.length(F.col("cigar"), "I"))
-    return best.withColumn("inserted", inserted).withColumn("kind", C.insert_kind(F.col("inserted"), F.col("size")))
+    return best.withColumn("inserted", inserted).withColumn("kind", C.insert_kind(F.col("inserted"), F.col("size"), F.col("cigar").isNotNull())).drop("cigar")
 
 
 def exclusive_kmers(gene: DataFrame, whole: DataFrame, k: int = 31) -> DataFrame:
@@ -125,7 +136,7 @@ def convert(mode: int, inputs: DataFrame, targets: DataFrame | None = None, k: i
 
 
 def graph_pipeline(alleles: DataFrame, group: str, selfhits: DataFrame | None = None, aligned: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Stages that their inputs are there for: segments; segments without repeats; paths; chunks and visits."""
+    """Stages that their inputs are there for: segments; segments without repeats; paths; chunks, visits and linear order."""
     out = {"segments": graph.graphs(alleles, group)}
     if selfhits is not None:
         out["kept"] = graph.without_repeats(selfhits, out["segments"].select("segment", F.length("seq").cast("long").alias("size")))
@@ -133,7 +144,7 @@ def graph_pipeline(alleles: DataFrame, group: str, selfhits: DataFrame | None =
         out["paths"] = graph.paths(aligned)
         step = out["paths"].select("allele", F.explode("steps").alias("s"))
         steps = step.select("allele", F.expr("substring(s.step, 2)").alias("segment"), F.substring("s.step", 1, 1).alias("strand"), F.col("s.rstart").alias("start"), F.col("s.rend").alias("end"), F.col("s.qstart").alias("qstart"))
-        out["chunks"], out["visits"] = linear_graph(steps)
+        out["chunks"], out["visits"], out["order"] = linear_graph(steps)
     return out
 
 

@@ -22,8 +22,12 @@ def clear(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests, one machine)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir, else the context's checkpoint folder. A temporary one only where neither is set and
+    all tasks run on this machine: elsewhere executors could not read what others wrote."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if found is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if found is None:
         found = getattr(spark, "_allelespan_dir", None)
         if found is None:

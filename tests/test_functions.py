@@ -21,6 +21,12 @@ def test_kmers_do_not_span_other_letters(spark):
     assert [(r.name, r.pos) for r in S.kmers(df, "seq", 3, "name").collect()] == [("a", 0), ("a", 4)]
 
 
+def test_masked_bases_count(spark):
+    df = spark.createDataFrame([("a", "acgtACGTß"), ("b", "ACGTACGTN")], "name string, seq string")
+    got = S.kmers(df, "seq", 4, "name").collect()
+    assert [(r.pos, r.kmer) for r in got if r.name == "a"] == [(r.pos, r.kmer) for r in got if r.name == "b"] and len(got) == 10
+
+
 def test_kmers_over_chunk_borders(spark):
     rng = random.Random(1)
     seq = "".join(rng.choice("ACGT") for _ in range(1000))
@@ -36,7 +42,7 @@ def test_kmers_over_chunk_borders(spark):
 def test_encoding_round_trip(spark):
     k = "ACGTTGCAACGTTGCAACGTTGCAACGTTGC"
     assert one(spark, S.decode2bit(S.encode2bit(F.col("k"))), k=k) == k
-    assert one(spark, S.encode2bit(F.col("k")), k="ACN") is None
+    assert one(spark, S.encode2bit(F.col("k")), k="ACN") is None and one(spark, S.encode2bit(F.col("k")), k="acGt") == 27
     assert one(spark, S.base64_code(F.lit(0).cast("long")), k="x") == "0"
 
 
@@ -66,12 +72,15 @@ def test_names(spark):
     assert one(spark, S.unique_bases(F.col("n")), n="acGTa") == 2
     assert one(spark, S.n_ends(F.col("n"))[0], n="NNACN") == 2
     names = F.split("n", ",")
-    assert one(spark, S.group_name(names, "C4"), n="Z.1,C4B,A,C4A") == "C4AOOOC4BOOOA"
+    assert one(spark, S.group_name(names, "C4"), n="Z.1,XC4B,A,C4A") == "C4AOOOXC4BOOOA"
     assert one(spark, S.without_readthrough(names), n="A-B,A,C-D") == ["A", "C-D"]
 
 
 def test_cigar_columns(spark):
     assert one(spark, C.length(F.col("c"), "MXI"), c="3H10M2I1X4D5M") == 18
+    got = one(spark, C.lengths(F.col("c"), ref="MXI", clip="H", same="="), c="3H10M2XAC1I4D5M7=")
+    assert (got.ref, got.clip, got.same) == (18, 3, 7)
+    assert one(spark, C.length(F.col("c"), "M"), c="*") == one(spark, C.length(F.col("c"), "M"), c="") == 0
     assert one(spark, C.insert_kind(F.lit(49), F.lit(100)), c="x") == "Mutate"
     assert one(spark, C.insert_kind(F.lit(50), F.lit(100)), c="x") == "Novel(insert)"
 

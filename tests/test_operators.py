@@ -35,6 +35,26 @@ def test_set_filter_and_dual(spark):
     assert rows(kmer.dual_counts(c, spark.createDataFrame([("B", 70000)], "kmer string, cnt long"))) == [("B", 2, 65535)]
 
 
+def test_probes_come_before_counts(spark):
+    """Of the corpus only target k-mers are shuffled."""
+    corpus = spark.createDataFrame([("h", x) for x in "AAABBCDDDD"], "haplo string, kmer string")
+    found = spark.createDataFrame([("t", "A"), ("u", "A"), ("t", "Z")], "target string, kmer string")
+    got = kmer.target_counts(corpus, found, "target", "haplo", small=True)
+    assert rows(got) == rows(kmer.target_counts(corpus, found, "target", "haplo")) == [("h", "t", "A", 3), ("h", "u", "A", 3)]
+    counted = spark.createDataFrame([("A", 2), ("B", 300), ("Z", 1)], "kmer string, cnt long")
+    dual = kmer.dual_counts_of(counted, corpus.select("kmer"))
+    assert rows(dual) == rows(kmer.dual_counts(counted, kmer.counts(corpus, cap=None))) == [("A", 2, 3), ("Z", 1, 0)]
+    for df in (got, dual):  # the probe stands below the aggregate, so below its exchange
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("LeftSemi") > plan.index("Aggregate")
+
+
+def test_exclusive_in_one_row(spark):
+    counted = spark.createDataFrame([("h", "A", 2, 2), ("h", "B", 1, 3), ("h", "C", 0, 1), ("h", "D", 300, 300), ("x", "A", 0, 4)], "haplo string, kmer string, g long, w long")
+    gene, whole = (counted.where(f"{c} > 0").select("haplo", "kmer", F.least(F.col(c), F.lit(255)).alias("cnt")) for c in "gw")
+    assert rows(kmer.exclusive_within(counted)) == rows(kmer.exclusive(gene, whole))
+
+
 def test_hotspots(spark):
     hits = spark.createDataFrame([("t", "c", p) for p in (100, 200, 300, 400, 2000)], "target string, contig string, pos int")
     assert rows(kmer.hotspots(hits, 3)) == [("t", "c", 100, 400)]
@@ -155,6 +175,13 @@ def test_pairs(spark):
     assert rows(similarity.self_weights(counts, "s")) == [(1, 4.0), (2, 9.05), (3, 0.8)]
 
 
+def test_hot_kmers_are_paired_in_blocks(spark):
+    counts = spark.createDataFrame([(i, "HOT", i % 3 + 1) for i in range(40)] + [(1, "B", 2), (30, "B", 5)], "s long, kmer string, cnt long")
+    want = {(i, j): min(i % 3, j % 3) + 1 + 2 * ((i, j) == (1, 30)) for i in range(40) for j in range(i + 1, 40)}
+    got = similarity._pairs(counts, "s", 7).groupBy("i", "j").agg(F.sum(F.least("ci", "cj")).alias("n"), F.count("*").alias("c")).collect()
+    assert {(r.i, r.j): r.n for r in got} == want and sum(r.c for r in got) == len(want) + 1
+
+
 def test_partition(spark):
     names = spark.createDataFrame([(x,) for x in (2, 3, 4, 7, 9)], "name long")
     shared = spark.createDataFrame([(2, 7, 501), (3, 4, 600), (4, 7, 501), (7, 9, 500)], "i long, j long, shared long")
@@ -175,16 +202,106 @@ def test_components_against_union_find(spark, edges):
     assert got == {x: root[x] for e in edges if e[0] != e[1] for x in e}
 
 
+def naive_tree(names, dist):
+    """The rule step by step over a growing matrix, as nested tuples (left, right)."""
+    d = {(i, j): float(dist[i][j]) for i in range(len(names)) for j in range(len(names)) if i != j}
+    live, made = list(range(len(names))), dict(enumerate(names))
+    lengths = []
+    while len(live) > 1:
+        pairs = [(i, j) for i in live for j in live if i != j]
+        i, j = next((p for p in pairs if d[p] == 0), None) or min(pairs, key=lambda p: d[p])
+        new = max(made) + 1
+        made[new] = (made[j], made[i])
+        lengths.append(d[i, j] / 2)
+        live = [x for x in live if x not in (i, j)]
+        for x in live:
+            d[x, new] = d[new, x] = (d[x, i] + d[x, j]) / 2
+        live.append(new)
+    return made[live[0]], lengths
+
+
+def nested(node):
+    return node.name if node.left is None else (nested(node.left), nested(node.right))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(2, 9), st.integers(1, 12), st.randoms(use_true_random=False))
+def test_tree_against_naive_loop(n, top, rng):
+    d = np.zeros((n, n))
+    for i in range(n):
+        for j in range(i):
+            d[i, j] = d[j, i] = rng.randint(0, top)
+    names = [f"s{i}" for i in range(n)]
+    want, heights = naive_tree(names, d)
+    got = cluster.tree(names, d)
+    assert nested(got) == want and got.height == heights[-1]
+
+
 def test_tree_and_newick():
     d = np.array([[0, 2, 6], [2, 0, 4], [6, 4, 0]], float)
     t = cluster.tree(["a", "b", "c"], d)
-    assert t.newick() == "(c:2.5000000,(b:1.0000000,a:1.0000000):1.500000):0.000000"
-    assert [x.name for x in cluster.parse_newick(t.newick() + ";").leaves()] == ["c", "b", "a"]
+    assert t.newick() == "((b:1.0000000,a:1.0000000):1.500000,c:2.5000000):0.000000"
+    assert [x.name for x in cluster.parse_newick(t.newick() + ";").leaves()] == ["b", "a", "c"]
+    big = cluster.tree([str(i) for i in range(1500)], np.abs(np.subtract.outer(*[2.0 ** np.minimum(np.arange(1500), 900)] * 2)))
+    assert len(cluster.parse_newick(big.newick()).leaves()) == 1500
+    many = cluster.parse_newick("(a:1,b:2,(c,d,e)x:3,f);")
+    assert [x.name for x in many.leaves()] == list("abcdef") and many.leaves()[1].length == 2
+    # UPGMA weighs sides by their leaves
+    e = np.array([[0, 1, 4, 9], [1, 0, 4, 9], [4, 4, 0, 3], [9, 9, 3, 0]], float)
+    assert cluster.tree(list("abcd"), e, False).height == cluster.tree(list("abcd"), e).height == 3.25
+    f = np.array([[0, 1, 2, 9], [1, 0, 2, 9], [2, 2, 0, 3], [9, 9, 3, 0]], float)
+    assert cluster.tree(list("abcd"), f, False).height == 3.5 and cluster.tree(list("abcd"), f).height == 3.0
     labels = [("a", 1), ("b", 1), ("c", 2), ("d", 1), ("e", 3)]
     assert list(cluster.renumbered(labels, True).values()) == [1, 1, 2, 2, 3]
     assert list(cluster.renumbered(labels).values()) == [1, 1, 2, 1, 3]
 
 
+def naive_order(paths):
+    """The rule over the paths themselves: lists of successors, a start mark and an end mark."""
+    after, seen = {"<": []}, ["<"]
+    for path in paths:
+        last = "<"
+        for x in path:
+            after.setdefault(last, []).append(x)
+            if x not in seen:
+                seen.append(x)
+            last = x
+    order = []
+    for x in sorted(seen, key=lambda x: -len(after.get(x, []))):
+        options = after.get(x, []) + [">"]
+        y = max(options, key=options.count)
+        if x in order and y in order:
+            continue
+        if x in order:
+            order.insert(order.index(x) + 1, y)
+        elif y in order:
+            order.insert(order.index(y), x)
+        else:
+            order += [x, y]
+    return [x for x in order if x not in "<>"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.permutations(list("abcdefg")).flatmap(lambda p: st.integers(1, 7).map(lambda n: list(p[:n]))), min_size=1, max_size=8))
+def test_linear_order_against_naive_loop(paths):
+    count, first = {}, {}
+    for q, path in enumerate(paths):
+        for at, pair in enumerate(zip([None, *path], path)):
+            count[pair] = count.get(pair, 0) + 1
+            first.setdefault(pair, (q, at))
+    edges = [(*pair, n, first[pair]) for pair, n in count.items()]
+    assert graph.linear_order(edges) == graph.linear_order(edges[::-1]) == naive_order(paths)
+
+
+def test_successors_and_linear_orders(spark):
+    paths = ["abc", "axc", "xab", "d"]
+    rows_ = [(q, at, x, "g") for q, p in enumerate(paths) for at, x in enumerate(p)]
+    visits = spark.createDataFrame(rows_, "q int, at int, chunk string, g string")
+    edges = graph.successors(visits, "q", "chunk", "at")
+    got = graph.linear_orders(edges.withColumn("g", F.lit("g")), "g").orderBy("place").collect()
+    assert [r.chunk for r in got] == naive_order(paths)
+
+
 def test_types(spark):
     m = [("g", i, j, 5000.0 if i == j else 4990.0 if (i < 3) == (j < 3) else 100.0) for i in range(6) for j in range(i, 6)]
     got = cluster.types(spark.createDataFrame(m, "g string, i long, j long, m double"), "g")
@@ -216,7 +333,6 @@ def test_graph(spark):
     more = base[:400] + "".join(rng.choice("ACGT") for _ in range(350)) + base[400:]
     made = graph.grow([("a", base), ("b", more)], graph.kmer_cover())
     assert [n.split("_")[0] for n, _ in made] == ["a", "b"] and abs(len(made[1][1]) - 470) <= 2
-    assert graph.linear_order([("a", "b", 3), ("b", "c", 2)]) == ["a", "b", "c"][:0] + graph.linear_order([("b", "c", 2), ("a", "b", 3)])
     hits = spark.createDataFrame([("s", 1, 100, 400, 0, 0), ("s", 1, 0, 50, 2, 0)], "segment string, place int, start long, end long, rplace int, rstart long")
     kept = graph.without_repeats(hits, spark.createDataFrame([("s", 1000)], "segment string, size long"))
     assert rows(kept) == [("s", 370, 1000)]

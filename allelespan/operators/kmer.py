@@ -102,7 +102,7 @@ def window_gc(df: DataFrame, by: str, pos: str, base: str, size: int = 100, cuto
     """df: one row a base. ok: GC of the last `size` bases within (1 - cutoff, cutoff); ok while there are fewer."""
     w = Window.partitionBy(by).orderBy(pos).rowsBetween(-(size - 1), 0)
     gc, n = F.sum(F.when(F.upper(base).isin("G", "C"), 1).otherwise(0)).over(w), F.count("*").over(w)
-    return df.withColumn("ok", (n < size) | ((gc > (1 - cutoff) * size) & (gc < cutoff * size)))
+    return df.withColumn("ok", (n < size) | ((gc > round((1 - cutoff) * size, 6)) & (gc < round(cutoff * size, 6))))
 
 
 def hotspots(hits: DataFrame, c: int = 50, near: int = 1000, by: tuple[str, ...] = ("target", "contig")) -> DataFrame:

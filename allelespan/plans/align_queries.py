@@ -61,5 +61,14 @@ x AS (SELECT *, count(*) OVER (PARTITION BY haplo, ref) AS same, row_number() OV
 SELECT DISTINCT allele FROM x WHERE same > 1 OR b = allele OR (seen = 1 AND diff > 0.08)""",
     ),
     "alignment_segments": (alignment_segments, None),
-    "graph_paths": (graph_paths, None),
+    "graph_paths": (
+        graph_paths,
+        R_CTE
+        + """, a AS (SELECT l_orderkey AS chrom, l_linenumber AS id, l_partkey AS segment, CASE WHEN l_returnflag = 'R' THEN '<' ELSE '>' END AS o, l_partkey % 500 AS start, l_partkey % 500 + query_len AS "end", CAST(round(l_discount * 100) AS BIGINT) AS score FROM r JOIN n USING (rn)),
+p AS (SELECT chrom, start AS p FROM a UNION SELECT chrom, "end" FROM a), c2 AS (SELECT * FROM (SELECT chrom, p AS s, lead(p) OVER (PARTITION BY chrom ORDER BY p) AS t FROM p) WHERE t IS NOT NULL),
+b AS (SELECT * FROM (SELECT x.chrom, s, t, id, row_number() OVER (PARTITION BY x.chrom, s ORDER BY score DESC, id) AS r FROM c2 x JOIN a ON x.chrom = a.chrom AND a.start < t AND s < a."end") WHERE r = 1),
+f AS (SELECT *, CASE WHEN lag(id) OVER w = id AND lag(t) OVER w = s THEN 0 ELSE 1 END AS f FROM b WINDOW w AS (PARTITION BY chrom ORDER BY s)),
+g AS (SELECT *, sum(f) OVER (PARTITION BY chrom ORDER BY s) AS g FROM f), e AS (SELECT chrom, id, min(s) AS s, max(t) AS t FROM g GROUP BY chrom, g, id HAVING max(t) - min(s) > 30)
+SELECT e.chrom AS allele, string_agg(o || segment, '' ORDER BY e.s, e.t, o || segment) AS path, CAST(count(*) AS INTEGER) AS n_steps FROM e JOIN a ON a.chrom = e.chrom AND a.id = e.id GROUP BY 1""",
+    ),
 }

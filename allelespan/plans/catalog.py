@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelespan.plans import align_queries, interval_queries, kmer_queries, pair_queries
+from allelespan.plans import align_queries, composite_queries, function_queries, interval_queries, io_queries, kmer_queries, pair_queries
 
-QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = kmer_queries.QUERIES | interval_queries.QUERIES | pair_queries.QUERIES | align_queries.QUERIES
+QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
+for found in (kmer_queries, interval_queries, pair_queries, align_queries, function_queries, composite_queries, io_queries):
+    QUERIES |= found.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -124,14 +124,14 @@ def convert(mode: int, inputs: DataFrame, targets: DataFrame | None = None, k: i
     found = kmer.targets(S.kmers(targets, "seq", k, "target"), "target") if targets is not None else None
     out = {}
     if mode in (0, 2):
-        out["counts"] = kmer.counts(at) if found is None else kmer.target_counts(at, found, "target", "name")
+        out["counts"] = kmer.counts(at) if found is None else kmer.target_counts(at, found, "target", "name", small=kmer.bounded(found))
     if mode in (1, 2):
-        hits = at.join(found, "kmer").select("target", F.col("name").alias("contig"), (F.col("pos") + k).alias("pos"))
+        hits = at.join(kmer.probe(found, kmer.bounded(found)), "kmer").select("target", F.col("name").alias("contig"), (F.col("pos") + k).alias("pos"))
         out["hotspots"] = kmer.hotspots(hits, c)
     if mode == 3:
         out["kmers"] = kmer.set_filter(at.where("NOT excluded"), at.where("excluded"))
     if mode == 4:
-        out["dual"] = kmer.dual_counts(kmer.counts(S.kmers(targets, "seq", k, "target"), cap=None), kmer.counts(at, cap=None))
+        out["dual"] = kmer.dual_counts_of(kmer.counts(S.kmers(targets, "seq", k, "target"), cap=None), at)
     return out
 
 

@@ -15,6 +15,21 @@ GRAPH5 = "query string, path string, cigar string, ranges string, qranges string
 ANNOTATION7 = "name string, ref string, locus string, reflocus string, exon int, distance double, tag string"
 
 
+def path_list(spark: SparkSession, paths: Paths = (), lists: Paths = ()) -> list[str]:
+    """The files that paths name (of a folder its own files, not those of folders in it), then those that the lines of the list
+    files name. Paths are few and are listed on the driver."""
+    hadoop, out = spark._jvm.org.apache.hadoop.fs.Path, []
+    for name in [paths] if isinstance(paths, str) else paths:
+        system = hadoop(name).getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.getFileStatus(hadoop(name)).isDirectory():
+            out += sorted(x.getPath().toString() for x in system.listStatus(hadoop(name)) if x.isFile())
+        else:
+            out.append(name)
+    for name in [lists] if isinstance(lists, str) else lists:
+        out += [r.line for r in sorted(numbered_lines(spark, name).collect(), key=lambda r: (r.file, r.n)) if r.line]
+    return out
+
+
 def tsv(spark: SparkSession, paths: Paths, schema: str, comment: str | None = None) -> DataFrame:
     """Tab-separated without a header; columns by place, more than the schema has are left out."""
     reader = spark.read.schema(schema).options(sep="\t", quote="", mode="PERMISSIVE")
@@ -91,10 +106,23 @@ def error_bed(spark: SparkSession, paths: Paths) -> DataFrame:
     return rows.select(f[0].alias("contig"), f[1].cast("long").alias("start"), f[2].cast("long").alias("end"))
 
 
+def numbered_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """file, n (line number from 0), line. Files are read in blocks side by side: a block's lines have consecutive ids, and the
+    driver adds up the blocks' numbers of lines (one row a block)."""
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    before: dict[str, int] = {}
+    blocks = []
+    for r in sorted(rows.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n")).collect(), key=lambda r: (r.file, r.block)):
+        blocks.append((r.file, r.block, before.get(r.file, 0) - r.first))
+        before[r.file] = before.get(r.file, 0) + r.n
+    shift = F.broadcast(spark.createDataFrame(blocks, "file string, block long, shift long"))
+    return rows.join(shift, ["file", "block"]).select("file", (F.col("id") + F.col("shift")).alias("n"), "line")
+
+
 def norm_matrix(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Long form i, j, m (from 0) of a square text matrix, upper triangle; rows are numbered by their place in the file."""
-    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("i", "line"))
-    return rows.select("i", F.posexplode(F.split("line", delimiter)).alias("j", "m")).select("i", "j", F.col("m").cast("double").alias("m")).where("i <= j")
+    """Long form i, j, m (from 0) of a square text matrix in one file, upper triangle; rows are numbered by their place in it."""
+    rows = numbered_lines(spark, path).where("line <> ''").select(F.col("n").cast("int").alias("i"), F.posexplode(F.split("line", delimiter)).alias("j", "m"))
+    return rows.where("i <= j").select("i", "j", F.col("m").cast("double").alias("m"))
 
 
 def newick(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -103,7 +131,7 @@ def newick(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def stretcher(spark: SparkSession, paths: Paths) -> DataFrame:
     """file, name, row: gapped rows of a pairwise alignment text, blocks joined in order."""
-    lines = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("n", "line"))
+    lines = numbered_lines(spark, paths)
     m = r"^(\S+)\s+(?:\d+\s+)?([A-Za-z-]+)(?:\s+\d+)?\s*$"
     rows = lines.where(~F.col("line").startswith("#")).select("file", "n", F.regexp_extract("line", m, 1).alias("name"), F.regexp_extract("line", m, 2).alias("part")).where("part <> ''")
     got = rows.groupBy("file", "name").agg(F.sort_array(F.collect_list(F.struct("n", "part"))).alias("x"), F.min("n").alias("first"))

@@ -35,11 +35,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; clear() deletes what is written there."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read back: computed once, lineage cut, safe if executors are lost."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

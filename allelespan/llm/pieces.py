@@ -3,12 +3,15 @@
 A text gets a space in front and is cut into chunks, each a run of spaces and what follows up to the next space; no piece
 of the vocabulary crosses such a border, which is checked when the vocabulary is read. In a chunk the agenda holds every
 adjacent pair whose union is a piece; the best score merges first, the leftmost of equals. A candidate is skipped for good
-if the keyed hash of (seed, variant, chunk, its start, its end) is under `dropout`. The variant is a keyed hash of the
-row's key and the chunk's place, modulo `variants`, so a word is cut differently from place to place, and a rerun gives the
-same pieces. Characters outside the vocabulary, and the space mark itself where a text holds it, become byte pieces.
+if the keyed hash of (seed, row's key, the chunk's place in the row, its start, its end) is under `dropout`. Every place of
+every row draws for itself, so a word is cut differently from place to place, and a rerun gives the same pieces. Characters
+outside the vocabulary, and the space mark itself where a text holds it, become byte pieces.
 
-Distinct (chunk, variant) pairs of a block of text are merged together in numpy; chunks of over LONG characters go through
-a heap. Memory is bounded by BLOCK bytes of text (or one text, if that is longer).
+Chunks of like length merge together in numpy, one merge of each chunk a step; chunks of over LONG characters go through a
+heap. Both give the same pieces. Nothing is shared between equal chunks, so common words vary as freely as rare ones.
+
+Memory is bounded by BLOCK characters of text: longer texts are cut between chunks. Decoding for `lossless` puts the pieces'
+bytes together in numpy.
 
 Edge cases: null gives null ids and null lossless; empty text gives no ids. Repeated rows with equal keys get equal ids.
 Extra columns of the input are dropped; `keep` names those to carry.
@@ -19,7 +22,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,14 @@ from allelespan.llm._common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BLOCK = 1_500_000
+BLOCK = 1_000_000
 LONG = 256
+#: Characters of chunks that are merged at once.
+TOGETHER = 1 << 17
 NONE = np.int32(2**31 - 1)
-WIDTHS = (4, 8, 12, 16, 24, 32, 64, LONG)
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32, 64, 128, LONG)
 CHUNK = re.compile(" +[^ ]*")
+BORDER = re.compile("(?<! ) ")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,12 +75,21 @@ class Pieces:
         self.single = {" " if p == MARK else p: i for p, i in ids.items() if len(p) == 1}
         order = {i: n for n, i in enumerate(sorted(normal, key=lambda i: (-sp.get_score(i), i)))}
         pairs = sorted((ids[p[:k]] << 20 | ids[p[k:]], order[i], i) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids)
-        self.keys = np.array([k for k, _, _ in pairs], dtype=np.int64)
-        self.ranks = np.array([r for _, r, _ in pairs] + [NONE], dtype=np.int32)
+        bits = int(len(pairs) + 1).bit_length() + 2
+        self.shift, empty = np.uint64(64 - bits), (1 << bits) + 64
+        #: Open addressing: pairs of symbols, -1 for none, and the ranks of their unions.
+        self.pair, self.rank_of = np.full(empty, -1, dtype=np.int64), np.full(empty, NONE, dtype=np.int32)
+        for (key, r, _), slot in zip(pairs, self._slot(np.array([k for k, _, _ in pairs], dtype=np.int64)).tolist()):
+            while self.pair[slot] != -1:
+                slot += 1
+            self.pair[slot], self.rank_of[slot] = key, r
         self.made = np.zeros(len(normal) + 1, dtype=np.int32)  # by rank
         for i, n in order.items():
             self.made[n] = i
         self._start: np.ndarray | None = None
+        #: All pieces' bytes one after the other, and where each begins.
+        self.pool = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
+        self.at = np.concatenate(([0], np.cumsum([len(x) for x in self.raw])))
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_start": None}
@@ -89,66 +103,81 @@ class Pieces:
                 self._start[ord(c)] = i
         return self._start
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 20 | right
-        at = np.searchsorted(self.keys, key)
-        at[at == len(self.keys)] = 0
-        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], NONE)
+        slot = self._slot(key)
+        found = self.pair[slot]
+        other = np.flatnonzero((found != key) & (found != -1))
+        while len(other):
+            slot[other] += 1
+            found = self.pair[slot[other]]
+            other = other[(found != key[other]) & (found != -1)]
+        return np.where((self.pair[slot] == key) & (left >= 0) & (right >= 0), self.rank_of[slot], NONE)
+
+
+def _span(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return start.astype(np.uint64) << np.uint64(32) | end.astype(np.uint64)
+
 
+def _under(x: np.ndarray, dropout: float) -> np.ndarray:
+    return (x >> np.uint64(11)) < np.uint64(int(dropout * 2.0**53))
 
-def _skipped(salt: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
-    x = _mix(salt ^ _mix(start.astype(np.uint64) << np.uint64(32) | end.astype(np.uint64)))
-    return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
+def _skipped(salt: np.ndarray, span: np.ndarray, dropout: float) -> np.ndarray:
+    return _under(_mix(salt ^ _mix(span)), dropout)
 
-def _salts(code: np.ndarray, size: np.ndarray, variant: np.ndarray, seed: int) -> np.ndarray:
-    """A keyed hash of each row's chunk and variant."""
-    h = _mix(variant.astype(np.uint64) + _seeded(seed))
-    for j in range(code.shape[1]):
-        h = np.where(j < size, _mix(h ^ code[:, j].astype(np.uint64)) + np.uint64(0x9E3779B97F4A7C15), h)
-    return h
 
+def salts(keys: np.ndarray, rows: np.ndarray, place: np.ndarray, seed: int) -> np.ndarray:
+    """A keyed hash of each place: rows are positions in keys, place the chunk's number in its row."""
+    own = _mix(keys.astype(np.int64).view(np.uint64) ^ _mix(np.array([_seeded(seed)])))
+    return _mix(own[rows] + _mix(place.astype(np.uint64) + np.uint64(1)))
 
-def _many(p: Pieces, code: np.ndarray, size: np.ndarray, salt: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols (padded with -2) and their starts, of chunks as rows of code points."""
+
+def _many(p: Pieces, code: np.ndarray, size: np.ndarray, salt: np.ndarray, dropout: float) -> np.ndarray:
+    """Symbols of chunks, which are rows of code points, each where its first character stands; -2 elsewhere."""
     n, width = code.shape
-    where = np.arange(width)
-    symbols = np.where(where < size[:, None], p.start()[code], np.int32(-2))
-    starts = np.where(where < size[:, None], where, size[:, None]).astype(np.int32)
-    starts = np.concatenate((starts, size[:, None].astype(np.int32), size[:, None].astype(np.int32)), axis=1)
-
-    def ranked(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        r = p.rank(symbols[i, j], symbols[i, j + 1])
-        if dropout > 0 and len(i):
-            r = np.where((r != NONE) & _skipped(salt[i], starts[i, j], starts[i, j + 2], dropout), NONE, r)
-        return r
-
-    ranks = np.full((n, max(1, width - 1)), NONE, dtype=np.int32)
+    where, base = np.arange(width), np.arange(n) * width
+    symbol = np.where(where < size[:, None], p.start()[code], np.int32(-2)).ravel()
+    after, before = np.tile(where + 1, n), np.tile(where - 1, n)
+    ranks = np.full((n, width), NONE, dtype=np.int32)
+    flat = ranks.ravel()
+
+    def offer(row: np.ndarray, i: np.ndarray) -> None:
+        """The pairs of the symbols at i and those after them."""
+        j = after[base[row] + i]
+        r = p.rank(symbol[base[row] + i], symbol[base[row] + j])
+        may = np.flatnonzero(r != NONE)
+        row, i, j, r = row[may], i[may], j[may], r[may]
+        if dropout > 0:
+            r[_skipped(salt[row], _span(i, after[base[row] + j]), dropout)] = NONE
+        flat[base[row] + i] = r
+
     if width > 1:
-        i, j = np.nonzero(where[None, 1:] < size[:, None])
-        ranks[i, j] = ranked(i, j)
-    rows = np.arange(n)
+        offer(*np.nonzero(where[None, 1:] < size[:, None]))
+    rows, open_ = np.arange(n), ranks
     while len(rows):
-        at = ranks[rows].argmin(axis=1)
-        best = ranks[rows, at]
+        i = open_.argmin(axis=1)
+        best = open_[np.arange(len(rows)), i]
         live = best != NONE
-        rows, at, best = rows[live], at[live], best[live]
-        if not len(rows):
-            break
-        take = where[None, :] + (where[None, :] > at[:, None])  # the symbol after the merged one goes
-        block = np.concatenate((symbols[rows], np.full((len(rows), 1), -2, np.int32)), axis=1)
-        block[np.arange(len(rows)), at] = p.made[best]
-        symbols[rows] = np.take_along_axis(block, take, axis=1)
-        take = np.concatenate((take, np.full((len(rows), 2), width + 1)), axis=1)
-        starts[rows] = np.take_along_axis(starts[rows], take, axis=1)
-        take = where[None, : width - 1] + (where[None, : width - 1] > at[:, None])
-        block = np.concatenate((ranks[rows], np.full((len(rows), 1), NONE)), axis=1)
-        ranks[rows] = np.take_along_axis(block, take, axis=1)
-        for shift in (-1, 0):
-            j = at + shift
-            ok = (j >= 0) & (j < width - 1)
-            ranks[rows[ok], j[ok]] = ranked(rows[ok], j[ok])
-    return symbols, starts
+        rows, i = rows[live], i[live]
+        a = base[rows] + i
+        j = after[a]
+        b = base[rows] + j
+        symbol[a], symbol[b] = p.made[best[live]], -2
+        after[a] = after[b]
+        inner = after[a] < size[rows]
+        before[base[rows[inner]] + after[a][inner]] = i[inner]
+        h = before[a]
+        left = h >= 0
+        flat[a] = flat[b] = NONE
+        flat[base[rows[left]] + h[left]] = NONE
+        offer(rows[inner], i[inner])
+        offer(rows[left], h[left])
+        open_ = ranks[rows]
+    return symbol.reshape(n, width)
 
 
 def _one(p: Pieces, chunk: str, salt: np.uint64, dropout: float) -> list[tuple[int, int]]:
@@ -157,7 +186,6 @@ def _one(p: Pieces, chunk: str, salt: np.uint64, dropout: float) -> list[tuple[i
     symbol, n = p.start()[code].tolist(), len(code)
     end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
     agenda: list[tuple[int, int, int, int]] = []
-    salts = np.array([salt], dtype=np.uint64)
 
     def offer(i: np.ndarray) -> None:
         j = np.array([after[x] for x in i], dtype=np.int64)
@@ -165,7 +193,7 @@ def _one(p: Pieces, chunk: str, salt: np.uint64, dropout: float) -> list[tuple[i
         if len(i):
             stop = np.array([end[x] for x in j], dtype=np.int64)
             r = p.rank(np.array([symbol[x] for x in i]), np.array([symbol[x] for x in j]))
-            r = np.where(_skipped(salts, i, stop, dropout), NONE, r)
+            r = np.where(_skipped(np.array([salt], dtype=np.uint64), _span(i, stop), dropout), NONE, r)
             for a, b, rank in zip(i.tolist(), stop.tolist(), r.tolist()):
                 if rank != NONE:
                     heapq.heappush(agenda, (rank, a, b, end[a]))
@@ -184,40 +212,45 @@ def _one(p: Pieces, chunk: str, salt: np.uint64, dropout: float) -> list[tuple[i
     return [(symbol[i], i) for i in range(n) if not gone[i]]
 
 
-def segment(p: Pieces, chunks: list[str], variant: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def _points(chunks: list[str], width: int, size: np.ndarray) -> np.ndarray:
+    code = np.zeros((len(chunks), width), dtype=np.uint32)
+    code[np.arange(width) < size[:, None]] = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return code
+
+
+def _ids(p: Pieces, symbols: np.ndarray, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each row, and all ids; characters outside the vocabulary (-1) are written out in bytes."""
+    count = (symbols >= 0).sum(axis=1)
+    if not (symbols == -1).any():
+        return count, symbols[symbols >= 0]
+    rows = [_expanded(p, [(x, i) for i, x in enumerate(own) if x != -2], c) for own, c in zip(symbols.tolist(), chunks)]
+    return np.array([len(r) for r in rows]), np.array([x for r in rows for x in r], dtype=np.int32)
+
+
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for size[0] numbers, then of the next."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def segment(p: Pieces, chunks: list[str], salt: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """Number of ids of each chunk, and all ids."""
-    size = np.array([len(c) for c in chunks], dtype=np.int64)
-    count, parts, low = np.zeros(len(chunks), dtype=np.int64), {}, 0
+    size = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+    count, parts, low = np.zeros(len(chunks), dtype=np.int64), [], 0
     for width in WIDTHS:
-        own = np.flatnonzero((size > low) & (size <= width))
+        every, step = np.flatnonzero((size > low) & (size <= width)), TOGETHER // width + 1
         low = width
-        if not len(own):
-            continue
-        code = np.zeros((len(own), width), dtype=np.uint32)
-        flat = np.frombuffer("".join([chunks[i] for i in own]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        code[np.arange(width) < size[own][:, None]] = flat
-        symbols, starts = _many(p, code, size[own], _salts(code, size[own], variant[own], seed), dropout)
-        odd = (symbols == -1).any(axis=1)
-        count[own] = (symbols >= 0).sum(axis=1)
-        parts[width] = own[~odd], symbols[~odd]
-        for i in np.flatnonzero(odd):
-            parts[(width, i)] = own[i], _expanded(p, [(s, a) for s, a in zip(symbols[i].tolist(), starts[i].tolist()) if s != -2], chunks[own[i]])
-    for i in np.flatnonzero(size > LONG):
-        code = np.frombuffer(chunks[i].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        h = _mix(variant[i : i + 1].astype(np.uint64) + _seeded(seed))
-        h = _mix(h ^ np.bitwise_xor.reduce(_mix(code.astype(np.uint64) << np.uint64(32) | np.arange(len(code), dtype=np.uint64))))
-        parts[("long", i)] = i, _expanded(p, _one(p, chunks[i], h[0], dropout), chunks[i])
-    for key, (own, ids) in parts.items():
-        if isinstance(key, tuple):
-            count[own] = len(ids)
-    off = np.concatenate(([0], np.cumsum(count)))
-    out = np.zeros(off[-1], dtype=np.int32)
-    for key, (own, ids) in parts.items():
-        if isinstance(key, tuple):
-            out[off[own] : off[own + 1]] = ids
-        elif len(own):
-            at = np.repeat(off[own], count[own]) + (np.arange(count[own].sum()) - np.repeat(np.cumsum(count[own]) - count[own], count[own]))
-            out[at] = ids[ids >= 0]
+        for a in range(0, len(every), step):
+            own = every[a : a + step]
+            some = [chunks[i] for i in own.tolist()]
+            count[own], ids = _ids(p, _many(p, _points(some, width, size[own]), size[own], salt[own], dropout), some)
+            parts.append((own, ids))
+    for i in np.flatnonzero(size > LONG).tolist():
+        ids = _expanded(p, _one(p, chunks[i], salt[i], dropout), chunks[i])
+        count[i] = len(ids)
+        parts.append((np.array([i]), np.array(ids, dtype=np.int32)))
+    off, out = np.cumsum(count) - count, np.zeros(count.sum(), dtype=np.int32)
+    for own, ids in parts:
+        out[_ragged(off[own], count[own])] = ids
     return count, out
 
 
@@ -228,35 +261,70 @@ def _expanded(p: Pieces, got: list[tuple[int, int]], chunk: str) -> list[int]:
     return out
 
 
-def encode(p: Pieces, texts: list[str], keys: np.ndarray, seed: int = 0, dropout: float = 0.1, variants: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def _cut(texts: list[str]) -> Iterator[tuple[int, str]]:
+    """(number of the text, part): texts with a space in front, in parts of about BLOCK characters that end where a chunk does."""
+    for i, t in enumerate(texts):
+        t, at = " " + t if t else "", 0
+        while at < len(t):
+            m = BORDER.search(t, at + BLOCK) if len(t) - at > BLOCK else None
+            stop = m.start() if m else len(t)
+            yield i, t[at:stop]
+            at = stop
+
+
+def encode(p: Pieces, texts: list[str], keys: np.ndarray, seed: int = 0, dropout: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and ids of the texts; keys: an integer for each text."""
+    total, out = np.zeros(len(texts), dtype=np.int64), []
     chunks: list[str] = []
-    ends = []
-    for t in texts:
-        if t:
-            chunks += CHUNK.findall(" " + t)
-        ends.append(len(chunks))
-    size = np.diff(np.concatenate(([0], ends)))
-    number: dict[str, int] = {}  # pandas.factorize() takes strings up to a zero character
-    code = np.fromiter((number.setdefault(c, len(number)) for c in chunks), dtype=np.int64, count=len(chunks))
-    distinct = list(number)
-    place = np.arange(len(chunks)) - np.repeat(np.concatenate(([0], ends[:-1])) if ends else np.zeros(0, int), size)
-    key = _mix(keys.astype(np.int64).view(np.uint64) + np.uint64(seed % (1 << 64)))
-    variant = (_mix(np.repeat(key, size) ^ place.astype(np.uint64)) % np.uint64(variants)).astype(np.int64) if dropout > 0 else np.zeros(len(chunks), np.int64)
-    both, inverse = np.unique(code * variants + variant, return_inverse=True)
-    words = [distinct[i] for i in (both // variants).tolist()]
-    count, ids = segment(p, words, both % variants, seed, dropout)
-    off = np.cumsum(count) - count
-    n = count[inverse]
-    out = ids[np.repeat(off[inverse] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    return np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], ends)).astype(np.int64)], out
+    rows: list[tuple[int, int, int]] = []  # text, place of its first chunk here, number of chunks
+
+    def flush() -> None:
+        row, first, size = (np.array(x, dtype=np.int64) for x in zip(*rows))
+        place = np.arange(len(chunks)) - np.repeat(np.cumsum(size) - size - first, size)
+        which = np.repeat(row, size)
+        count, ids = segment(p, chunks, salts(keys, which, place, seed), dropout)
+        np.add.at(total, which, count)
+        out.append(ids)
+        chunks.clear()
+        rows.clear()
+
+    held, last, place = 0, -1, 0
+    for i, part in _cut(texts):
+        place = place if i == last else 0
+        found = CHUNK.findall(part)
+        if held + len(part) > BLOCK and chunks:
+            flush()
+            held = 0
+        chunks += found
+        rows.append((i, place, len(found)))
+        held, last, place = held + len(part), i, place + len(found)
+    if chunks:
+        flush()
+    return np.concatenate(([0], np.cumsum(total))), np.concatenate(out) if out else np.zeros(0, np.int32)
+
+
+def decoded_bytes(p: Pieces, ids: np.ndarray) -> np.ndarray:
+    """The bytes of all ids, with the space that is put in front of each text."""
+    return p.pool[_ragged(p.at[ids], p.at[ids + 1] - p.at[ids])]
+
+
+def lossless(p: Pieces, texts: list[str | None], off: np.ndarray, ids: np.ndarray) -> list[bool | None]:
+    """Whether each text comes back from its ids, byte for byte; null for null."""
+    out: list[bool | None] = []
+    for t, a, b in zip(texts, off[:-1].tolist(), off[1:].tolist()):
+        want, ok, at = (" " + t if t else t or "").encode("utf-8", "surrogatepass"), True, 0
+        for x in range(a, b, BLOCK):
+            part = decoded_bytes(p, ids[x : min(b, x + BLOCK)]).tobytes()
+            ok, at = ok and want.startswith(part, at), at + len(part)
+        out.append(None if t is None else ok and at == len(want))
+    return out
 
 
 def decode(p: Pieces, ids: list[int]) -> str:
     return b"".join([p.raw[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
 
 
-def encoded(df: DataFrame, key: str, text: str, keep: list[str], p: Pieces | None = None, seed: int = 0, dropout: float = 0.1, variants: int = 8) -> DataFrame:
+def encoded(df: DataFrame, key: str, text: str, keep: list[str], p: Pieces | None = None, seed: int = 0, dropout: float = 0.1) -> DataFrame:
     """keep, then ids, n_tokens and lossless (whether the whole text comes back from the ids)."""
     p = p or Pieces()
     keep = [c for c in keep if c not in ("ids", "n_tokens", "lossless")]
@@ -274,9 +342,9 @@ def encoded(df: DataFrame, key: str, text: str, keep: list[str], p: Pieces | Non
                     held += size[b]
                     b += 1
                 texts = batch.column(1).slice(a, b - a).to_pylist()  # only the block's texts become strings
-                off, ids = encode(p, [t or "" for t in texts], keys[a:b], seed, dropout, variants)
+                off, ids = encode(p, [t or "" for t in texts], keys[a:b], seed, dropout)
                 null = np.array([t is None for t in texts])
-                ok = [None if t is None else decode(p, ids[x:y].tolist()) == t for t, (x, y) in zip(texts, pairwise(off.tolist()))]
+                ok = lossless(p, texts, off, ids)
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array(null))
                 counts = pa.array(np.diff(off), pa.int32(), mask=null)
                 part = batch.slice(a, b - a)

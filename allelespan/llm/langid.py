@@ -47,29 +47,39 @@ def _letters() -> np.ndarray:
     return out
 
 
-def _hashed(code: np.ndarray) -> np.ndarray:
-    """Features of the bigrams and trigrams; code has zeros where there is no letter and starts and ends with one."""
-    c = code[np.concatenate(([True], (code[1:] != 0) | (code[:-1] != 0)))].astype(np.uint32)
-    if len(c) < 3:
+def _hashed(code: np.ndarray, new: int = 0) -> np.ndarray:
+    """Features of the bigrams and trigrams of lower-case code points, 0 where there is no letter; runs of zeros are one. Only
+    those that reach the last `new` of the code points, if given: the others belong to the block before."""
+    keep = np.concatenate(([True], (code[1:] != 0) | (code[:-1] != 0)))
+    old = int(keep[: len(code) - new].sum()) if new else 0
+    c = code[keep].astype(np.uint32)
+    if len(c) < 2:
         return np.zeros(0, dtype=np.int64)
     two = c[:-1] * np.uint32(2654435761) + c[1:] * np.uint32(2246822519)
     three = two[:-1] * np.uint32(3266489917) + c[2:] * np.uint32(668265263)
+    two, three = two[max(0, old - 1) :], three[max(0, old - 2) :]
     mixed = np.concatenate((two ^ (two >> np.uint32(15)), three ^ (three >> np.uint32(13))))
     return ((mixed * np.uint32(374761393)) >> np.uint32(19)).astype(np.int64) % FEATURES
 
 
 def _counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A row of counts for each text, and whether it has a letter."""
+    """A row of counts for each text, and whether it has a letter. A text stands between two marks (0); a block is read with the
+    two marks or letters before it and counts the n-grams that end in it."""
     letters, out, has = _letters(), np.zeros((len(texts), FEATURES), dtype=np.float32), np.zeros(len(texts), dtype=bool)
     for i, text in enumerate(texts):
+        before = np.zeros(1, np.uint32)
         for at in range(0, len(text or ""), BLOCK):
-            raw = text[max(0, at - 2) : at + BLOCK] if at else text[:BLOCK]
-            code = letters[np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-            if code.any():
-                has[i] = True
-                edge = [np.zeros(1, np.uint32)]
-                code = np.concatenate((edge if not at else []) + [code] + (edge if at + BLOCK >= len(text) else []))
-                out[i] += np.bincount(_hashed(code), minlength=FEATURES)
+            code = letters[np.frombuffer(text[at : at + BLOCK].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+            has[i] |= bool(code.any())
+            if at + BLOCK >= len(text):
+                code = np.append(code, np.uint32(0))
+            code = code[np.concatenate(([bool(before[-1]) or bool(code[0])], (code[1:] != 0) | (code[:-1] != 0)))]
+            if len(code):
+                both = np.concatenate((before, code))
+                out[i] += np.bincount(_hashed(both, len(code)), minlength=FEATURES)
+                before = both[-2:]
+        if not has[i]:
+            out[i] = 0
     return out, has
 
 

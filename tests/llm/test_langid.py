@@ -1,3 +1,8 @@
+import re
+from collections import Counter
+
+import numpy as np
+
 from allelespan.llm import langid
 
 
@@ -20,12 +25,46 @@ def test_edges(spark):
     assert langid.predict(df.limit(0), model).count() == 0
 
 
+TEXTS = ["Étion dans ça, the thing\nund nicht " * 50, "a", "ab", " , 12 a ,, b ..", "x" * 500, "... " * 200, "", None, "ß İ 日本 語", "end of it..."]
+
+
 def test_blocks_do_not_matter(monkeypatch):
-    text = "Étion dans ça, the thing\nund nicht " * 50
-    whole, _ = langid._counts([text])
-    monkeypatch.setattr(langid, "BLOCK", 97)
-    parts, _ = langid._counts([text])
-    assert (whole > 0).sum() == (parts > 0).sum() and abs(whole.sum() - parts.sum()) <= len(text) // 97 * 3
+    whole, has = langid._counts(TEXTS)
+    for block in (1, 2, 3, 7, 97):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        parts, same = langid._counts(TEXTS)
+        assert (whole == parts).all() and (has == same).all()
+
+
+def grams(text):
+    """Bigrams and trigrams of the lower-case letters, runs of all else being one mark, as there are at both ends."""
+    s = re.sub("\0+", "\0", "\0" + "".join(c.lower()[0] if c.isalpha() else "\0" for c in text) + "\0")
+    return Counter(s[i : i + n] for n in (2, 3) for i in range(len(s) - n + 1))
+
+
+def test_against_brute_force(spark):
+    """Predictions are those of exact n-gram vectors, centroid by centroid, where no two n-grams share a feature that matters."""
+    for t in TEXTS:
+        counts, has = langid._counts([t])
+        want = grams(t or "") if any(c.isalpha() for c in t or "") else Counter()
+        got = Counter()
+        for g, n in want.items():
+            code = np.array([ord(c) for c in g], dtype=np.uint32)
+            got[int(langid._hashed(code)[-1])] += n  # the n-gram itself is hashed last
+        assert has[0] == bool(want) and {i: int(counts[0, i]) for i in np.flatnonzero(counts[0])} == dict(got)
+    rows = [("the thing and the other one", "en"), ("it is here and there", "en"), ("der hund und die katze", "de"), ("das ist nicht so", "de")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), centroids=2)
+    vectors = [langid._counts([t])[0][0] for t, _ in rows]
+    n = sum(v > 0 for v in vectors)
+    idf = np.log(5 / (1 + n)) + 1
+    unit = lambda v: v / np.linalg.norm(v)
+    tfidf = lambda v: unit(np.where(v > 0, 1 + np.log(np.maximum(v, 1)), 0) * idf)
+    for text in ("and the cat is here", "und der ist nicht hier", "other", "katze"):
+        x = tfidf(langid._counts([text])[0][0])
+        # as many centroids as texts: each text is its own centroid
+        cos = [(float(x @ tfidf(v)), lang) for v, (_, lang) in zip(vectors, rows)]
+        got, score, _ = model.predict([text])
+        assert got[0] == max(cos)[1] and abs(score[0] - max(cos)[0]) < 1e-4
 
 
 def test_strange_text_is_rejected(spark, sf_dir):

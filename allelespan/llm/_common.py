@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from allelespan.sources.staging import shared_dir, staged
 
-__all__ = ["UPPER", "LOWER", "WORD", "table", "ascii_lower", "shuffle_partitions", "numbered", "shared_dir", "staged"]
+__all__ = ["UPPER", "LOWER", "WORD", "table", "ascii_lower", "shuffle_partitions", "free_name", "numbered", "shared_dir", "staged"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,6 +28,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """The rows, stored with a row number `_row`, so that rows with equal or null ids are told apart."""
-    return staged(docs.drop("_row").withColumn("_row", F.monotonically_increasing_id()), name)
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name with marks behind it where df has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, stored with a row number, so that rows with equal or null ids are told apart, and the number's column."""
+    row = free_name(docs, "_row")
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), name), row

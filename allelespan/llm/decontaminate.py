@@ -127,9 +127,9 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    rows = numbered(docs, "decontaminate-rows")
-    hit = contaminated(rows, table(spark, sf_dir, "benchmark"), doc_id="_row").where("n_hit > 0").select(F.col("doc_id").alias("_row"))
-    return rows.join(staged(hit, "contaminated"), "_row", "left_anti").select(docs.columns)
+    rows, row = numbered(docs, "decontaminate-rows")
+    hit = contaminated(rows, table(spark, sf_dir, "benchmark"), doc_id=row).where("n_hit > 0").select(F.col("doc_id").alias(row))
+    return rows.join(staged(hit, "contaminated"), row, "left_anti").select(docs.columns)
 
 
 OP5_SQL = """

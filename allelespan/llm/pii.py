@@ -1,17 +1,23 @@
 """PII surrogates: detected entities get keyed replacements of their own type, gender, script and format.
 
-Detection: e-mail addresses, telephone numbers, payment cards (Luhn), IPv4 addresses, credentials (access keys, quoted
-tokens, passwords) and person names that stand after a form of address. An entity's canonical form (digits of a number,
-lower-case address, gender and name without its form of address) names it in the whole corpus, so one entity has one surrogate
-wherever and however it is written (coreference). A name without gender (Dr, Prof) is the person of that name whose gender
-is known, if the corpus has it with one gender only. The surrogate is made from a keyed BLAKE2 hash of type, canonical form
-and attempt; it fills the entity's own format (digits for digits, letters for letters in their case and script, Luhn digits
-right, octets in range, given names of the same gender and script). Two entities with one surrogate as written, or a surrogate written
-like an entity of the corpus, are found by a group-by over all distinct entities; all but the first try the next attempt, until
-none is left. Later attempts give up format for room (other characters of a password become letters, then all of them; an
-address gets a longer local part; a foreign number another country code), so entities with few or no characters to fill
-find a free one. Only entities past attempt 0, and names that take another's form,
-are kept, for use when texts are rewritten.
+Detection: e-mail addresses, telephone numbers, payment cards (Luhn), IBANs (their check digits), social security numbers, IPv4
+and IPv6 addresses, credentials (access keys, quoted tokens, passwords) and person names that stand after a form of address. An
+entity's canonical form (digits of a number, lower-case address, gender and lower-case name without its form of address) names
+it in the whole corpus, so one entity has one surrogate wherever and however it is written (coreference). A name without gender
+(Dr, Prof) is the person of that name whose gender is known, if the corpus has it with one gender only. Family names are entities
+of their own: all who bear one get the same other one, so `Mr John Smith`, `Mr Smith` and `Ms Anna Smith` still belong together.
+
+The surrogate is made from a keyed BLAKE2 hash of type, canonical form and attempt; it fills the entity's own format (digits for
+digits, letters for letters in their case and script, check digits right, octets in range, given names of the same gender and
+script). Two entities with one surrogate as written, or a surrogate written like an entity of the corpus, are found by a group-by
+over all distinct entities; all but the first try the next attempt, until none is left. Later attempts give up format for
+room (other characters of a password become letters, then all of them; an address gets a longer local part; a foreign number
+another country code; names get a second part, then a made-up one), so entities with few or no characters to fill find a free
+one. Only entities past attempt 0, and names that take another's form, are kept, for use when texts are rewritten.
+
+The key is the caller's: who knows it can search for what a surrogate was made from, so it must be secret. The registered query and
+the pipeline take it from the session (`spark.allelespan.pii.key`); only where that is unset do they use a public one, so that
+their rows can be compared.
 
 Both passes are over rows; only distinct entities are shuffled. The exceptions are broadcast while there are at most
 EXCEPTIONS of them; beyond that they are joined to the mentions and the texts are rewritten through that join.
@@ -19,7 +25,7 @@ EXCEPTIONS of them; beyond that they are joined to the mentions and the texts ar
 Edge cases: null stays null with 0 entities; empty texts and texts without entities come back as they are, byte for byte.
 Overlapping finds go to the one that starts first, then the longer. A run of digits that is
 no card is searched for one between the borders of its groups. Repeated rows get equal texts. Extra columns are
-carried; columns of the names that are added are replaced.
+carried; a column n_entities is replaced.
 """
 
 from __future__ import annotations
@@ -27,15 +33,17 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from ipaddress import IPv6Address
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from allelespan.llm._common import staged, table
+from allelespan.llm._common import free_name, staged, table
 
-KEY = "surrogates-1"
+#: For comparable rows of the registered query only; see above.
+PUBLIC_KEY = "public-1"
 EXCEPTIONS = 1_000_000
 #: Attempts after this one give up more of the format.
 FORMAT = 8
@@ -54,17 +62,30 @@ FAMILY = {
 }
 ADDRESS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Señor": "m", "Señora": "f", "г-н": "m", "г-жа": "f", "Dr": "", "Prof": ""}
 
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zà-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zà-öø-ÿа-яё]+)?"
+_TITLES = ADDRESS | {a.upper(): g for a, g in ADDRESS.items()}
+
+_UP, _LOW = "[A-ZÀ-ÖØ-ÞА-ЯЁ]", "[a-zà-öø-ÿа-яё]"
+#: Müller, McDonald, O'Brien; or all in capitals.
+_PLAIN = rf"(?:{_UP}['’])?{_UP}{_LOW}+(?:{_UP}{_LOW}+)*"
+_NAME = rf"{_PLAIN}(?:-{_PLAIN})*"
+_LOUD = rf"(?:{_UP}['’])?{_UP}{{2,}}(?:-{_UP}{{2,}})*(?!\w)"
+#: Small words inside family names.
+_SMALL_WORDS = "van von de den der del della di da dos la le ter zu bin ibn".split()
+_SMALL = f"(?: (?:{'|'.join(_SMALL_WORDS)}))*"
 _KINDS = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w@])"),
     ("access_key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("token", r"(?<=(?i:token = \"))[0-9A-Fa-f]{40}(?=\")"),
     ("password", r"(?<=(?:password|PASSWORD|Password)=)[^\s\"'#$%&*|!,;]{5,}[^\s\"'#$%&*|!,;.]"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"),
+    ("ipv6", r"(?<![\w:.])(?=[0-9A-Fa-f]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]{4,38}[0-9A-Fa-f](?![\w:])"),
+    ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
+    ("ssn", r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"),
+    ("phone", r"(?:(?<=[Pp]hone )|(?<=[Pp]hone: )|(?<=[Tt]el )|(?<=[Tt]el: )|(?<=[Tt]el\. )|(?<=[Ff]ax )|(?<=[Ff]ax: ))\d{10}(?!\w)"),
     ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"),
     ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"),
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
-    ("name", rf"(?<!\w)(?:{'|'.join(ADDRESS)})\.? {_NAME}(?: {_NAME}){{0,2}}"),
+    ("name", rf"(?<!\w)(?:{'|'.join(_TITLES)})\.? (?:{_NAME}(?:{_SMALL} {_NAME}){{0,2}}|{_LOUD}(?: {_LOUD}){{0,2}})"),
 ]
 FIND = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(_KINDS)))
 
@@ -72,7 +93,8 @@ FIND = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(_KINDS)))
 def maybe(text: Column) -> Column:
     """Cheap test on the JVM: a text for which it is false has no entity. The first part decides most; null for null."""
     found = text.rlike("[0-9@]")
-    for mark in ("AKIA", "password=", "PASSWORD=", "Password=", *(f"{a}{dot} " for a in ADDRESS for dot in ("", "."))):
+    marks = {a for a in _TITLES if not any(a != b and b in a for b in _TITLES)}  # Mr stands in Mrs too
+    for mark in ("AKIA", "password=", "PASSWORD=", "Password=", *sorted(marks)):
         found = found | text.contains(mark)
     return found
 
@@ -86,6 +108,11 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
+def _iban_rest(iban: str) -> int:
+    """1 for a right one."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def _card_in(found: str) -> tuple[int, int] | None:
     """Start and end of the first, then longest, run of whole groups of digits in `found` that is a card."""
     groups = [m.span() for m in re.finditer(r"\d+", found)]
@@ -125,9 +152,20 @@ def find(text: str) -> Iterator[tuple[int, int, str, str]]:
                     canon = "+" + canon
         elif kind == "ip":
             canon = ".".join(str(int(x)) for x in found.split("."))
+        elif kind == "ipv6":
+            try:
+                canon = str(IPv6Address(found))
+            except ValueError:
+                at = m.start() + re.match("[0-9A-Fa-f]*:*", found).end()
+                continue
+        elif kind == "iban":
+            canon = found.replace(" ", "")
+            if _iban_rest(canon) != 1:
+                at = m.start() + 4
+                continue
         elif kind == "name":
             title, _, rest = found.partition(" ")
-            canon = ADDRESS[title.rstrip(".")] + "|" + rest
+            canon = _TITLES[title.rstrip(".")] + "|" + rest.lower().replace("’", "'")
             yield m.start() + len(title) + 1, m.end(), kind, canon
             continue
         else:
@@ -135,6 +173,17 @@ def find(text: str) -> Iterator[tuple[int, int, str, str]]:
         yield m.start(), m.end(), kind, canon
 
 
+def family_of(canon: str) -> str:
+    """The family name of a canonical name."""
+    return canon.partition("|")[2].rpartition(" ")[2]
+
+
+def keys_of(text: str) -> set[tuple[str, str]]:
+    """Type and canonical form of each entity and of each family."""
+    found = {(kind, canon) for _, _, kind, canon in find(text)}
+    return found | {("family", family_of(canon)) for kind, canon in found if kind == "name"}
+
+
 class _Stream:
     """Keyed numbers."""
 
@@ -177,8 +226,16 @@ def _like(s: _Stream, text: str, hexed: bool = False, every: bool = False) -> st
     return "".join(out)
 
 
-def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
-    """The canonical form of the surrogate."""
+def _script(name: str) -> str:
+    return "cyrillic" if re.search("[А-Яа-яЁё]", name) else "latin"
+
+
+def _made_up(s: _Stream, script: str) -> str:
+    return "".join(chr((0x430 if script == "cyrillic" else 97) + s.below(26)) for _ in range(8)).title()
+
+
+def surrogate(kind: str, canon: str, attempt: int, key: str, family: str | None = None) -> str:
+    """The canonical form of the surrogate; of a name with the family name that its family gets (its first, if not given)."""
     s = _Stream(key, kind, canon, attempt)
     if kind == "email":
         local, _, domain = canon.partition("@")
@@ -205,15 +262,28 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: str = KEY) -> str:
         if attempt > FORMAT:
             return _letters(s, len(canon))
         return _like(s, canon, hexed=re.fullmatch("[0-9a-f]+|[0-9A-F]+", canon) is not None, every=attempt > 0)
+    if kind == "ipv6":
+        return ":".join(f"{s.below(65536):x}" for _ in range(8))
+    if kind == "ssn":
+        return f"{100 + s.below(566):03d}-{1 + s.below(99):02d}-{1 + s.below(9999):04d}"
+    if kind == "iban":
+        body = canon[:2] + "00" + _like(s, canon[4:])
+        return f"{body[:2]}{98 - _iban_rest(body):02d}{body[4:]}"
+    if kind == "family":
+        script = _script(canon)
+        made = FAMILY[script][s.below(len(FAMILY[script]))]
+        if attempt:  # few names, many families: a second part
+            made += "-" + FAMILY[script][s.below(len(FAMILY[script]))]
+        return made + ("-" + _made_up(s, script) if attempt > FORMAT else "")
     gender, _, name = canon.partition("|")
-    parts, script = name.split(" "), "cyrillic" if re.search("[А-Яа-яЁё]", name) else "latin"
+    parts, script = name.split(" "), _script(name)
+    last = surrogate("family", parts[-1], 0, key) if family is None else family
     given = GIVEN[(gender or "fm"[s.below(2)], script)]
-    made = [given[s.below(len(given))] for _ in parts[:-1]]
-    last = FAMILY[script][s.below(len(FAMILY[script]))]
-    if attempt:  # few names, many people: a second family name
-        last += "-" + FAMILY[script][s.below(len(FAMILY[script]))]
-    if attempt > FORMAT:
-        last += "-" + "".join(chr((0x430 if script == "cyrillic" else 97) + s.below(26)) for _ in range(8)).title()
+    made = [given[s.below(len(given))] if x not in _SMALL_WORDS else x for x in parts[:-1]]
+    if attempt and made:
+        made[0] += "-" + given[s.below(len(given))]
+    if attempt > FORMAT and made:
+        made[0] += "-" + _made_up(s, script)
     return gender + "|" + " ".join([*made, last])
 
 
@@ -225,35 +295,43 @@ def rendered(kind: str, found: str, made: str) -> str:
         digits = iter(own[: len(own) - len(made)] + made)
         return re.sub(r"\d", lambda _: next(digits), found)
     if kind == "name":
-        return made.partition("|")[2]
+        made = made.partition("|")[2]
+        return made.upper() if len(found) > 1 and found.isupper() else made
+    if kind == "iban":
+        rest = iter(made)
+        return "".join(c if c == " " else next(rest) for c in found)
     if kind == "email" and found != found.lower():
         return "".join(b.upper() if a.isupper() else b for a, b in zip(found.ljust(len(made)), made))
     return made
 
 
-def rewrite(text: str, attempts: dict[tuple[str, str], tuple[str, int]], key: str = KEY, kinds: list[str] | None = None) -> tuple[str, int]:
+def rewrite(text: str, attempts: dict[tuple[str, str], tuple[str, int]], key: str) -> tuple[str, int]:
     """attempts: the canonical form to use and the attempt, of the entities that exceptions() has."""
     out, at, n = [], 0, 0
     for a, b, kind, canon in find(text):
-        out += [text[at:a], rendered(kind, text[a:b], surrogate(kind, *attempts.get((kind, canon), (canon, 0)), key))]
+        own, attempt = attempts.get((kind, canon), (canon, 0))
+        family = None
+        if kind == "name":
+            family = surrogate("family", family_of(own), attempts.get(("family", family_of(own)), ("", 0))[1], key)
+        out += [text[at:a], rendered(kind, text[a:b], surrogate(kind, own, attempt, key, family))]
         at, n = b, n + 1
     return ("".join(out) + text[at:], n) if n else (text, 0)
 
 
 def entities(df: DataFrame, text: str) -> DataFrame:
-    """kind, canon: distinct entities of all texts."""
+    """kind, canon: distinct entities and families of all texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = {(kind, canon) for t in pdf["t"] for _, _, kind, canon in find(t)}
+            found = {x for t in pdf["t"] for x in keys_of(t)}
             yield pd.DataFrame(list(found), columns=["kind", "canon"])
 
     return df.select(F.col(text).alias("t")).where(maybe(F.col("t"))).mapInPandas(run, "kind string, canon string").distinct()
 
 
 def _written(form: str) -> Column:
-    """What of a canonical form stands in texts: names go without gender."""
-    return F.when(F.col("kind") == "name", F.substring_index(form, "|", -1)).otherwise(F.col(form))
+    """What of a canonical form stands in texts, case aside: names go without gender."""
+    return F.when(F.col("kind") == "name", F.lower(F.substring_index(form, "|", -1))).when(F.col("kind") == "family", F.lower(form)).otherwise(F.col(form))
 
 
 def persons(found: DataFrame) -> DataFrame:
@@ -263,34 +341,49 @@ def persons(found: DataFrame) -> DataFrame:
     return found.select("kind", "canon").join(one, ["kind", "canon"], "left").select("kind", "canon", F.coalesce("_own", "canon").alias("own"))
 
 
-def exceptions(found: DataFrame, key: str = KEY, most: int = 64) -> DataFrame:
-    """kind, canon, own, attempt: the entities whose first surrogate was taken, or that take another's form. found: distinct entities, staged."""
+def exceptions(found: DataFrame, key: str, most: int = 64) -> DataFrame:
+    """kind, canon, own, attempt: the entities whose first surrogate was taken, or that take another's form. found: distinct entities
+    and their families, staged. Families come first, as names are written with theirs. A name of one word is written as its
+    family is, so it needs no attempts."""
+    people = staged(persons(found), "pii-persons")
+    real = people.select("kind", _written("own").alias("made"))
+    first = people.where("kind <> 'name'").select("kind", "own", F.lit(None).cast("string").alias("family"))
+    settled = _settled(first.distinct(), real, key, most)
+    families = settled.where("kind = 'family'").select(F.col("own").alias("last"), F.col("made_as").alias("family"))
+    names = people.where("kind = 'name' AND instr(own, ' ') > 0").select("kind", "own").distinct()
+    names = names.withColumn("last", F.substring_index(F.substring_index("own", "|", -1), " ", -1)).join(families, "last").select("kind", "own", "family")
+    both = settled.select("kind", "own", "attempt").unionByName(_settled(names, real, key, most).select("kind", "own", "attempt"))
+    # names of one word have no attempt of their own
+    out = people.join(both, ["kind", "own"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+    return out.where("attempt > 0 OR own <> canon").select("kind", "canon", "own", "attempt")
+
+
+def _settled(first: DataFrame, real: DataFrame, key: str, most: int) -> DataFrame:
+    """first: kind, own, family (of names); real: kind, made. kind, own, family, attempt, made (as compared) and made_as (as written):
+    no two of a kind are alike, nor like one of real."""
 
     @F.pandas_udf("string")
-    def made(kind: pd.Series, canon: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(k, c, int(a), key) for k, c, a in zip(kind, canon, attempt)], dtype=object)
+    def made(kind: pd.Series, own: pd.Series, attempt: pd.Series, family: pd.Series) -> pd.Series:
+        return pd.Series([surrogate(k, c, int(a), key, f) for k, c, a, f in zip(kind, own, attempt, family)], dtype=object)
 
     def attempted(df: DataFrame) -> DataFrame:
-        return df.withColumn("made", made("kind", "own", "attempt")).withColumn("made", _written("made"))
+        return df.withColumn("made_as", made("kind", "own", "attempt", "family")).withColumn("made", _written("made_as"))
 
-    people = staged(persons(found), "pii-persons")
-    now = staged(attempted(people.select("kind", "own").distinct().withColumn("attempt", F.lit(0))), "pii-surrogates")
-    real = people.select("kind", _written("own").alias("made"))
+    now = staged(attempted(first.withColumn("attempt", F.lit(0))), "pii-surrogates")
     for _ in range(most):
         # a real entity owns its own form; among surrogates the earliest attempt, then the smallest form, stays
         taken = now.join(real, ["kind", "made"], "left_semi").select("kind", "own")
-        shared = now.groupBy("kind", "made").agg(F.count("*").alias("n")).where("n > 1").select("kind", "made")
-        order = Window.partitionBy("kind", "made").orderBy("attempt", "own")
-        late = now.join(shared, ["kind", "made"], "left_semi").withColumn("r", F.row_number().over(order)).where("r > 1").select("kind", "own")
+        shared = now.groupBy("kind", "made").agg(F.min(F.struct("attempt", "own")).alias("stays"), F.count("*").alias("n")).where("n > 1")
+        late = now.join(shared.select("kind", "made", "stays"), ["kind", "made"]).where("own <> stays.own").select("kind", "own")
         again = staged(taken.union(late).distinct(), "pii-again")
         if again.isEmpty():
-            return people.join(now.select("kind", "own", "attempt"), ["kind", "own"]).where("attempt > 0 OR own <> canon").select("kind", "canon", "own", "attempt")
-        moved = attempted(now.join(again, ["kind", "own"], "left_semi").select("kind", "own", (F.col("attempt") + 1).alias("attempt")))
+            return now
+        moved = attempted(now.join(again, ["kind", "own"], "left_semi").select("kind", "own", "family", (F.col("attempt") + 1).alias("attempt")))
         now = staged(now.join(again, ["kind", "own"], "left_anti").unionByName(moved), "pii-surrogates")
     raise RuntimeError(f"surrogates still collide after {most} attempts")
 
 
-def replaced(df: DataFrame, text: str = "text", key: str = KEY, bound: int = EXCEPTIONS) -> DataFrame:
+def replaced(df: DataFrame, key: str, text: str = "text", bound: int = EXCEPTIONS) -> DataFrame:
     """The rows with surrogates in text, and n_entities."""
     df = df.drop("n_entities")
     odd = staged(exceptions(staged(entities(df, text), "pii-entities"), key), "pii-exceptions")
@@ -304,32 +397,39 @@ def replaced(df: DataFrame, text: str = "text", key: str = KEY, bound: int = EXC
             return pd.DataFrame([(None, 0) if t is None else rewrite(t, attempts.value, key) for t in texts], columns=["text", "n"])
 
         # only texts that may have entities go to Python; all come from one scan
-        got = df.withColumn("_r", rewritten(F.when(maybe(F.col(text)), F.col(text))))
-        return got.withColumns({text: F.coalesce("_r.text", text), "n_entities": F.coalesce("_r.n", F.lit(0).cast("long"))}).drop("_r")
+        r = free_name(df, "_r")
+        got = df.withColumn(r, rewritten(F.when(maybe(F.col(text)), F.col(text))))
+        return got.withColumns({text: F.coalesce(F.col(r)["text"], F.col(text)), "n_entities": F.coalesce(F.col(r)["n"], F.lit(0).cast("long"))}).drop(r)
 
     @F.pandas_udf("array<struct<kind:string,canon:string>>")
     def mentioned(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": k, "canon": c} for k, c in {(k, c) for _, _, k, c in find(t or "")}] for t in texts])
+        return pd.Series([[{"kind": k, "canon": c} for k, c in keys_of(t or "")] for t in texts])
 
     @F.pandas_udf(out)
     def through(texts: pd.Series, own: pd.Series) -> pd.DataFrame:
         got = [(t, 0) if t is None else rewrite(t, {(x["kind"], x["canon"]): (x["own"], x["attempt"]) for x in (o if o is not None else [])}, key) for t, o in zip(texts, own)]
         return pd.DataFrame(got, columns=["text", "n"])
 
-    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
-    mentions = rows.select("_row", F.explode(mentioned(text)).alias("m")).select("_row", "m.kind", "m.canon").join(odd, ["kind", "canon"])
-    own = mentions.groupBy("_row").agg(F.collect_list(F.struct("kind", "canon", "own", "attempt")).alias("_own"))
-    got = rows.join(own, "_row", "left").withColumn("_r", through(text, "_own"))
-    return got.withColumns({text: F.col("_r.text"), "n_entities": F.col("_r.n")}).drop("_r", "_own", "_row")
+    row, own, r = (free_name(df, x) for x in ("_row", "_own", "_r"))
+    rows = staged(df.withColumn(row, F.monotonically_increasing_id()), "pii-rows")
+    mentions = rows.select(F.col(row).alias("row"), F.explode(mentioned(text)).alias("m")).select("row", "m.kind", "m.canon").join(odd, ["kind", "canon"])
+    held = mentions.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("kind", "canon", "own", "attempt")).alias(own))
+    got = rows.join(held, row, "left").withColumn(r, through(text, own))
+    return got.withColumns({text: F.col(r)["text"], "n_entities": F.col(r)["n"]}).drop(r, own, row)
+
+
+def key_of(spark: SparkSession) -> str:
+    return spark.conf.get("spark.allelespan.pii.key", PUBLIC_KEY)
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), key_of(spark))
 
 
 def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; n_chars, where there is one, follows the new text."""
-    out = replaced(docs)
+    own = free_name(docs, "_own_entities")
+    out = replaced(docs.withColumnRenamed("n_entities", own), key_of(spark))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    return out.drop("n_entities").withColumnRenamed(own, "n_entities").select(docs.columns)

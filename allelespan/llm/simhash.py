@@ -192,8 +192,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: the one with the smallest id, of equal ids the first row."""
-    rows = numbered(docs, "dedup-rows")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
-    got = staged(near_duplicates(rows.withColumn("_key", key), "_key"), "dedup-components")
-    late = got.where("doc_id <> component_id").select(F.col("doc_id._row").alias("_row"))
-    return rows.join(late, "_row", "left_anti").select(docs.columns)
+    rows, row = numbered(docs, "dedup-rows")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(row).alias("row"))
+    got = staged(near_duplicates(rows.select(key.alias("key"), "text"), "key"), "dedup-components")
+    late = got.where("doc_id <> component_id").select(F.col("doc_id.row").alias(row))
+    return rows.join(late, row, "left_anti").select(docs.columns)

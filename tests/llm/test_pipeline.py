@@ -27,7 +27,7 @@ def test_stages_against_brute_force(spark, sf_dir):
     docs = staged(c.STAGES[2][1](spark, docs, sf_dir), "t")
     assert docs.columns == columns and {r.doc_id: r.text for r in docs.collect()} == kept
 
-    kept = {d: pii.rewrite(t, {})[0] for d, t in kept.items()}
+    kept = {d: pii.rewrite(t, {}, pii.PUBLIC_KEY)[0] for d, t in kept.items()}
     docs = staged(c.STAGES[3][1](spark, docs, sf_dir), "t")
     assert docs.columns == columns and {r.doc_id: r.text for r in docs.collect()} == kept
     assert all(r.n_chars == len(r.text) for r in docs.collect())

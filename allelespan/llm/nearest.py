@@ -8,8 +8,9 @@ on the true measure, and stops when all others are farther than sqrt(chi2inv(SUR
 k-th best: a vector that is nearer than that best is then missed with probability 1 - SURE at most.
 
 The upper levels are fitted on at most FIT_ROWS rows; every row is indexed, and each cell's box and number of rows are exact.
-There are two rounds: a query meets the rows of its nearest cell, which gives d_k, then those of every cell whose box is near
-enough, so rows and queries are not all sent to each other. A cell of over `block` rows, such as a hot group of equal
+A query takes cells by their distance in rounds: the rows of its nearest cell first, then of the next two, six, eighteen and so
+on, and after each round d_k is smaller; it stops as soon as the next cell's box fails the test, so rows and queries are not
+all sent to each other. A cell of over `block` rows, such as a hot group of equal
 vectors, is dealt into parts of that size, and so are the queries of a cell; each task is of bounded size. The driver holds
 one box a cell, at most FIT_ROWS / LEAST. Equal vectors of a task are held once. Scores of what is returned are computed
 again in double precision in a fixed order, so equal vectors have equal scores; ties go to the smaller id.
@@ -166,8 +167,9 @@ def _stacked(e: pd.Series) -> np.ndarray:
     return np.stack(e).astype(np.float64)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", embedding: str = "embedding", sure: float = SURE, block: int = BLOCK, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score. queries: rows of the same shape as vectors."""
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", embedding: str = "embedding", sure: float = SURE, block: int = BLOCK, fit_rows: int = FIT_ROWS, rounds: list | None = None) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score. queries: rows of the same shape as vectors. rounds gets, for each round, how many
+    queries met how many rows: (queries, pairs)."""
     spark = vectors.sparkSession
 
     def usable(df: DataFrame) -> DataFrame:
@@ -213,24 +215,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_i
     a, b = (np.array([[r[f"{name}{i}"] for i in range(DIMENSIONS)] for r in boxes]) for name in "ab")
     stretch = chi_square_inverse(sure, DIMENSIONS)
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for s in range(0, len(pdf), 256):
-                part = pdf.iloc[s : s + 256]
-                gap = _gaps(_stacked(part["e"]) @ _axes(d)[:-1], a, b)
-                yield part.assign(cell=names[gap.argmin(axis=1)], known=-np.inf)
+    def next_cells(start: int, stop: int):
+        """Each query with those of its cells from start to stop, by distance, that may hold a nearer vector."""
 
-    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Each query with each other cell that may hold a nearer vector."""
-        for pdf in batches:
-            for s in range(0, len(pdf), 256):
-                part = pdf.iloc[s : s + 256]
-                x = _stacked(part["e"])
-                far = stretch * (norm2 + np.einsum("ij,ij->i", x, x) - 2 * part["known"].to_numpy())
-                near = _gaps(x @ _axes(d)[:-1], a, b) <= far[:, None]
-                near &= names[None, :] != part["cell"].to_numpy()[:, None]
-                i, j = np.nonzero(near)
-                yield part.iloc[i].assign(cell=names[j])
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for s in range(0, len(pdf), 256):
+                    part = pdf.iloc[s : s + 256]
+                    x = _stacked(part["e"])
+                    gap = _gaps(x @ _axes(d)[:-1], a, b)
+                    turn = np.argsort(gap, axis=1, kind="stable")[:, start:stop]
+                    far = stretch * (norm2 + np.einsum("ij,ij->i", x, x) - 2 * part["known"].to_numpy())
+                    i, j = np.nonzero(np.take_along_axis(gap, turn, axis=1) <= far[:, None])
+                    yield part.iloc[i].assign(cell=names[turn[i, j]])
+
+        return run
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -240,25 +239,37 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_i
     def met(asking: DataFrame) -> DataFrame:
         """The best of each query (staged: id, e, q, cell, known) in the cells it is sent to."""
         sent = {r.cell: r.n for r in asking.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        if rounds is not None:
+            rounds.append((asking.select("q").distinct().count(), sum(r.n * sent.get(r.cell, 0) for r in boxes)))
         deal = [(r.cell, ceil(r.n / block), ceil(sent[r.cell] / QUERIES)) for r in boxes if r.cell in sent]
         parts = F.broadcast(spark.createDataFrame(deal, "cell int, np int, nq int"))
         span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         left = indexed.select("id", "e", "cell", "r").join(parts, "cell").select("id", "e", "cell", F.pmod(F.xxhash64("r"), "np").cast("int").alias("i"), span("nq").alias("j"))
         right = asking.join(parts, "cell").select("id", "e", "q", "known", "cell", span("np").alias("i"), F.pmod(F.xxhash64("q"), "nq").cast("int").alias("j"))
-        found = left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(run, "query_id long, q long, vec_id long, score double")
-        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(run, "query_id long, q long, vec_id long, score double")
 
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    schema = f"id long, e {kind}, q long, cell int, known double"
-    asked = staged(asked.withColumn("q", F.monotonically_increasing_id()).mapInPandas(first, schema), "srs-queries")
-    near = met(asked)
-    if len(boxes) > 1:
-        near = staged(near, "srs-near")
-        kth = near.where(F.col("rank") == k).select("q", F.col("score").alias("kth"))
-        again = asked.join(kth, "q", "left").select("id", "e", "q", "cell", F.coalesce("kth", F.lit(float("-inf"))).alias("known"))
-        again = staged(again.mapInPandas(others, schema), "srs-again")
-        if not again.isEmpty():
-            near = near.unionByName(met(again)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    schema = f"id long, e {kind}, q long, known double, cell int"
+    asked = staged(asked.withColumn("q", F.monotonically_increasing_id()), "srs-queries")
+    live, near, start = asked.withColumn("known", F.lit(float("-inf"))), None, 0
+    while start < len(boxes):
+        first, stop = start, min(len(boxes), max(1, 3 * start))
+        asking = staged(live.select("id", "e", "q", "known", F.lit(0).alias("cell")).mapInPandas(next_cells(first, stop), schema), "srs-asking")
+        if asking.isEmpty():
+            break
+        found = met(asking)
+        if near is not None:
+            found = found.unionByName(near.drop("rank"))
+        near, start = ranked(found), stop
+        if start < len(boxes):
+            near = staged(near, "srs-near")
+            # only queries whose last cell passed the test go on, with what they know by now
+            kth = near.where(F.col("rank") == k).select("q", F.col("score").alias("known"))
+            reached = asking.groupBy("q").agg(F.count("*").alias("n")).where(F.col("n") == stop - first).select("q")
+            live = asked.join(reached, "q", "left_semi").join(kth, "q", "left").withColumn("known", F.coalesce("known", F.lit(float("-inf"))))
+    if near is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return near.select("query_id", "rank", "vec_id", "score")
 
 

@@ -58,6 +58,33 @@ def test_cells_and_hot_groups(spark):
     assert (inside.min(axis=0) == 0).all()
 
 
+def test_pairs_grow_less_than_quadratically(spark):
+    """Four times the rows and queries meet in clearly fewer than sixteen times the pairs, and stay as good."""
+    rng = np.random.default_rng(5)
+    centres, met = 2 * rng.standard_normal((64, 16)), []
+    for rows in (1500, 6000):
+        x = centres[rng.integers(0, 64, rows)] + 0.1 * rng.standard_normal((rows, 16))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        rounds = []
+        assert recall(spark, x, np.arange(rows), block=50, fit_rows=4000, rounds=rounds) >= 0.9
+        assert [q for q, _ in rounds] == sorted((q for q, _ in rounds), reverse=True)
+        met.append(sum(pairs for _, pairs in rounds))
+    assert met[0] < 75 * 1500 * 0.4 and met[1] < 6 * met[0]
+
+
+def test_registered_query(spark, sf_dir):
+    """The query itself, row by row, against all pairs."""
+    tb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas()
+    e, ids = np.stack(tb.embedding).astype(float), tb.vec_id.to_numpy()
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in n.op8_stable_projections(spark, sf_dir).collect()}
+    want = {}
+    for at in np.flatnonzero(ids % 20 == 0):
+        score, keep = np.einsum("ij,ij->i", e, np.broadcast_to(e[at], e.shape)), ids != ids[at]
+        for rank, i in enumerate(np.lexsort((ids[keep], -score[keep]))[:20], 1):
+            want[int(ids[at]), rank] = (int(ids[keep][i]), float(score[keep][i]))
+    assert set(got) == set(want) and sum(got[k] == want[k] for k in want) / len(want) >= 0.9
+
+
 def test_documents_table(spark, sf_dir):
     tb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas()
     assert recall(spark, np.stack(tb.embedding), tb.vec_id.to_numpy()) >= 0.9

@@ -9,7 +9,13 @@ counts is its embedding. The Manhattan distance of two embeddings is at most the
 The segments form GROUPS groups; two embeddings within `most` differ in at most `most` groups and agree in the others, so
 the grid join looks up each choice of GROUPS - most groups by equal cells. In a cell, fingerprints within Manhattan
 distance `most` are verified exactly. A cell's pairs are never emitted: each task returns a spanning forest of the links
-it found. A cell of more than BLOCK fingerprints is dealt out as pairs of blocks of that size.
+it found. A cell of more than BLOCK fingerprints is dealt out as pairs of blocks of that size. GROUPS follows
+the number of fingerprints, so that cells stay small; what is found does not depend on it.
+
+`kept` also asks how alike texts are, for removing copies: fingerprints within RADIUS bits make groups of candidates, and in a group a
+row goes only if its text equals that of an earlier row that stays, or shares 0.8 of their five-word shingles with it (Jaccard).
+Equal texts are one from the start, by a sum on the map side. Groups are settled in rounds: the LEADERS first rows of
+each are compared with all others of the group, as arrays of shingle hashes side by side.
 
 Edge cases: null and empty texts and those of white space have fingerprint zero, which links like any other. One or two
 words count as one shingle. Repeated rows share a fingerprint and so a component. A null doc_id is passed over when the
@@ -20,18 +26,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb, log2
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from allelespan.llm._common import ascii_lower, numbered, shuffle_partitions, staged, table
 from allelespan.operators.components import components
 
-GROUPS = 5
 BLOCK = 4096
 MOST = 3
+#: Bits, shingle length, similarity and compared rows of a group of kept().
+RADIUS, SHINGLE, ALIKE, LEADERS = 7, 5, 0.8, 16
 
 
 def words_of(text: Column) -> Column:
@@ -130,8 +138,19 @@ def _links(keys: np.ndarray, fp: np.ndarray, block: np.ndarray, first: np.ndarra
     return fp[child], fp[root]
 
 
-def links(fps: DataFrame, most: int = MOST, groups: int = GROUPS, block: int = BLOCK) -> DataFrame:
-    """fps: distinct longs `fp`. Edges (a, b) whose components are those of all pairs within `most` bits."""
+def groups_for(n: int, most: int) -> int:
+    """Fewest groups of segments, `most` + 2 at least, that give n fingerprints cells of some hundreds (a two-bit segment's count
+    has about 1.5 bits), where comparing costs no more than moving them. Each choice of groups is a copy of all fingerprints: there
+    are no more than six times the fewest."""
+    groups = most + 2
+    while 48 * (groups - most) / groups < log2(max(2, n)) - 8 and comb(groups + 1, most) <= 6 * comb(most + 2, most):
+        groups += 1
+    return groups
+
+
+def links(fps: DataFrame, most: int = MOST, groups: int | None = None, block: int = BLOCK) -> DataFrame:
+    """fps: distinct longs `fp`, staged. Edges (a, b) whose components are those of all pairs within `most` bits."""
+    groups = groups or groups_for(fps.count(), most)
     five = F.lit(0x5555555555555555)
     low, high = F.col("fp").bitwiseAND(five), F.shiftrightunsigned("fp", 1).bitwiseAND(five)
     e = low.bitwiseOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))  # as in _embedded()
@@ -185,15 +204,72 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def shingles(text: Column, n: int = SHINGLE) -> Column:
+    """Hashes of the distinct runs of n words; of fewer words, that of all of them; none for none."""
+    words = words_of(text)
+    runs = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(n))))
+    # the words stand in a one-element array, so that they are cut once
+    made = F.transform(F.array(words), lambda w: F.when(F.size(w) >= n, F.array_distinct(runs(w))).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<long>")))
+    return made[0]
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """Of two arrays of distinct values; 1 if both are empty."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
+
+
+def kept(rows: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text", most: int = RADIUS, alike: float = ALIKE) -> DataFrame:
+    """row: numbers of the rows that stay (see above); of equal or similar ones that with the smallest id, nulls last, then the
+    smallest number. rows: staged, with a unique number `row`."""
+    key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
+    marked = rows.select(F.struct(key.alias("key"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("same")).alias("k"), F.col(text).alias("text"))
+    prints = fingerprints(marked, "k", "text").select("k.key", "k.same", "fp")
+    first = staged(prints.groupBy("same").agg(F.min("key").alias("key"), F.min("fp").alias("fp")).select("key", "fp"), "dedup-distinct")
+    found = components(links(staged(first.select("fp").distinct(), "dedup-fp"), most))
+    first = first.join(found.withColumnsRenamed({"node": "fp"}), "fp", "left").select("key", F.coalesce("root", "fp").alias("group"))
+    first = staged(first, "dedup-groups")
+    several = first.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
+    members = first.join(several, "group").select("group", "key", F.col("key.row").alias("row"))
+    texts = rows.select(F.col(row).alias("row"), F.col(text).alias("text")).join(members, "row")
+    rest = staged(texts.select("group", "key", shingles(F.col("text")).alias("s")), "dedup-members")
+    late = None
+    while True:
+        place = F.row_number().over(Window.partitionBy("group").orderBy("key"))
+        lead = rest.select("group", "key", place.alias("place")).where(F.col("place") <= LEADERS)
+        if lead.where("place > 1").isEmpty():
+            break
+        lead = staged(lead.join(rest, ["group", "key"]), "dedup-leaders")
+        other = lead.select("group", F.col("key").alias("before"), F.col("place").alias("a"), F.col("s").alias("s0"))
+        near = rest.join(lead.select("group", "key", F.col("place").alias("b")), ["group", "key"], "left").join(other, "group").where(F.col("key") > F.col("before"))
+        near = staged(near.where(jaccard(F.col("s"), F.col("s0")) >= alike).select("group", "key", "a", "b"), "dedup-near")
+        gone = near.where("b IS NOT NULL").groupBy("group").applyInPandas(_later, "group long, a int")
+        gone = staged(gone, "dedup-late-leaders")
+        now = near.join(gone, ["group", "a"], "left_anti").select("key").distinct()
+        late = now if late is None else late.unionByName(now)
+        rest = rest.join(lead, ["group", "key"], "left_anti").join(now, "key", "left_anti")
+        rest = staged(rest, "dedup-members")
+    stay = first.select("key")
+    if late is not None:
+        stay = stay.join(late, "key", "left_anti")
+    return stay.select(F.col("key.row").alias(row))
+
+
+def _later(pdf: pd.DataFrame) -> pd.DataFrame:
+    """pdf: group, a, b: places of leaders of one group that are alike, a before b. Those that go: alike to an earlier one that stays."""
+    late: set[int] = set()
+    for b, own in sorted(pdf.groupby("b")["a"]):
+        if set(own) - late:
+            late.add(int(b))
+    return pd.DataFrame({"group": pdf["group"].iloc[0], "a": sorted(late)})
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest id, of equal ids the first row."""
+    """Of equal and similar documents the one with the smallest id stays, of equal ids the first row."""
     rows, row = numbered(docs, "dedup-rows")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(row).alias("row"))
-    got = staged(near_duplicates(rows.select(key.alias("key"), "text"), "key"), "dedup-components")
-    late = got.where("doc_id <> component_id").select(F.col("doc_id.row").alias(row))
-    return rows.join(late, row, "left_anti").select(docs.columns)
+    return rows.join(kept(rows, row), row, "left_semi").select(docs.columns)

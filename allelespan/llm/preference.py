@@ -8,7 +8,7 @@ The query takes conversation 2p as chosen and 2p + 1 as rejected; a conversation
 and all its turns in its completion. A conversation becomes one row, so it must fit in a task.
 
 Edge cases: turns are ordered by turn, role and text, nulls first; repeated turns stay. A null role or text is empty. Marks
-inside a text are broken up by a space, so that a text cannot open a turn. Equal conversations have empty completions;
+inside a text or role are broken up by a space, and line ends in a role become spaces, so that neither can open a turn. Equal conversations have empty completions;
 `usable` is true where both completions have something to learn. A null conversation id is no conversation. Empty tables
 give no rows. Extra columns are not read.
 """
@@ -26,8 +26,9 @@ LEARNED = "assistant"
 
 def conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv_id, turns: array of (role, text) in order."""
-    safe = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|im_"), F.lit("< |im_"))
-    rows = turns.where(F.col(conv_id).isNotNull()).select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), safe.alias("text")).alias("t"))
+    safe = lambda c: F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("<|im_"), F.lit("< |im_"))
+    name = F.regexp_replace(safe(role), r"[\r\n]", " ")
+    rows = turns.where(F.col(conv_id).isNotNull()).select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), name.alias("role"), safe(text).alias("text")).alias("t"))
     got = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
     return got.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
 
@@ -74,8 +75,8 @@ def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH t AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), replace(coalesce(text, ''), '<|im_', '< |im_')) AS i,
-    coalesce(role, '') AS role, replace(coalesce(text, ''), '<|im_', '< |im_') AS text
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, replace(replace(replace(coalesce(role, ''), '<|im_', '< |im_'), chr(10), ' '), chr(13), ' '), replace(coalesce(text, ''), '<|im_', '< |im_')) AS i,
+    replace(replace(replace(coalesce(role, ''), '<|im_', '< |im_'), chr(10), ' '), chr(13), ' ') AS role, replace(coalesce(text, ''), '<|im_', '< |im_') AS text
   FROM conversations WHERE conv_id IS NOT NULL),
 p AS (SELECT *, CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, conv_id % 2 AS side FROM t),
 ids AS (SELECT pair_id, max(CASE WHEN side = 0 THEN conv_id END) AS chosen_id, max(CASE WHEN side = 1 THEN conv_id END) AS rejected_id, max(CASE WHEN side = 0 THEN i END) AS nc, max(CASE WHEN side = 1 THEN i END) AS nr FROM p GROUP BY pair_id),

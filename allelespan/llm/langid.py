@@ -84,8 +84,12 @@ def _counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    w = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32) * idf
-    return w / np.maximum(np.sqrt(np.einsum("ij,ij->i", w, w)), 1e-12)[:, None]
+    have = counts > 0
+    w = np.log(counts, out=np.zeros_like(counts), where=have)
+    w += have
+    w *= idf
+    w /= np.maximum(np.sqrt(np.einsum("ij,ij->i", w, w)), 1e-12)[:, None]
+    return w
 
 
 def _clusters(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -147,10 +151,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", fit_rows: i
         return Model([], np.zeros((0, FEATURES), np.float32), np.zeros(0), np.zeros(FEATURES, np.float32))
     got.sort(key=lambda r: (r["l"], r["f"], r["n"]))
     counts = np.zeros((len(got), FEATURES), dtype=np.float32)
+    names = np.array([r["l"] for r in got])
     for i, r in enumerate(got):
-        counts[i, r["f"]] = r["n"]
+        counts[i, r["f"]], got[i] = r["n"], None
     idf = (np.log((1 + len(got)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x, names = _weighted(counts, idf), np.array([r["l"] for r in got])
+    x = _weighted(counts, idf)
+    del counts
     langs: list[str] = []
     parts = []
     for name in sorted(set(names)):

@@ -14,8 +14,9 @@ the number of fingerprints, so that cells stay small; what is found does not dep
 
 `kept` also asks how alike texts are, for removing copies: fingerprints within RADIUS bits make groups of candidates, and in a group a
 row goes only if its text equals that of an earlier row that stays, or shares 0.8 of their five-word shingles with it (Jaccard).
-Equal texts are one from the start, by a sum on the map side. Groups are settled in rounds: the LEADERS first rows of
-each are compared with all others of the group, as arrays of shingle hashes side by side.
+Equal texts are one from the start, by a sum on the map side. Groups are settled in rounds: the first rows of each (LEADERS, in
+each later round twice as many, up to MOST_LEADERS) are compared with all others of the group, as arrays of shingle hashes side
+by side.
 
 Edge cases: null and empty texts and those of white space have fingerprint zero, which links like any other. One or two
 words count as one shingle. Repeated rows share a fingerprint and so a component. A null doc_id is passed over when the
@@ -35,11 +36,12 @@ from pyspark.sql import functions as F
 
 from allelespan.llm._common import ascii_lower, numbered, shuffle_partitions, staged, table
 from allelespan.operators.components import components
+from allelespan.sources.staging import scratch
 
 BLOCK = 4096
 MOST = 3
 #: Bits, shingle length, similarity and compared rows of a group of kept().
-RADIUS, SHINGLE, ALIKE, LEADERS = 7, 5, 0.8, 16
+RADIUS, SHINGLE, ALIKE, LEADERS, MOST_LEADERS = 7, 5, 0.8, 16, 128
 
 
 def words_of(text: Column) -> Column:
@@ -233,10 +235,11 @@ def kept(rows: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text",
     members = first.join(several, "group").select("group", "key", F.col("key.row").alias("row"))
     texts = rows.select(F.col(row).alias("row"), F.col(text).alias("text")).join(members, "row")
     rest = staged(texts.select("group", "key", shingles(F.col("text")).alias("s")), "dedup-members")
-    late = None
+    late: list[str] = []
+    leaders = LEADERS
     while True:
         place = F.row_number().over(Window.partitionBy("group").orderBy("key"))
-        lead = rest.select("group", "key", place.alias("place")).where(F.col("place") <= LEADERS)
+        lead = rest.select("group", "key", place.alias("place")).where(F.col("place") <= leaders)
         if lead.where("place > 1").isEmpty():
             break
         lead = staged(lead.join(rest, ["group", "key"]), "dedup-leaders")
@@ -244,14 +247,16 @@ def kept(rows: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text",
         near = rest.join(lead.select("group", "key", F.col("place").alias("b")), ["group", "key"], "left").join(other, "group").where(F.col("key") > F.col("before"))
         near = staged(near.where(jaccard(F.col("s"), F.col("s0")) >= alike).select("group", "key", "a", "b"), "dedup-near")
         gone = near.where("b IS NOT NULL").groupBy("group").applyInPandas(_later, "group long, a int")
-        gone = staged(gone, "dedup-late-leaders")
-        now = near.join(gone, ["group", "a"], "left_anti").select("key").distinct()
-        late = now if late is None else late.unionByName(now)
-        rest = rest.join(lead, ["group", "key"], "left_anti").join(now, "key", "left_anti")
+        late.append(scratch(rows.sparkSession, "dedup-late"))
+        near.join(gone, ["group", "a"], "left_anti").select("key").distinct().write.parquet(late[-1])
+        now = rows.sparkSession.read.schema(first.select("key").schema).parquet(late[-1])
+        # groups of one that are left have nobody to be compared with
+        rest = rest.join(lead.select("group", "key"), ["group", "key"], "left_anti").join(now, "key", "left_anti")
         rest = staged(rest, "dedup-members")
+        leaders = min(2 * leaders, MOST_LEADERS)
     stay = first.select("key")
-    if late is not None:
-        stay = stay.join(late, "key", "left_anti")
+    if late:  # the rounds' tables as one scan
+        stay = stay.join(rows.sparkSession.read.schema(stay.schema).parquet(*late), "key", "left_anti")
     return stay.select(F.col("key.row").alias(row))
 
 

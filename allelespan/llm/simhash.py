@@ -40,8 +40,8 @@ from allelespan.sources.staging import scratch
 
 BLOCK = 4096
 MOST = 3
-#: Bits, shingle length, similarity and compared rows of a group of kept().
-RADIUS, SHINGLE, ALIKE, LEADERS, MOST_LEADERS = 7, 5, 0.8, 16, 128
+#: Bits, shingle length, similarity and compared rows of a group of kept(), and how many rows of a group are dealt out together.
+RADIUS, SHINGLE, ALIKE, LEADERS, MOST_LEADERS, DEALT = 7, 5, 0.8, 16, 128, 512
 
 
 def words_of(text: Column) -> Column:
@@ -231,10 +231,12 @@ def kept(rows: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text",
     found = components(links(staged(first.select("fp").distinct(), "dedup-fp"), most))
     first = first.join(found.withColumnsRenamed({"node": "fp"}), "fp", "left").select("key", F.coalesce("root", "fp").alias("group"))
     first = staged(first, "dedup-groups")
-    several = first.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
-    members = first.join(several, "group").select("group", "key", F.col("key.row").alias("row"))
+    several = first.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group", F.ceil(F.col("n") / DEALT).cast("int").alias("parts"))
+    members = first.join(several, "group").select("group", "key", "parts", F.col("key.row").alias("row"))
     texts = rows.select(F.col(row).alias("row"), F.col(text).alias("text")).join(members, "row")
-    rest = staged(texts.select("group", "key", shingles(F.col("text")).alias("s")), "dedup-members")
+    # a large group is dealt out in parts, each of which meets all of its leaders
+    part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    rest = staged(texts.select("group", "key", "parts", part.alias("part"), shingles(F.col("text")).alias("s")), "dedup-members")
     late: list[str] = []
     leaders = LEADERS
     while True:
@@ -242,16 +244,16 @@ def kept(rows: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text",
         lead = rest.select("group", "key", place.alias("place")).where(F.col("place") <= leaders)
         if lead.where("place > 1").isEmpty():
             break
-        lead = staged(lead.join(rest, ["group", "key"]), "dedup-leaders")
-        other = lead.select("group", F.col("key").alias("before"), F.col("place").alias("a"), F.col("s").alias("s0"))
-        near = rest.join(lead.select("group", "key", F.col("place").alias("b")), ["group", "key"], "left").join(other, "group").where(F.col("key") > F.col("before"))
+        lead = staged(lead.join(rest.drop("group"), "key"), "dedup-leaders")
+        other = lead.select("group", F.col("key").alias("before"), F.col("place").alias("a"), F.col("s").alias("s0"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        near = rest.join(lead.select("key", F.col("place").alias("b")), "key", "left").join(other, ["group", "part"]).where(F.col("key") > F.col("before"))
         near = staged(near.where(jaccard(F.col("s"), F.col("s0")) >= alike).select("group", "key", "a", "b"), "dedup-near")
         gone = near.where("b IS NOT NULL").groupBy("group").applyInPandas(_later, "group long, a int")
         late.append(scratch(rows.sparkSession, "dedup-late"))
         near.join(gone, ["group", "a"], "left_anti").select("key").distinct().write.parquet(late[-1])
         now = rows.sparkSession.read.schema(first.select("key").schema).parquet(late[-1])
         # groups of one that are left have nobody to be compared with
-        rest = rest.join(lead.select("group", "key"), ["group", "key"], "left_anti").join(now, "key", "left_anti")
+        rest = rest.join(lead.select("key"), "key", "left_anti").join(now, "key", "left_anti")
         rest = staged(rest, "dedup-members")
         leaders = min(2 * leaders, MOST_LEADERS)
     stay = first.select("key")

@@ -141,6 +141,7 @@ def test_kept_against_brute_force(spark, leaders, monkeypatch):
 def test_a_group_of_texts_that_are_not_alike(spark, monkeypatch):
     """One group by fingerprints, in which only some are similar: nothing goes without a similar row that stays."""
     monkeypatch.setattr(simhash, "LEADERS", 3)
+    monkeypatch.setattr(simhash, "DEALT", 7)
     line = "the same line again and again in all of these "
     rows = [(i, line * 60 + " ".join(f"own{i // 2}n{k}" for k in range(25 + i % 2)), i) for i in range(30)]
     df = simhash.staged(spark.createDataFrame(rows, "doc_id long, text string, n long"), "t")

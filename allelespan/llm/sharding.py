@@ -35,8 +35,9 @@ def histogram_sort(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     spark = df.sparkSession
     df = df.drop("size", "shard", "slot")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long")
-    keyed = df.withColumns({"size": size, "_k0": F.xxhash64(text), "_k1": F.xxhash64(doc_id), "_k2": F.monotonically_increasing_id()})
-    return _sorted(staged(keyed, "shard-rows"), shards, tolerance, share, spark)
+    keyed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), size.alias("size"), F.xxhash64(text).alias("_k0"), F.xxhash64(doc_id).alias("_k1"), F.monotonically_increasing_id().alias("_k2"))
+    got = _sorted(staged(keyed, "shard-rows"), shards, tolerance, share, spark)
+    return got.select("row.*", "size", "shard", "slot")
 
 
 def _sorted(rows: DataFrame, shards: int, tolerance: float, share: float, spark: SparkSession) -> DataFrame:

@@ -11,7 +11,8 @@ Counts are held in hashed slots: SLOTS of them, doubled until there are LOAD for
 training URLs, so the share of grams that meet in a slot does not grow with the input. The model is one row, summed over
 all labelled rows; it grows with the distinct grams. All of it is DataFrame functions.
 
-Edge cases: a null url or one without `://` has empty host and path, fits no rule and scores 0. Empty tables and tables
+Edge cases: a null url or one without `://` has empty host and path, fits no rule and scores 0, so it is blocked where the
+threshold is above 0 and allowed elsewhere. Empty tables and tables
 without labelled rows give scores and threshold 0, so all is allowed. Repeated rows get equal answers. Extra columns are
 carried along by `judge`; columns of the names that it adds are replaced.
 """
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from allelespan.llm._common import ascii_lower, staged, table
+from allelespan.llm._common import ascii_lower, free_name, staged, table
 
 #: Fewest slots, and slots for each distinct gram at least.
 SLOTS, LOAD = 1 << 17, 8
@@ -103,19 +104,19 @@ def model(labelled: DataFrame) -> DataFrame:
 
 def scored(df: DataFrame, m: DataFrame, s: str = "s") -> DataFrame:
     """Adds score: the difference of the log-likelihoods a character; 0 for an empty string."""
-
-    slots = F.size("_m.a")
+    pad, counts = free_name(df, "_p"), free_name(df, "_m")
+    slots = F.size(F.col(counts)["a"])
 
     def place(i: Column) -> Column:
         p = {"a": F.lit(1 / SYMBOLS), "r": F.lit(1 / SYMBOLS)}
         for k in range(ORDERS):
-            ctx = _context(F.col("_p"), i, k)
-            gram, total = _slot(F.concat(ctx, F.substring(F.col("_p"), i + (ORDERS - 1), F.lit(1))), slots), _slot(F.concat(ctx, F.lit("\n")), slots)
-            p = {c: (F.get(F.col(f"_m.{c}"), gram.cast("int")) + STRENGTH * p[c]) / (F.get(F.col(f"_m.{c}"), total.cast("int")) + STRENGTH) for c in p}
+            ctx = _context(F.col(pad), i, k)
+            gram, total = _slot(F.concat(ctx, F.substring(F.col(pad), i + (ORDERS - 1), F.lit(1))), slots), _slot(F.concat(ctx, F.lit("\n")), slots)
+            p = {c: (F.get(F.col(counts)[c], gram.cast("int")) + STRENGTH * p[c]) / (F.get(F.col(counts)[c], total.cast("int")) + STRENGTH) for c in p}
         return F.log(p["a"]) - F.log(p["r"])
 
     total = F.aggregate(_places(s), F.lit(0.0), lambda acc, i: acc + place(i))
-    return df.withColumns({"_p": _padded(s), "_m": m.scalar()}).withColumn("score", F.when(F.length(s) > 0, total / F.length(s)).otherwise(0.0)).drop("_p", "_m")
+    return df.withColumns({pad: _padded(s), counts: m.scalar()}).withColumn("score", F.when(F.length(s) > 0, total / F.length(s)).otherwise(0.0)).drop(pad, counts)
 
 
 def threshold(held: DataFrame) -> DataFrame:
@@ -132,15 +133,16 @@ def threshold(held: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, url: str = "url", rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """Adds host, path, rule, score and verdict."""
     rules = RULES if rules is None else rules
-    pages = pages.drop("host", "path", "rule", "score", "verdict", "_s", "_rule")
+    pages = pages.drop("host", "path", "rule", "score", "verdict")
+    own, text, limit_ = (free_name(pages, x) for x in ("_rule", "_s", "_t"))
     parts = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    parts = parts.withColumns({"_rule": rule_of(F.col("host"), F.col("path"), rules), "_s": characters(F.col("host"), F.col("path"))})
-    labelled = parts.where("_rule IS NOT NULL").select(F.col("_s").alias("s"), (F.col("_rule.verdict") == "allow").alias("ok"), (F.pmod(F.xxhash64("_s"), F.lit(FOLDS)) == 0).alias("held"))
+    parts = parts.withColumns({own: rule_of(F.col("host"), F.col("path"), rules), text: characters(F.col("host"), F.col("path"))})
+    labelled = parts.where(F.col(own).isNotNull()).select(F.col(text).alias("s"), (F.col(own)["verdict"] == "allow").alias("ok"), (F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0).alias("held"))
     m = model(labelled.where("NOT held"))
     limit = threshold(scored(labelled.where("held"), m))
-    out = scored(parts, m, "_s").withColumn("_t", F.coalesce(limit.scalar(), F.lit(0.0)))
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") >= F.col("_t"), "allow").otherwise("block"))
-    return out.withColumns({"rule": F.col("_rule.rule"), "verdict": verdict}).drop("_s", "_rule", "_t")
+    out = scored(parts, m, text).withColumn(limit_, F.coalesce(limit.scalar(), F.lit(0.0)))
+    verdict = F.coalesce(F.col(own)["verdict"], F.when(F.col("score") >= F.col(limit_), "allow").otherwise("block"))
+    return out.withColumns({"rule": F.col(own)["rule"], "verdict": verdict}).drop(text, own, limit_)
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

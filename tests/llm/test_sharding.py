@@ -47,3 +47,29 @@ def test_order_follows_the_key(spark):
     for r in got:
         shards.setdefault(r.text, set()).add(r.shard)
     assert sum(len(v) > 1 for v in shards.values()) <= 3  # equal texts stand together
+
+
+def test_query_against_sorted_rows(spark, sf_dir):
+    """Shards and slots follow the order of the keys; each border is as near to its share of the bytes as tolerance and rows allow."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    key = {r.doc_id: (r.k0, r.k1) for r in docs.selectExpr("doc_id", "xxhash64(text) AS k0", "xxhash64(doc_id) AS k1").collect()}
+    size = {r.doc_id: len((r.text or "").encode()) + 16 for r in docs.collect()}
+    got = {r.doc_id: r for r in s.op4_histogram_sort(spark, sf_dir).collect()}
+    order = sorted(key, key=key.get)
+    assert sorted(order, key=lambda d: (got[d].shard, got[d].slot)) == order and all(got[d]["size"] == size[d] for d in order)
+    for n in range(s.SHARDS):
+        assert sorted(r.slot for r in got.values() if r.shard == n) == list(range(sum(r.shard == n for r in got.values())))
+    total = sum(size.values())
+    for n in range(1, s.SHARDS):
+        below = sum(size[d] for d in order if got[d].shard < n)
+        at = next((d for d in order if got[d].shard >= n), None)
+        before = [d for d in order if got[d].shard < n]
+        largest = max([size[at]] if at is not None else [0]) + (size[before[-1]] if before else 0)
+        assert abs(below - total * n / s.SHARDS) <= s.TOLERANCE * total / s.SHARDS + largest
+
+
+def test_clashing_columns_stay(spark):
+    df = spark.createDataFrame([(i, "t" * i, i, -i, 2 * i) for i in range(50)], "doc_id long, text string, _k0 int, _bin int, size int")
+    got = s.histogram_sort(df, shards=4)
+    assert got.columns == ["doc_id", "text", "_k0", "_bin", "size", "shard", "slot"]
+    assert all(r._k0 == r.doc_id and r._bin == -r.doc_id and r["size"] == r.doc_id + 16 for r in got.collect())

@@ -90,3 +90,11 @@ def test_edges(spark):
     assert got[4].host == "a.com" and got[5].rule == "com/en/" and got[6].rule == "example.com/en/7" and got[6].verdict == "allow"
     assert got[7].rule is None and got[8].rule == "net/de/" and got[5].verdict == got[10].verdict == "block"
     assert u.judge(df.limit(0)).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(i, f"http://{h}/{p}/{i}", 1, 2, 3, 4, 5) for i, (h, p) in enumerate([("example.com", "en"), ("a.net", "de"), ("b.org", "fr")] * 5)]
+    df = spark.createDataFrame(rows, "page_id int, url string, _s int, _rule int, _p int, _m int, _T int")
+    got = u.judge(df)
+    assert sorted(got.columns) == sorted([*df.columns, "host", "path", "score", "rule", "verdict"])
+    assert all((r._s, r._rule, r._p, r._m, r._T) == (1, 2, 3, 4, 5) for r in got.collect())

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from allelespan.sources.staging import staged
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """edges: (a, b), longs. node, root: each node that has an edge, and the smallest node that it can reach."""
+def components(edges: DataFrame) -> DataFrame:
+    """edges: (a, b), longs. node, root: each node that has an edge, and the smallest node that it can reach. Rounds go on until nothing
+    changes; they grow with the logarithm of the longest path."""
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    while True:
         # large star: every larger neighbour of u, and u, is tied to the smallest of u's neighbourhood
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -25,4 +26,3 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
         before = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from allelespan.sources.staging import shared_dir, staged
 
-__all__ = ["UPPER", "LOWER", "WORD", "table", "ascii_lower", "shuffle_partitions", "free_name", "numbered", "shared_dir", "staged"]
+__all__ = ["UPPER", "LOWER", "table", "ascii_lower", "shuffle_partitions", "free_name", "numbered", "shared_dir", "staged"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Words of the contracts of operators 5 and 10: letters, digits and all that is not ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -33,7 +33,7 @@ SLOP = 5
 BOUND = 500_000
 
 
-#: What WORD leaves out.
+#: What stands between words: all of ASCII but letters and digits.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

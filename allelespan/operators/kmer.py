@@ -133,6 +133,51 @@ def end_trim(hits: DataFrame, cutoff: int, hit: int = 9, miss: int = -1, by: str
     return marks.select(by, edge(F.col("marks")).alias("left"), edge(F.reverse("marks")).alias("right"))
 
 
+def _runs(seq: Column, k: int) -> Column:
+    """Runs of ACGT that have k-mers, as (start, n, first): place, number of k-mers, and the number of the first one in the sequence."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("count"), F.array().cast("array<struct<start:int,n:int,first:int>>").alias("runs"))
+
+    def step(acc: Column, piece: Column) -> Column:  # a piece begins with another letter, but for the first
+        bad = (~F.substring(piece, 1, 1).isin(*"ACGTacgt")).cast("int")
+        n = F.greatest(F.lit(0), F.length(piece) - bad - (k - 1))
+        run = F.struct((acc["at"] + bad).alias("start"), n.alias("n"), acc["count"].alias("first"))
+        return F.struct((acc["at"] + F.length(piece)).alias("at"), (acc["count"] + n).alias("count"), F.when(n > 0, F.array_append(acc["runs"], run)).otherwise(acc["runs"]).alias("runs"))
+
+    return F.aggregate(F.split(seq, "(?=[^ACGTacgt])"), zero, step)["runs"]
+
+
+def end_trim_of(seqs: DataFrame, listed: DataFrame, cutoff: int, k: int, by: str = "name", seq: str = "seq", hit: int = 9, miss: int = -1) -> DataFrame:
+    """As end_trim(), from sequences and the k-mers of the list (kmer, distinct). Only hits are shuffled: what stands between two of
+    them is a number of misses, which the sequence itself tells."""
+    hits = S.kmers(seqs, seq, k, by).join(probe(listed.select("kmer"), bounded(listed)), "kmer", "left_semi")
+    found = hits.groupBy(by).agg(F.sort_array(F.collect_list(F.col("pos").cast("int"))).alias("hits"))
+    rows = seqs.select(by, _runs(F.col(seq), k).alias("runs")).where(F.size("runs") > 0).join(found, by, "left")
+    last = F.element_at("runs", -1)
+    rows = rows.select(by, "runs", (last["first"] + last["n"]).alias("n"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits"))
+    own = lambda pos: F.element_at(F.filter("runs", lambda r: r["start"] <= pos), -1)
+    numbers = F.transform("hits", lambda pos: own(pos)["first"] + pos - own(pos)["start"])
+
+    def edge(order: Column) -> Column:
+        """Number of the k-mer at which the score that reaches the cutoff began."""
+
+        def step(acc: Column, i: Column) -> Column:
+            fall = (i - acc["before"] - 1) * -miss
+            score = F.when(acc["score"] < fall, F.lit(0)).otherwise(acc["score"] - fall) + hit
+            start = F.when(acc["score"] < fall, i - 1).otherwise(acc["start"])
+            return F.struct(i.alias("before"), score.alias("score"), start.alias("start"), F.coalesce(acc["edge"], F.when(score >= cutoff * hit, start)).alias("edge"))
+
+        zero = F.struct(F.lit(-1).alias("before"), F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(None).cast("int").alias("edge"))
+        return F.aggregate(order, zero, step)["edge"]
+
+    def pos(i: Column) -> Column:
+        run = F.element_at(F.filter("runs", lambda r: r["first"] <= i), -1)
+        return run["start"] + i - run["first"]
+
+    rows = rows.withColumn("at", numbers)
+    rows = rows.select(by, "runs", edge(F.col("at")).alias("l"), (F.col("n") - 1 - edge(F.reverse(F.transform("at", lambda i: F.col("n") - 1 - i)))).alias("r"))
+    return rows.select(by, F.when(F.col("l").isNotNull(), pos(F.col("l"))).alias("left"), F.when(F.col("r").isNotNull(), pos(F.col("r"))).alias("right"))
+
+
 def masked_runs(hits: DataFrame, k: int = 31, by: str = "name") -> DataFrame:
     """hits: by, pos (start of a k-mer of the set). Runs of hits at most k apart: start, end (half-open) of the bases from the
     first hit's last base to the last hit's last base."""

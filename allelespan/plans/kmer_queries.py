@@ -95,9 +95,8 @@ def hotspot_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmer_end_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = item_kmers(spark, sf_dir).select("kmer").distinct().withColumn("h", F.lit(True))
-    at = document_kmers(spark, sf_dir, "doc_id").join(K.probe(listed, K.bounded(listed)), "kmer", "left")
-    return K.end_trim(at.select("doc_id", "pos", F.col("h").isNotNull().alias("is_hit")), 20, by="doc_id")
+    listed = item_kmers(spark, sf_dir).select("kmer").distinct()
+    return K.end_trim_of(documents(spark, sf_dir).select("doc_id", "seq"), listed, 20, LEN, "doc_id")
 
 
 def group_exclusive_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from allelespan.functions import seq as S
 from allelespan.operators import annotate, cluster, graph, interval, kmer, similarity
 
 SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -99,6 +100,21 @@ def test_end_trim_against_walk(spark, marks, cutoff):
     assert rows(kmer.end_trim(hits, cutoff)) == [("s", walk(n), walk(n[::-1]))]
 
 
+def test_end_trim_of_sequences(spark):
+    """The same ends from sequences as from a row for each k-mer, with other letters in between."""
+    rng = random.Random(6)
+    made = []
+    for i in range(60):
+        s = "".join(rng.choice(["ACGGT", "TTTGA", "CCATG", "acggt", "N", "AAAAA"]) for _ in range(rng.randrange(25)))
+        made.append((f"s{i}", s))
+    seqs = spark.createDataFrame(made, "name string, seq string")
+    listed = spark.createDataFrame([(x,) for x in ("ACCGT", "TCAAA", "CCATG", "TTTTT")], "kmer string")
+    marks = S.kmers(seqs, "seq", 5, "name").join(listed.withColumn("h", F.lit(True)), "kmer", "left").select("name", "pos", F.col("h").isNotNull().alias("is_hit"))
+    for cutoff in (1, 2, 3):
+        want = rows(kmer.end_trim(marks, cutoff))
+        assert rows(kmer.end_trim_of(seqs, listed, cutoff, 5)) == want and any(r[1] is not None for r in want) and any(r[1] is None for r in want)
+
+
 def test_mask(spark):
     seqs = spark.createDataFrame([("a", "ACGTACGTAC"), ("b", "AcGT")], "name string, seq string")
     hits = spark.createDataFrame([("a", 1), ("a", 3)], "name string, pos int")

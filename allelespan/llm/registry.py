@@ -15,6 +15,7 @@ from allelespan.llm.pii import op1_pii_surrogates
 from allelespan.llm.preference import OP2_SQL, op2_preference_format
 from allelespan.llm.sharding import op4_histogram_sort
 from allelespan.llm.simhash import op6_simhash
+from allelespan.llm.token_counts import op12_heap_bpe
 from allelespan.llm.url_filter import op3_url_filter
 
 
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_stable_projections": op8_stable_projections,
         "op9_language_id": op9_language_id,
         "op10_license_scan": op10_license_scan,
+        "op12_heap_bpe": op12_heap_bpe,
     }
 
 

@@ -11,5 +11,6 @@ def test_query_equals_sql(spark, sf_dir, name):
     same(spark, connected(sf_dir), registry.queries()[name], registry.oracle_sql()[name], sf_dir)
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 11))
+def test_one_query_for_each_operator():
+    numbers = [int(n[2:].split("_")[0]) for n in registry.queries()]
+    assert len(numbers) == len(set(numbers)) and set(range(1, 11)) <= set(numbers) <= set(range(1, 14))

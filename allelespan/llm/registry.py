@@ -13,6 +13,7 @@ from allelespan.llm.nearest import op8_stable_projections
 from allelespan.llm.pieces import op7_merge_dropout
 from allelespan.llm.pii import op1_pii_surrogates
 from allelespan.llm.preference import OP2_SQL, op2_preference_format
+from allelespan.llm.resampling import OP11_SQL, op11_importance_resampling
 from allelespan.llm.sharding import op4_histogram_sort
 from allelespan.llm.simhash import op6_simhash
 from allelespan.llm.token_counts import op12_heap_bpe
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_stable_projections": op8_stable_projections,
         "op9_language_id": op9_language_id,
         "op10_license_scan": op10_license_scan,
+        "op11_importance_resampling": op11_importance_resampling,
         "op12_heap_bpe": op12_heap_bpe,
     }
 
@@ -39,4 +41,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_preference_format": OP2_SQL,
         "op5_decontaminate": OP5_SQL,
+        "op11_importance_resampling": OP11_SQL,
     }

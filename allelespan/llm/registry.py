@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from allelespan.llm.collocations import OP13_SQL, op13_collocations
 from allelespan.llm.decontaminate import OP5_SQL, op5_decontaminate
 from allelespan.llm.langid import op9_language_id
 from allelespan.llm.licences import op10_license_scan
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_license_scan": op10_license_scan,
         "op11_importance_resampling": op11_importance_resampling,
         "op12_heap_bpe": op12_heap_bpe,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -42,4 +44,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_preference_format": OP2_SQL,
         "op5_decontaminate": OP5_SQL,
         "op11_importance_resampling": OP11_SQL,
+        "op13_collocations": OP13_SQL,
     }

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from allelespan.llm._common import shuffle_partitions, staged, table
+from allelespan.llm._common import cut_words, shuffle_partitions, staged, table
 
 LONGEST = 3
 BUCKETS = 10_000
@@ -92,15 +92,8 @@ def blocks(texts: Iterator[str | None], longest: int) -> Iterator[Block]:
     block = Block()
     for row, t in enumerate(texts):
         raw = (t or "").encode("utf-8", "surrogatepass").translate(WORDS)
-        at, carried = 0, []
-        while at < len(raw):
-            stop = len(raw) if len(raw) - at <= BLOCK else raw.find(b" ", at + BLOCK)
-            stop = len(raw) if stop < 0 else stop
-            words = raw[at:stop].split()
-            if words:
-                block.add(row, carried, words, stop - at)
-                carried = (carried + words[-longest:])[1 - longest :] if longest > 1 else []
-            at = stop
+        for carried, words, size in cut_words(raw, BLOCK, longest - 1):
+            block.add(row, carried, words, size)
             if block.bytes >= BLOCK:
                 yield block
                 block = Block()

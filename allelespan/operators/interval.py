@@ -6,12 +6,12 @@ the later of the two begins, so no pair comes twice and nothing is compared with
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from allelespan.operators import scan
+from allelespan.sources.staging import staged
+
 
 def islands(df: DataFrame, by: list[str], gap: int = 0) -> DataFrame:
     """Adds island: a number for each run of intervals with at most `gap` between one's start and all ends before it."""
@@ -122,37 +122,62 @@ def break_clusters(df: DataFrame, by: str, near: int = 50) -> DataFrame:
     return n.groupBy(by, "cluster").agg(F.sum("n").alias("n_breaks"), F.max(F.struct("n", (-F.col("pos")).alias("m")))["m"].alias("m")).select(by, (-F.col("m")).alias("pos"), "n_breaks")
 
 
-def resolve_overlaps(df: DataFrame, by: str = "contig") -> DataFrame:
-    """df: by, id, start, end. From left to right, a locus that begins before the one before it ends meets it at the middle of
-    the overlap, within both; each step sees the ends that the step before has set, so contigs are walked one by one."""
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start", "end", "id"]).reset_index(drop=True)
-        start, end = pdf["start"].tolist(), pdf["end"].tolist()
-        for i in range(1, len(pdf)):
-            if start[i] < end[i - 1]:
-                middle = min(max((start[i] + end[i - 1]) // 2, start[i - 1]), end[i])
-                end[i - 1] = start[i] = middle
-        return pdf.assign(start=start, end=end)
-
-    return df.groupBy(by).applyInPandas(walk, df.schema)
+def resolve_overlaps(df: DataFrame, by: str = "contig", core: tuple[str, str] = ("start", "end"), order: tuple[str, str] = ("start", "end")) -> DataFrame:
+    """df: by, id, start, end. In order, a locus that begins before the one before it ends meets it at the middle of
+    the overlap, but not before the core of the one has ended nor after the core of the other has begun; where cores overlap, the
+    later start counts. core: what a locus was before it was extended; by default it is the locus itself, so the earlier one ends
+    where the later one starts. A locus does not end before it starts."""
+    w = Window.partitionBy(by).orderBy(*order, "id")
+    middle = lambda start, end, core_end, core_start: F.least(F.greatest(F.floor((start + end) / 2), core_end), core_start)
+    before = middle(F.col("start"), F.lag("end").over(w), F.lag(core[1]).over(w), F.col(core[0]))
+    after = middle(F.lead("start").over(w), F.col("end"), F.col(core[1]), F.lead(core[0]).over(w))
+    at = df.withColumns({"_s": F.when(F.col("start") < F.lag("end").over(w), before), "_e": F.when(F.lead("start").over(w) < F.col("end"), after)})
+    kinds = {c: df.schema[c].dataType for c in ("start", "end")}
+    at = at.withColumns({"start": F.coalesce("_s", "start").cast(kinds["start"]), "end": F.coalesce("_e", "end").cast(kinds["end"])})
+    return at.withColumn("end", F.greatest("start", "end")).drop("_s", "_e")
+
+
+def loci(df: DataFrame, gap: int) -> DataFrame:
+    """df: contig, start, end. Adds locus: the start of the run of intervals it stands in, with at most `gap` between one's start and
+    all ends before it. A contig of any size is many tasks."""
+    by, order = ["contig"], ["start", "end"]
+    parts = scan.dealt(df, by, order)
+    reached = staged(scan.running_max(parts, by, order, {"_reach": F.col("end")}), "reached")
+    fresh = F.when(F.col("_reach").isNull() | (F.col("start") - F.col("_reach") > gap), F.col("start"))
+    out = scan.running_max(reached, by, order, {"locus": fresh})
+    return out.withColumn("locus", F.greatest("locus", fresh)).drop("_reach", "_part", "_row")
+
+
+def exon_borders(df: DataFrame, apart: int = 10_000, same_gene: int = 20_000) -> DataFrame:
+    """df: contig, locus, start, end, gene, is_exon. contig, locus, at: the middle between an exon and all before it in its locus, if they
+    end more than `apart` before and no gene that goes on has ended same_gene or less before. A gene that pauses at e and goes
+    on at s forbids borders before exons at e + 1 to min(s, e + same_gene), so the open genes of a place are intervals too, and
+    all that is carried along a locus is how far exons and pauses reach."""
+    by, order = ["contig", "locus"], ["start", "_pause"]
+    exons = df.where("is_exon").select("contig", "locus", "start", "end", "gene")
+    own = scan.dealt(exons, [*by, "gene"], ["start", "end"])
+    paused = scan.running_max(own, [*by, "gene"], ["start", "end"], {"_reach": F.col("end")}).where("start > _reach")
+    pauses = paused.select(*by, F.col("_reach").alias("start"), F.lit(None).cast("long").alias("end"), F.least(F.col("start"), F.col("_reach") + same_gene).alias("_pause"))
+    events = exons.select(*by, "start", F.col("end").cast("long").alias("end"), F.lit(None).cast("long").alias("_pause")).unionByName(pauses)
+    at = scan.running_max(scan.dealt(events, by, order), by, order, {"_reach": F.col("end"), "_open": F.col("_pause")})
+    cut = at.where(F.col("end").isNotNull() & (F.col("start") - F.col("_reach") > apart) & F.coalesce(F.col("_open") < F.col("start"), F.lit(True)))
+    return cut.select(*by, F.floor((F.col("start") + F.col("_reach")) / 2).alias("at"))
 
 
 def split_overmerged(df: DataFrame, apart: int = 10_000, same_gene: int = 20_000) -> DataFrame:
-    """df: locus, start, end, gene, is_exon. Adds part: a locus is cut where exons are more than `apart` from all before and no
-    gene that goes on has ended less than same_gene before. What is not an exon joins the part its start falls into."""
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start", "end"]).reset_index(drop=True)
-        exons = pdf[pdf["is_exon"]]
-        last = exons.groupby("gene")["end"].max().to_dict()
-        borders, reach, open_genes = [], None, {}
-        for start, end, gene in zip(exons["start"], exons["end"], exons["gene"]):
-            if reach is not None and start - reach > apart and all(start - e > same_gene for e in open_genes.values()):
-                borders.append((start + reach) // 2)
-            reach = end if reach is None else max(reach, end)
-            open_genes[gene] = max(end, open_genes.get(gene, end))
-            open_genes = {g: e for g, e in open_genes.items() if e < last[g]}
-        return pdf.assign(part=[sum(b <= s for b in borders) for s in pdf["start"]])
-
-    return df.groupBy("locus").applyInPandas(cut, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "part int"]))
+    """df: contig, locus, start, end, gene, is_exon. A row for each part of its locus that an alignment's start or end stands in, with
+    the borders of the part (low, null before the first; high, null after the last); a place on a border belongs to what is
+    before it."""
+    by, order = ["contig", "locus"], ["_at", "_border"]
+    borders = staged(exon_borders(df, apart, same_gene).distinct(), "borders")
+    rows = staged(df.withColumn("_id", F.monotonically_increasing_id()), "alignments")
+    places = rows.select(*by, F.explode(F.array("start", "end")).alias("_at"), "_id", F.lit(None).cast("long").alias("_border"))
+    marks = borders.select(*by, F.col("at").alias("_at"), F.lit(None).cast("long").alias("_id"), F.col("at").alias("_border"))
+    # nulls sort first, so a border comes after the places it shares
+    met = scan.running_max(scan.dealt(places.unionByName(marks), by, order), by, order, {"low": F.col("_border")})
+    parts = met.where("_id IS NOT NULL").select("_id", "low").distinct()
+    ahead = Window.partitionBy(*by).orderBy("low")
+    spans = borders.select(*by, F.col("at").alias("low")).unionByName(borders.select(*by).distinct().withColumn("low", F.lit(None).cast("long")))
+    spans = spans.withColumn("high", F.lead("low").over(ahead)).withColumn("_low", F.coalesce("low", F.lit(-1))).drop("low")
+    out = rows.join(parts, "_id").drop("_id").withColumn("_low", F.coalesce("low", F.lit(-1)))
+    return out.join(spans, [*by, "_low"], "left").drop("_low")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelespan.plans import align_queries, composite_queries, function_queries, interval_queries, io_queries, kmer_queries, pair_queries
+from allelespan.plans import align_queries, chain_queries, composite_queries, function_queries, interval_queries, io_queries, kmer_queries, pair_queries
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-for found in (kmer_queries, interval_queries, pair_queries, align_queries, function_queries, composite_queries, io_queries):
+for found in (kmer_queries, interval_queries, pair_queries, align_queries, function_queries, composite_queries, chain_queries, io_queries):
     QUERIES |= found.QUERIES
 
 

@@ -285,11 +285,8 @@ SELECT i, j, round(CAST(shared AS DOUBLE) / least(x.size, y.size), 6) AS contain
     "coverage_merge": (coverage_merge, E.I_CTE.replace("user_id AS chrom", "user_id % 7 AS chrom") + E.RUNS.format(gap=0) + ' SELECT chrom, greatest(0, start) AS start, "end", n FROM m'),
     "overlap_resolution": (
         overlap_resolution,
-        E.I_CTE.replace("WITH e", "WITH RECURSIVE e")
-        + """, s AS (SELECT chrom % 60 AS contig, id, start, "end" + 3600 AS "end", row_number() OVER (PARTITION BY chrom % 60 ORDER BY start, "end", id) AS n FROM e),
-w(contig, n, id, start, "end", met) AS (SELECT contig, n, id, start, "end", false FROM s WHERE n = 1
-  UNION ALL SELECT s.contig, s.n, s.id, CASE WHEN s.start < w."end" THEN least(greatest((s.start + w."end") // 2, w.start), s."end") ELSE s.start END, s."end", s.start < w."end" FROM w JOIN s ON s.contig = w.contig AND s.n = w.n + 1)
-SELECT w.contig, w.id, w.start, CASE WHEN x.met THEN x.start ELSE w."end" END AS "end" FROM w LEFT JOIN w x ON x.contig = w.contig AND x.n = w.n + 1""",
+        E.I_CTE + """, s AS (SELECT chrom % 60 AS contig, id, start, "end" + 3600 AS "end", lead(start) OVER (PARTITION BY chrom % 60 ORDER BY start, "end" + 3600, id) AS next FROM e)
+SELECT contig, id, start, CASE WHEN next < "end" THEN next ELSE "end" END AS "end" FROM s""",
     ),
     "insertion_order": (
         insertion_order,

@@ -38,18 +38,29 @@ def hotspot_queries(hotspots: DataFrame, contigs: DataFrame, gap: int = 20_000)
     return annotate.fetch(named, contigs)
 
 
-def allele_loci(aligned: DataFrame, contigs: DataFrame, anchor: int = 3000) -> DataFrame:
-    """aligned: contig, start, end, strand, gene, is_exon. Loci of alleles with their sequences: alignments near one another
-    merge, over-merged loci are cut between exons, each gets strand and genes, grows to the least size and gives way to its
-    neighbours."""
-    grouped = interval.islands(aligned, ["contig"], 2 * anchor).withColumn("locus", F.concat_ws("#", "contig", F.col("island").cast("string")))
-    parts = interval.split_overmerged(grouped)
-    strand = interval.strand_vote()
-    loci = parts.groupBy("contig", "locus", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), strand.alias("strand"), F.sort_array(F.collect_set(F.when(~F.col("is_exon"), F.col("gene")))).alias("genes"), F.max("is_exon").alias("exon"))
-    loci = loci.where(F.col("exon") | annotate.large_enough())
+def allele_loci(aligned: DataFrame, contigs: DataFrame, anchor: int = 3000, apart: int = 10_000, same_gene: int = 20_000, margin: int = 100, least: int = 500, keep_cores: bool = False) -> DataFrame:
+    """aligned: contig, start, end, strand, gene, is_exon. Loci of alleles with their sequences. Alignments near one another merge; a
+    locus is cut between exons that are far apart, and each part ends at its borders, but half a margin beyond its exons; it
+    gets the strand of the greater length and its genes (`ENSE` if it has exons only). Parts without exons stay if longer than `least`. All
+    grow to five anchors and give way to their neighbours: where the later one starts, or, with keep_cores, in the middle of what
+    both grew into."""
+    by = ["contig", "locus", "low", "high"]
+    gene = F.element_at(F.split("gene", "_"), -1)
+    found = interval.loci(aligned, 2 * anchor)
+    parts = interval.split_overmerged(found.withColumns({"name": F.col("gene"), "gene": gene}), apart, same_gene)
+    exon = lambda f, c: f(F.when(F.col("is_exon"), F.col(c)))
+    sums = parts.groupBy(*by).agg(F.min("start").alias("a"), F.max("end").alias("b"), exon(F.min, "start").alias("x"), exon(F.max, "end").alias("y"), interval.strand_vote().alias("strand"), F.array_sort(F.collect_set(F.when(~F.col("is_exon"), F.col("name")))).alias("genes"))
+    start, end = F.greatest("a", F.coalesce("low", F.lit(0))), F.least("b", F.coalesce("high", "b"))
+    sums = sums.withColumns({"_a": start, "_b": end})
+    first = F.when(F.col("x") < F.col("_a") + margin // 2, F.greatest(F.lit(0), F.col("x") - margin // 2)).otherwise(F.col("_a"))
+    last = F.when(F.col("y") > F.col("_b") - margin // 2, F.col("y") + margin // 2).otherwise(F.col("_b"))
+    named = F.when(F.size("genes") > 0, F.col("genes")).otherwise(F.array(F.lit("ENSE")))
+    cores = sums.select("contig", F.concat_ws("_", "contig", "locus", F.coalesce("low", F.lit(0))).alias("id"), first.alias("start"), last.alias("end"), "strand", named.alias("genes"), F.col("x").isNotNull().alias("exon"))
+    cores = cores.where(F.col("exon") | (F.col("end") - F.col("start") > least)).drop("exon").withColumns({"_core_start": F.col("start"), "_core_end": F.col("end")})
     start, end = interval.extend_to(5 * anchor)
-    loci = loci.select("contig", F.concat_ws("_", "locus", F.col("part").cast("string")).alias("id"), start.alias("start"), end.alias("end"), "strand", "genes")
-    return annotate.fetch(interval.resolve_overlaps(loci).withColumnRenamed("id", "name"), contigs)
+    order = ("_core_start", "_core_end")
+    met = interval.resolve_overlaps(cores.withColumns({"start": start, "end": end}), core=order if keep_cores else ("start", "end"), order=order)
+    return annotate.fetch(met.drop("_core_start", "_core_end").withColumnRenamed("id", "name"), contigs)
 
 
 def masked_trees(seqs: DataFrame, listed: DataFrame, group: str, k: int = 31) -> tuple[DataFrame, DataFrame]:

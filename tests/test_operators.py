@@ -176,12 +176,11 @@ def test_small_interval_rules(spark):
     breaks = spark.createDataFrame([("s", p) for p in (10, 10, 20, 69, 119, 300)], "seg string, pos int")
     assert rows(interval.break_clusters(breaks, "seg")) == [("s", 10, 4), ("s", 119, 1), ("s", 300, 1)]
     walk = spark.createDataFrame([("c", 1, 0, 100), ("c", 2, 80, 200), ("c", 3, 190, 300)], "contig string, id int, start int, end int")
-    assert rows(interval.resolve_overlaps(walk).select("id", "start", "end")) == [(1, 0, 90), (2, 90, 195), (3, 195, 300)]
-
-
-def test_split_overmerged(spark):
-    df = spark.createDataFrame([("l", 0, 100, "A", True), ("l", 30_000, 30_100, "B", True), ("l", 41_000, 41_100, "B", True), ("l", 5, 50, "x", False)], "locus string, start long, end long, gene string, is_exon boolean")
-    assert rows(interval.split_overmerged(df).select("start", "part")) == [(0, 0), (5, 0), (30_000, 1), (41_000, 1)]
+    assert rows(interval.resolve_overlaps(walk).select("id", "start", "end")) == [(1, 0, 80), (2, 80, 190), (3, 190, 300)]
+    far = spark.createDataFrame([("c", 1, 0, 15_000), ("c", 2, 10_000, 25_000), ("d", 3, 5, 9)], "contig string, id int, start long, end long")
+    assert rows(interval.resolve_overlaps(far).select("id", "start", "end")) == [(1, 0, 10_000), (2, 10_000, 25_000), (3, 5, 9)]
+    grown = spark.createDataFrame([("c", 1, 2750, 17_750, 10_000, 10_500), ("c", 2, 9750, 24_750, 17_000, 17_500), ("c", 3, 18_000, 19_000, 18_000, 19_000)], "contig string, id int, start long, end long, a long, b long")
+    assert rows(interval.resolve_overlaps(grown, core=("a", "b"), order=("a", "b")).select("id", "start", "end")) == [(1, 2750, 13_750), (2, 13_750, 18_000), (3, 18_000, 19_000)]
 
 
 def test_pairs(spark):

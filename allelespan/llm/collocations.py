@@ -7,7 +7,7 @@ n-grams that fall into it, both bits of a frequent n-gram are set. The number of
 cell holds at most about half of `least` on average.
 
 Second pass: n-grams whose bits are set, and whose shorter parts have theirs set, are the survivors. They are counted exactly: in a
-block of texts by numbers (number of the n-gram before the last word, number of the word), then as strings over all tasks.
+block of texts by numbers (number of the n-gram before the last word, number of the word), then by phrase in a task and over all tasks.
 What the sketch let through by clashes goes when the exact counts are compared with `least`; nothing frequent is lost.
 
 Scores: counts of both sides of each cut are joined by phrase, products are decimals of 38 digits. A candidate goes if a candidate
@@ -42,7 +42,9 @@ LEAST = 100
 SUBSUMES = 100
 BEST = 2000
 #: Bytes of text in a block, and cells that are gathered before they are summed and written.
-BLOCK, GATHER = 4_000_000, 6_000_000
+BLOCK, GATHER = 2_000_000, 6_000_000
+#: Phrases whose counts a task holds before it writes them, and set cells for each bucket of phrases.
+HELD, IN_BUCKET = 400_000, 2048
 LEAST_BITS, MOST_BITS = 16, 29
 CELLS = 1 << 16
 
@@ -177,13 +179,17 @@ def sketch(rows: DataFrame, bits: int, least: int = LEAST, longest: int = LONGES
     return out
 
 
-def survivors(rows: DataFrame, sketched: np.ndarray, bits: int, longest: int = LONGEST) -> DataFrame:
-    """lang, size (words), phrase, a: exact counts of all n-grams whose bits, and whose parts' bits, are set; size 0 has the words of a language."""
+def survivors(rows: DataFrame, sketched: np.ndarray, bits: int, longest: int = LONGEST, least: int = 1) -> DataFrame:
+    """lang, size (words), phrase, a: exact counts of the n-grams whose bits, and whose parts' bits, are set, from `least` on; size 0 has the
+    words of a language, with an empty phrase. A task adds up the counts of its blocks and writes them in lists by bucket of the phrase's
+    hash; the lists of a bucket are added as they stream by. Buckets follow the number of cells that are set, so one is small."""
     sent = rows.sparkSession.sparkContext.broadcast(sketched)
     lower_row = np.int64(1 << bits)
+    buckets = 1 + int(np.bitwise_count(sketched[: len(sketched) // 2]).sum()) // IN_BUCKET
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketched = sent.value
+        held: defaultdict[tuple[str, int], dict[bytes, int]] = defaultdict(dict)
 
         def set_(cell: np.ndarray) -> np.ndarray:
             return sketched[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1 > 0
@@ -192,18 +198,31 @@ def survivors(rows: DataFrame, sketched: np.ndarray, bits: int, longest: int = L
             upper, lower = (x.astype(np.int64) for x in _cells(h, bits))
             return set_(upper) & set_(lower + lower_row)
 
+        def hold(langs: list[str], owner: np.ndarray, size: int, phrases: list[bytes], n: np.ndarray) -> None:
+            for lang in np.unique(owner):
+                own = held[langs[lang], size]
+                some = np.flatnonzero((owner == lang) & (n > 0))
+                for i, x in zip(some.tolist(), n[some].tolist()):
+                    own[phrases[i]] = own.get(phrases[i], 0) + x
+
+        def written() -> pa.RecordBatch:
+            flat = [(xxhash.xxh64_intdigest(p) % buckets, lang, size, p, a) for (lang, size), own in held.items() for p, a in own.items()]
+            held.clear()
+            flat.sort(key=lambda x: x[0])
+            bucket = np.array([x[0] for x in flat], np.int32)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            offsets = pa.array(np.append(starts, len(flat)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array([x[k] for x in flat], kind)) for k, kind in ((1, pa.string()), (2, pa.int32()), (3, pa.binary()), (4, pa.int64()))]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[starts], pa.int32()), *lists], names=["bucket", "lang", "size", "phrase", "a"])
+
         for batch in batches:
             for part in blocks(batch, longest):
                 v, words, langs = len(part.words), part.words, part.langs
-                alive = np.zeros(0, bool)
-                number = part.lang  # of what stands before the last word
-                raw: list[bytes] = []
-                made_by: np.ndarray = np.arange(len(langs))  # language of each number
+                alive, number, raw = np.zeros(0, bool), part.lang, []  # number: of what stands before the last word
+                owner = np.arange(len(langs))  # language of each number
                 for size, (h, there) in enumerate(part.hashes(longest), 1):
                     if size == 1:
-                        n = np.bincount(part.lang[there & part.fresh], minlength=len(langs))
-                        some = np.flatnonzero(n)
-                        yield _counts([langs[i] for i in some], 0, [None] * len(some), n[some])
+                        hold(langs, owner, 0, [b""] * len(langs), np.bincount(part.lang[there & part.fresh], minlength=len(langs)))
                         ends = np.flatnonzero(there)
                         key = number[ends] * v + part.word[ends]
                     else:
@@ -215,22 +234,39 @@ def survivors(rows: DataFrame, sketched: np.ndarray, bits: int, longest: int = L
                     ends, key = ends[hit], key[hit]
                     codes, distinct = pd.factorize(key)
                     first, last = np.divmod(distinct, v)
-                    made_by = made_by[first]
+                    owner = owner[first]
                     raw = [words[b] for b in last.tolist()] if size == 1 else [raw[a] + b" " + words[b] for a, b in zip(first.tolist(), last.tolist())]
-                    n = np.bincount(codes[part.fresh[ends]], minlength=len(distinct))
-                    some = np.flatnonzero(n)
-                    yield _counts([langs[i] for i in made_by[some]], size, [raw[i].decode("utf-8", "surrogatepass") for i in some], n[some])
-                    alive = np.zeros(len(part.word), bool)
+                    hold(langs, owner, size, raw, np.bincount(codes[part.fresh[ends]], minlength=len(distinct)))
+                    alive, number = np.zeros(len(part.word), bool), np.zeros(len(part.word), np.int64)
                     alive[ends] = True
-                    number = np.zeros(len(part.word), np.int64)
                     number[ends] = codes
+                if sum(map(len, held.values())) >= HELD:
+                    yield written()
+        if held:
+            yield written()
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, defaultdict(int)
 
-    counts = rows.mapInArrow(run, "lang string, size int, phrase string, a long")
-    return counts.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
+        def done() -> pa.RecordBatch:
+            kept = [(*k, a) for k, a in total.items() if a >= least or k[1] == 0]
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([x[k].decode("utf-8", "surrogatepass") if k == 2 else x[k] for x in kept], kind) for k, kind in enumerate(kinds)], names=["lang", "size", "phrase", "a"])
 
+        for batch in batches:
+            for i, bucket in enumerate(batch.column(0).to_pylist()):
+                if bucket != at:
+                    if total:
+                        yield done()
+                    at, total = bucket, defaultdict(int)
+                for lang, size, phrase, a in zip(*(batch.column(k)[i].as_py() for k in range(1, 5))):
+                    total[lang, size, phrase] += a
+        if total:
+            yield done()
 
-def _counts(langs: list[str], size: int, phrases: list[str | None], n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([size] * len(langs), pa.int32()), pa.array(phrases, pa.string()), pa.array(n, pa.int64())], names=["lang", "size", "phrase", "a"])
+    lists = rows.mapInArrow(run, "bucket int, lang array<string>, size array<int>, phrase array<binary>, a array<long>")
+    dealt = lists.repartition(shuffle_partitions(rows.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(added, "lang string, size int, phrase string, a long")
 
 
 def cells_for(rows: DataFrame, least: int, longest: int) -> int:
@@ -262,8 +298,8 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     """lang, rank, phrase, a, l, r, n and score of each language's best phrases of 2 to `longest` words."""
     rows = docs.where(F.col(f"`{text}`").isNotNull()).select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
     bits = bits or cells_for(rows, least, longest)
-    counts = survivors(rows, sketch(rows, bits, least, longest), bits, longest)
-    kept = scored(staged(counts.where((F.col("size") == 0) | (F.col("a") >= least)), "phrase-counts"), subsumes)
+    counts = survivors(rows, sketch(rows, bits, least, longest), bits, longest, least)
+    kept = scored(staged(counts, "phrase-counts"), subsumes)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase"))
     return kept.withColumn("rank", rank.cast("long")).where(F.col("rank") <= best).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

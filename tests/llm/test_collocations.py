@@ -74,7 +74,8 @@ def test_blocks_parts_and_full_sketches_change_nothing(spark, monkeypatch):
     want = brute(docs, 10)
     monkeypatch.setattr(m, "BLOCK", 30)
     monkeypatch.setattr(m, "GATHER", 500)
-    monkeypatch.setattr(m, "CELLS", 1 << 16)
+    monkeypatch.setattr(m, "HELD", 50)
+    monkeypatch.setattr(m, "IN_BUCKET", 1000)
     df = frame(spark, docs)
     rows = df.where("text is not null").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").repartition(3)
     counts = m.survivors(rows, np.full((2 << 16) // 8, 255, np.uint8), 16)  # all bits set: all n-grams are counted

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelespan.operators import cluster, graph
+from allelespan.operators import cluster, graph, repeats
 from allelespan.plans import function_queries as N
 from allelespan.plans import interval_queries as E
 from allelespan.plans import kmer_queries as Q
@@ -85,10 +85,10 @@ def regrouped_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("event_id")
-    hits = _read(spark, sf_dir, "events").select((n % 90).alias("segment"), (n % 90).alias("place"), (n * 31 % 5000).alias("start"), (n * 31 % 5000 + F.col("user_id") % 60).alias("end"), (n % 97).alias("rplace"), (n * 17 % 5000).alias("rstart")).where("user_id % 3 = 0")
-    sizes = spark.range(90).select(F.col("id").alias("segment"), (F.col("id") * 10 + 5200).alias("size"))
-    return graph.without_repeats(hits, sizes)
+    n, size = F.col("event_id"), F.col("user_id") % 60
+    hits = _read(spark, sf_dir, "events").select((n % 900).alias("segment"), (n % 900).alias("place"), (n * 31 % 5000).alias("start"), (n * 31 % 5000 + size).alias("end"), (n % 970).alias("rplace"), (n * 17 % 5000).alias("rstart"), F.greatest(F.lit(0), n * 17 % 5000 + F.when(n % 3 == 0, -size).otherwise(size)).alias("rend"))
+    segments = _read(spark, sf_dir, "events").select((n % 900).alias("segment")).distinct()
+    return repeats.without_repeats(hits, segments.select("segment", F.when(F.col("segment") % 10 == 0, F.col("segment") % 70 + 60).otherwise(F.col("segment") + 5200).alias("size")))
 
 
 def graph_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,11 +159,14 @@ SELECT g.name, coalesce(t.root, g.root) AS group_id FROM g LEFT JOIN (SELECT nam
     ),
     "repeat_removal": (
         repeat_removal,
-        """WITH e AS (SELECT event_id % 90 AS chrom, event_id * 31 % 5000 AS start, event_id * 31 % 5000 + user_id % 60 AS "end", event_id % 97 AS rplace, event_id * 17 % 5000 AS rstart FROM events WHERE user_id % 3 = 0 AND (event_id % 97 < event_id % 90 OR (event_id % 97 = event_id % 90 AND event_id * 17 % 5000 < event_id * 31 % 5000)))"""
+        """WITH h AS (SELECT event_id % 900 AS chrom, event_id % 970 AS rplace, event_id * 31 % 5000 AS start, event_id * 31 % 5000 + user_id % 60 AS "end", event_id * 17 % 5000 AS rs, greatest(0, event_id * 17 % 5000 + CASE WHEN event_id % 3 = 0 THEN -(user_id % 60) ELSE user_id % 60 END) AS re FROM events),
+e AS (SELECT * FROM h WHERE rplace <= chrom AND start > rs AND start > re)"""
         + E.RUNS.format(gap=30)
-        + """, z AS (SELECT unnest(range(90)) AS chrom), y AS (SELECT chrom, chrom * 10 + 5200 AS size FROM z), u AS (SELECT chrom, start, "end" FROM m UNION ALL SELECT chrom, 0, 0 FROM y UNION ALL SELECT chrom, size, size FROM y),
-l AS (SELECT chrom, "end" AS start, lead(start) OVER (PARTITION BY chrom ORDER BY start, "end") AS "end" FROM u)
-SELECT l.chrom AS segment, greatest(0, l.start - 30) AS start, least(size, l."end" + 30) AS "end" FROM l JOIN y USING (chrom) WHERE l."end" > l.start AND least(size, l."end" + 30) - greatest(0, l.start - 30) >= 151""",
+        + """, y AS (SELECT DISTINCT chrom, CASE WHEN chrom % 10 = 0 THEN chrom % 70 + 60 ELSE chrom + 5200 END AS size FROM h),
+u AS (SELECT chrom, start, "end", 0 AS last FROM m UNION ALL SELECT chrom, size, size, 1 FROM y),
+l AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY last, start), 0) AS a, start AS b FROM u),
+q AS (SELECT chrom, greatest(0, a - 30) AS a, least(size, b + 30) AS b FROM l JOIN y USING (chrom))
+SELECT DISTINCT chrom AS segment, CASE WHEN a > 0 AND b - a < 151 THEN a - least(a, 151 - (b - a)) ELSE a END AS start, CASE WHEN a = 0 AND b < 151 THEN 151 ELSE b END AS "end" FROM q""",
     ),
     "graph_chunks": (
         graph_chunks,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import cigar as C
 from allelespan.functions import seq as S
-from allelespan.operators import annotate, graph, similarity
+from allelespan.operators import annotate, graph, growth, similarity
 from allelespan.operators import interval as I
 from allelespan.operators import kmer as K
 from allelespan.plans import interval_queries as E
@@ -187,8 +187,8 @@ def overlap_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insertion_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("family"), F.concat(_contig_name(F.col("doc_id")), F.when(F.col("doc_id") % 4 == 2, "_chr1v2").when(F.col("doc_id") % 3 == 0, "v1").otherwise("")).alias("name"), F.coalesce("n_chars", F.lit(0)).alias("size"))
-    place = F.row_number().over(Window.partitionBy("family").orderBy(F.desc(graph.insertion_weight(F.col("name"), F.col("size"))), "name"))
+    rows = _read(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("family"), F.concat(_contig_name(F.col("doc_id")), F.when(F.col("doc_id") % 4 == 2, "_chr1v2").when(F.col("doc_id") % 5 == 1, "_chr1").when(F.col("doc_id") % 3 == 0, "v1").otherwise("")).alias("name"), F.coalesce("n_chars", F.lit(0)).alias("size"))
+    place = F.row_number().over(Window.partitionBy("family").orderBy(F.desc(growth.insertion_weight(F.col("name"), F.col("size"))), "name"))
     return rows.select("doc_id", "family", place.alias("place"))
 
 
@@ -290,8 +290,8 @@ SELECT contig, id, start, CASE WHEN next < "end" THEN next ELSE "end" END AS "en
     ),
     "insertion_order": (
         insertion_order,
-        f"""WITH n AS (SELECT doc_id, lang AS family, {NAME} || CASE WHEN doc_id % 4 = 2 THEN '_chr1v2' WHEN doc_id % 3 = 0 THEN 'v1' ELSE '' END AS name, coalesce(n_chars, 0) AS size FROM documents)
-SELECT doc_id, family, CAST(row_number() OVER (PARTITION BY family ORDER BY CASE WHEN contains(name, '_chr') THEN 3 WHEN contains(name, 'NC_') THEN 2 WHEN contains(name, 'v') THEN 1 ELSE 0 END DESC, size DESC, name) AS INTEGER) AS place FROM n""",
+        f"""WITH n AS (SELECT doc_id, lang AS family, {NAME} || CASE WHEN doc_id % 4 = 2 THEN '_chr1v2' WHEN doc_id % 5 = 1 THEN '_chr1' WHEN doc_id % 3 = 0 THEN 'v1' ELSE '' END AS name, coalesce(n_chars, 0) AS size FROM documents)
+SELECT doc_id, family, CAST(row_number() OVER (PARTITION BY family ORDER BY CASE WHEN contains(name, 'NC_') THEN 2 WHEN contains(name, '_chr') AND NOT contains(name, 'v') THEN 3 WHEN contains(name, 'v') THEN 1 ELSE 0 END DESC, size DESC, name) AS INTEGER) AS place FROM n""",
     ),
     "matrix_reorder": (
         matrix_reorder,

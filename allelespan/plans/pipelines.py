@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import cigar as C
 from allelespan.functions import seq as S
-from allelespan.operators import annotate, cluster, graph, interval, kmer, similarity
+from allelespan.operators import annotate, cluster, graph, growth, interval, kmer, repeats, similarity
+from allelespan.sources.staging import staged
 
 
 def trim_sequences(seqs: DataFrame, listed: DataFrame, k: int = 31, cutoff: int = 500, ratio: float = 0.1, anchor: int = 5000) -> tuple[DataFrame, DataFrame]:
@@ -91,8 +92,8 @@ def linear_graph(steps: DataFrame, group: str | None = None) -> tuple[DataFrame,
     # a visit's name holds its graph, so that successors of one graph are not counted with those of another
     own = visits.withColumn("visit", F.concat_ws("\x01", F.col(group or "graph").cast("string"), "visit"))
     edges = graph.successors(own, "allele", "visit", "place")
-    parts = F.split("next", "\x01")
-    edges = edges.select(parts[0].alias(group or "graph"), F.split("visit", "\x01")[1].alias("visit"), parts[1].alias("next"), "n", "first")
+    parts = F.split("next", "\x01", 2)
+    edges = edges.select(parts[0].alias(group or "graph"), F.split("visit", "\x01", 2)[1].alias("visit"), parts[1].alias("next"), "n", "first")
     return cut, visits, graph.linear_orders(edges, group or "graph")
 
 
@@ -146,17 +147,37 @@ def convert(mode: int, inputs: DataFrame, targets: DataFrame | None = None, k: i
     return out
 
 
-def graph_pipeline(alleles: DataFrame, group: str, selfhits: DataFrame | None = None, aligned: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Stages that their inputs are there for: segments; segments without repeats; paths; chunks, visits and linear order."""
-    out = {"segments": graph.graphs(alleles, group)}
-    if selfhits is not None:
-        out["kept"] = graph.without_repeats(selfhits, out["segments"].select("segment", F.length("seq").cast("long").alias("size")))
-    if aligned is not None:
-        out["paths"] = graph.paths(aligned)
-        step = out["paths"].select("allele", F.explode("steps").alias("s"))
-        steps = step.select("allele", F.expr("substring(s.step, 2)").alias("segment"), F.substring("s.step", 1, 1).alias("strand"), F.col("s.rstart").alias("start"), F.col("s.rend").alias("end"), F.col("s.qstart").alias("qstart"))
-        out["chunks"], out["visits"], out["order"] = linear_graph(steps)
-    return out
+def graph_pipeline(alleles: DataFrame, group: str, selfhits: DataFrame | None = None, aligned: DataFrame | None = None, k: int = 31, gap: int = 30, pad: int = 60, least: int = 300, shortest: int = 151) -> dict[str, DataFrame]:
+    """alleles: group, name, seq. Every stage of each group's graph: segments as it grows; kept, segments without repeats; paths of the alleles;
+    chunks, visits and linear order. selfhits (columns of repeats.self_hits) and aligned (those of graph.paths, with the group, over the
+    names in kept) come from an aligner where there is one, else from shared k-mers."""
+    ids = alleles.select(group, F.col("name").cast("string").alias("name"), "seq")
+    made = staged(growth.graphs(ids, group, lambda: growth.KmerIndex(k), gap, pad, least), "segments")
+    whole = key_of(group, "segment")
+    named = made.select(group, whole.alias("segment"), "seq", "place")
+    if selfhits is None:
+        selfhits = repeats.self_hits(named, group)
+    else:
+        selfhits = selfhits.withColumn("segment", whole)
+    spans = repeats.without_repeats(selfhits, named.select("segment", F.length("seq").alias("size")), gap, gap, shortest)
+    part = F.substring(F.col("seq"), (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    short = F.split(F.col("segment"), "\x01")[1]
+    kept = staged(spans.join(named, "segment").select(group, F.concat_ws("_", short, "start", "end").alias("segment"), part.alias("seq")), "kept")
+    found = repeats.exact_hits(ids, kept, group, k) if aligned is None else aligned
+    path = graph.paths(found.withColumn("allele", key_of(group, "allele")))
+    groups = ids.select(group, key_of(group, "name").alias("allele")).distinct()
+    path = staged(path.join(groups, "allele"), "paths")
+    step = path.select(group, "allele", F.explode("steps").alias("s"))
+    step = step.withColumn("name", F.expr("substring(s.step, 2)"))
+    steps = step.select(group, "allele", key_of(group, "name").alias("segment"), F.substring("s.step", 1, 1).alias("strand"), F.col("s.rstart").alias("start"), F.col("s.rend").alias("end"), F.col("s.qstart").alias("qstart"))
+    cut, visits, order = linear_graph(steps, group)
+    bare = lambda df, *cs: df.withColumns({c: F.regexp_replace(c, "^[^\x01]*\x01", "") for c in cs})
+    return {"segments": made, "kept": kept, "paths": bare(path, "allele"), "chunks": cut, "visits": bare(visits, "allele", "chunk", "visit"), "order": bare(order, "chunk")}
+
+
+def key_of(group: str, name: str) -> Column:
+    """A name that is told apart between graphs."""
+    return F.concat_ws("\x01", F.col(group).cast("string"), F.col(name))
 
 
 def leaf_ranks(trees: DataFrame, group: str) -> DataFrame:

@@ -343,14 +343,6 @@ def test_annotation(spark):
 
 
 def test_graph(spark):
-    rng = random.Random(3)
-    base = "".join(rng.choice("ACGT") for _ in range(900))
-    more = base[:400] + "".join(rng.choice("ACGT") for _ in range(350)) + base[400:]
-    made = graph.grow([("a", base), ("b", more)], graph.kmer_cover())
-    assert [n.split("_")[0] for n, _ in made] == ["a", "b"] and abs(len(made[1][1]) - 470) <= 2
-    hits = spark.createDataFrame([("s", 1, 100, 400, 0, 0), ("s", 1, 0, 50, 2, 0)], "segment string, place int, start long, end long, rplace int, rstart long")
-    kept = graph.without_repeats(hits, spark.createDataFrame([("s", 1000)], "segment string, size long"))
-    assert rows(kept) == [("s", 370, 1000)]
     al = spark.createDataFrame([("a", 1, "s", "+", 0, 100, 0, "100=", 5), ("a", 2, "t", "-", 60, 200, 10, "140=", 9)], "allele string, id int, segment string, strand string, start long, end long, rstart long, cigar string, score int")
     got = graph.paths(al).first()
     assert got.path == ">s<t" and got.steps[0].cigar == "60=" and (got.steps[1].rstart, got.steps[1].rend) == (10, 150)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -190,6 +191,23 @@ def test_pairs(spark):
     assert rows(similarity.self_weights(counts, "s")) == [(1, 4.0), (2, 9.05), (3, 0.8)]
 
 
+@pytest.mark.parametrize("common", [0, 3, 12, 40])
+def test_pairs_above_a_threshold(spark, common):
+    """The pairs of shared_l1 above it, ties and hot k-mers included; pairs that share only frequent k-mers are not met."""
+    rng = random.Random(6)
+    counts = [(i, f"hot{x}", rng.randrange(1, 4)) for i in range(60) for x in range(rng.randrange(6))]
+    counts += [(i, f"g{i // 5}x{x}", rng.randrange(1, 4)) for i in range(60) for x in range(12) if rng.random() < 0.8]
+    counts += [(i, f"own{i}", 50) for i in range(60)] + [(i, f"g0x{x}", 2) for i in (70, 71) for x in range(30)]
+    df = spark.createDataFrame(sorted(set((a, b) for a, b, _ in counts)), "s long, kmer string").join(spark.createDataFrame(counts, "s long, kmer string, cnt long").groupBy("s", "kmer").agg(F.sum("cnt").alias("cnt")), ["s", "kmer"])
+    whole = similarity.shared_l1(df, "s")
+    want = rows(whole.where(F.col("shared") > common))
+    assert rows(similarity.shared_above(df, "s", common)) == want and want
+    met = similarity.candidates(df, "s", common).count()
+    assert len(want) <= met <= whole.count()
+    if common >= 12:
+        assert met < whole.count() / 4
+
+
 def test_hot_kmers_are_paired_in_blocks(spark):
     counts = spark.createDataFrame([(i, "HOT", i % 3 + 1) for i in range(40)] + [(1, "B", 2), (30, "B", 5)], "s long, kmer string, cnt long")
     want = {(i, j): min(i % 3, j % 3) + 1 + 2 * ((i, j) == (1, 30)) for i in range(40) for j in range(i + 1, 40)}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import seq as S
 from allelespan.operators import kmer as K
+from allelespan.operators import superkmers
 from allelespan.sources.staging import spread, staged
 
 LEN = 31
@@ -29,7 +30,7 @@ def item_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmer_canonical_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.counts(document_kmers(spark, sf_dir))
+    return superkmers.counts(documents(spark, sf_dir), "seq", LEN)
 
 
 def kmer_target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +73,7 @@ def kmer_pan_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmer_ref_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.ref_band(K.counts(document_kmers(spark, sf_dir)), 2)
+    return K.ref_band(superkmers.counts(documents(spark, sf_dir), "seq", LEN), 2)
 
 
 def kmer_gc_band(spark: SparkSession, sf_dir: str) -> DataFrame:

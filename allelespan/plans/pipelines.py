@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import cigar as C
 from allelespan.functions import seq as S
-from allelespan.operators import annotate, cluster, graph, growth, interval, kmer, repeats, similarity
+from allelespan.operators import annotate, cluster, graph, growth, interval, kmer, repeats, similarity, superkmers
 from allelespan.sources.staging import staged
 
 
@@ -125,7 +125,7 @@ def lifted(alleles: DataFrame, mapped: DataFrame, refs: DataFrame) -> DataFrame:
 
 def exclusive_kmers(gene: DataFrame, whole: DataFrame, k: int = 31) -> DataFrame:
     """gene, whole: haplo, seq. K-mers that stand nowhere but in the gene's loci, over all haplotypes in one job."""
-    g, w = (kmer.counts(S.kmers(x, "seq", k, "haplo"), "haplo") for x in (gene, whole))
+    g, w = (superkmers.counts(x, "seq", k, "haplo") for x in (gene, whole))
     return kmer.pan_combine(kmer.exclusive(g, w.join(g.select("kmer").distinct(), "kmer", "left_semi")))
 
 
@@ -136,7 +136,7 @@ def convert(mode: int, inputs: DataFrame, targets: DataFrame | None = None, k: i
     found = kmer.targets(S.kmers(targets, "seq", k, "target"), "target") if targets is not None else None
     out = {}
     if mode in (0, 2):
-        out["counts"] = kmer.counts(at) if found is None else kmer.target_counts(at, found, "target", "name", small=kmer.bounded(found))
+        out["counts"] = superkmers.counts(inputs, "seq", k) if found is None else kmer.target_counts(at, found, "target", "name", small=kmer.bounded(found))
     if mode in (1, 2):
         hits = at.join(kmer.probe(found, kmer.bounded(found)), "kmer").select("target", F.col("name").alias("contig"), (F.col("pos") + k).alias("pos"))
         out["hotspots"] = kmer.hotspots(hits, c)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelespan.functions import seq as S
+from allelespan.operators import scan
 
 
 def majority(df: DataFrame, by: str, tag: str, exon: str, reference: str = "Ref") -> DataFrame:
@@ -25,12 +26,16 @@ def gene_sizes(seqs: DataFrame, name: str = "name", seq: str = "seq") -> DataFra
 
 
 def uncertain(df: DataFrame, most: float = 0.1) -> DataFrame:
-    """df: allele, haplo, ref, diff, n (row order). Alleles that share a (haplotype, reference), follow a row of their own name, or
-    differ by more than `most` where their pair is seen first."""
+    """df: allele, haplo, ref, diff, n (row order in the file). Alleles whose name stands in two rows one after the other and, of assembled
+    haplotypes (`_h`, `NC_0609`), those that share a (haplotype, reference), or differ by more than `most` where their pair is seen
+    first. The row before is carried over sorted parts, so the file is never in one task."""
+    parts = scan.dealt(df.select("allele", "haplo", "ref", "diff", "n").withColumn("_all", F.lit(0)), ["_all"], ["n", "allele"])
+    rows = scan.running_max(parts, ["_all"], ["n", "allele"], {"before": F.struct("n", "allele")})
     pair = Window.partitionBy("haplo", "ref")
-    rows = df.withColumns({"same": F.count("*").over(pair) > 1, "seen": F.row_number().over(pair.orderBy("n", "allele"))})
-    rows = rows.withColumn("again", F.coalesce(F.lag("allele").over(Window.partitionBy("haplo").orderBy("n", "allele")) == F.col("allele"), F.lit(False)))
-    return rows.where(F.col("same") | F.col("again") | ((F.col("seen") == 1) & (F.col("diff") > most))).select("allele").distinct()
+    same, seen = F.count("*").over(pair) > 1, F.row_number().over(pair.orderBy("n", "allele")) == 1
+    assembled = rows.where(F.col("haplo").contains("_h") | F.col("haplo").contains("NC_0609"))
+    shared = assembled.withColumns({"same": same, "seen": seen}).where(F.col("same") | (F.col("seen") & (F.col("diff") > most)))
+    return rows.where(F.col("before.allele") == F.col("allele")).select("allele").union(shared.select("allele")).distinct()
 
 
 def reference_loci(df: DataFrame, lifted: DataFrame | None = None) -> DataFrame:

@@ -24,13 +24,17 @@ def cigar_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("cigar")
-    got = rows(spark, sf_dir).select("allele", "l_partkey", (100 - F.col("l_linenumber") * 2).alias("identity"), C.lengths(c, match="=", ref_len="=MXI").alias("n"))
-    got = got.select("allele", "identity", "n.match", (F.col("n.ref_len") - F.col("l_partkey") % 200).alias("unmasked"), (F.col("n.ref_len") * 2).alias("rlen"))
+    # lengths come out of a generator, so that the filter below does not cut and sum each CIGAR once for every use
+    got = rows(spark, sf_dir).select("allele", "l_partkey", (100 - F.col("l_linenumber") * 2).alias("identity"), F.inline(F.array(C.lengths(c, match="=", ref_len="=MXI"))))
+    got = got.select("allele", "identity", "match", (F.col("ref_len") - F.col("l_partkey") % 200).alias("unmasked"), (F.col("ref_len") * 2).alias("rlen"))
     return got.where(C.paf_filter()).select("allele", "match")
 
 
 def uncertain_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = rows(spark, sf_dir).select("allele", F.col("l_suppkey").alias("haplo"), F.col("l_partkey").alias("ref"), F.col("l_discount").alias("diff"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("n"))
+    n = F.col("l_suppkey")
+    name = F.concat_ws("_", "l_orderkey", (F.col("l_linenumber") / 2).cast("int"))
+    haplo = F.concat(F.when(n % 3 == 0, "HG_h").when(n % 3 == 1, "NC_0609").otherwise("chr"), n.cast("string"))
+    got = rows(spark, sf_dir).select(name.alias("allele"), haplo.alias("haplo"), F.col("l_partkey").alias("ref"), F.col("l_discount").alias("diff"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("n"))
     return annotate.uncertain(got, 0.08)
 
 
@@ -56,9 +60,10 @@ QUERIES = {
     "paf_filter": (paf_filter, R_CTE + " SELECT allele, match FROM n JOIN (SELECT rn, 100 - l_linenumber * 2 AS identity, l_partkey % 200 AS z FROM r) USING (rn) WHERE identity > 90 AND ((ref_len - z > 300 AND match > 150) OR (match > 100 AND ref_len - z > ref_len * 2 / 3.0))"),
     "uncertain_alleles": (
         uncertain_alleles,
-        """WITH r AS (SELECT l_orderkey || '_' || l_linenumber AS allele, l_suppkey AS haplo, l_partkey AS ref, l_discount AS diff, l_orderkey * 10 + l_linenumber AS n FROM lineitem),
-x AS (SELECT *, count(*) OVER (PARTITION BY haplo, ref) AS same, row_number() OVER (PARTITION BY haplo, ref ORDER BY n, allele) AS seen, lag(allele) OVER (PARTITION BY haplo ORDER BY n, allele) AS b FROM r)
-SELECT DISTINCT allele FROM x WHERE same > 1 OR b = allele OR (seen = 1 AND diff > 0.08)""",
+        """WITH r AS (SELECT l_orderkey || '_' || l_linenumber // 2 AS allele, CASE WHEN l_suppkey % 3 = 0 THEN 'HG_h' WHEN l_suppkey % 3 = 1 THEN 'NC_0609' ELSE 'chr' END || l_suppkey AS haplo, l_partkey AS ref, l_discount AS diff, l_orderkey * 10 + l_linenumber AS n FROM lineitem),
+b AS (SELECT allele, lag(allele) OVER (ORDER BY n, allele) AS b FROM r),
+x AS (SELECT *, count(*) OVER (PARTITION BY haplo, ref) AS same, row_number() OVER (PARTITION BY haplo, ref ORDER BY n, allele) AS seen FROM r WHERE haplo NOT LIKE 'chr%')
+SELECT allele FROM b WHERE allele = b UNION SELECT allele FROM x WHERE same > 1 OR (seen = 1 AND diff > 0.08)""",
     ),
     "alignment_segments": (alignment_segments, None),
     "graph_paths": (

@@ -35,7 +35,7 @@ def kmer_list_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hotspot_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
-    spots = _read(spark, sf_dir, "events").select((n % 40).alias("contig"), (n * 7 % 200).alias("start"), (n * 7 % 200 + F.col("user_id") % 20 + 5).alias("end")).where("start % 6 < 2")
+    spots = _read(spark, sf_dir, "events").select((n % 40).alias("contig"), (n * 7 % 200).alias("start"), (n * 7 % 200 + F.col("user_id") % 20 + 5).alias("end"))
     contigs = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("contig"), Q.S.bridge("text").alias("seq"))
     return pipelines.hotspot_queries(spots, contigs, 10).select("name", "seq")
 
@@ -115,7 +115,7 @@ QUERIES = {
     "kmer_list_left": (kmer_list_left, SEQ_TRIM + " SELECT DISTINCT kmer FROM b WHERE kmer NOT IN (SELECT kmer FROM hits LEFT JOIN t USING (doc_id) WHERE lo IS NULL OR pos < lo OR pos + 31 > hi)"),
     "hotspot_sequences": (
         hotspot_sequences,
-        'WITH e AS (SELECT event_id % 40 AS chrom, event_id * 7 % 200 AS start, event_id * 7 % 200 + user_id % 20 + 5 AS "end" FROM events WHERE event_id * 7 % 200 % 6 < 2)'
+        'WITH e AS (SELECT event_id % 40 AS chrom, event_id * 7 % 200 AS start, event_id * 7 % 200 + user_id % 20 + 5 AS "end" FROM events)'
         + E.RUNS.format(gap=10)
         + f""", p AS (SELECT chrom, greatest(0, start - 5) AS start, "end" + 5 AS "end" FROM m) SELECT chrom || '_' || start || '_' || "end" AS name, substr({N.BRIDGED}, CAST(start AS INTEGER) + 1, CAST("end" - start AS INTEGER)) AS seq FROM p JOIN benchmark ON item_id = chrom""",
     ),

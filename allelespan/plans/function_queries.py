@@ -148,8 +148,8 @@ def allele_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def set_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber", "l_orderkey")
-    side = lambda n, key, items: rows.where(F.col("l_linenumber") == n).groupBy(F.col("l_orderkey").alias(key)).agg(F.collect_list("l_partkey").alias(items))
-    return similarity.set_overlaps(side(1, "id", "items"), side(2, "id2", "items2"))
+    side = lambda n, key, items: rows.where(F.col("l_linenumber") % 2 == n).groupBy(F.col("l_orderkey").alias(key)).agg(F.collect_list("l_partkey").alias(items))
+    return similarity.set_overlaps(side(1, "id", "items"), side(0, "id2", "items2"))
 
 
 def kmer_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +158,7 @@ def kmer_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pair_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = K.members(Q.item_kmers(spark, sf_dir), "target")
-    docs = Q.document_kmers(spark, sf_dir, "doc_id", "lang").where("lang = 'de'").groupBy((F.col("doc_id") + 1000).alias("target"), "kmer").agg(F.count("*").alias("cnt"))
+    docs = Q.document_kmers(spark, sf_dir, "doc_id").groupBy((F.col("doc_id") + 1000).alias("target"), "kmer").agg(F.count("*").alias("cnt"))
     both = counted.unionByName(docs, allowMissingColumns=True)
     sizes = both.groupBy(F.col("target").alias("name")).agg(F.sum("cnt").alias("size"))
     return similarity.containment(similarity.shared_l1(both, "target"), sizes).select("i", "j", F.round("containment", 6).alias("containment"))
@@ -270,12 +270,12 @@ SELECT name, CASE WHEN name % 3 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA'))
     ),
     "set_overlap_pairs": (
         set_overlap_pairs,
-        "SELECT a.l_orderkey AS id, b.l_orderkey AS id2, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 1) a JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 2) b USING (l_partkey) GROUP BY 1, 2",
+        "SELECT a.l_orderkey AS id, b.l_orderkey AS id2, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber % 2 = 1) a JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber % 2 = 0) b USING (l_partkey) GROUP BY 1, 2",
     ),
     "kmer_members": (kmer_members, f"{B_CTE} SELECT target, kmer, cnt FROM c"),
     "pair_containment": (
         pair_containment,
-        f"""WITH d AS ({Q.DOCS}), b AS ({Q.ITEMS}), c AS (SELECT item_id AS target, kmer, count(*) AS cnt FROM b GROUP BY 1, 2 UNION ALL SELECT doc_id + 1000, kmer, count(*) FROM d WHERE lang = 'de' GROUP BY 1, 2), z AS (SELECT target, sum(cnt) AS size FROM c GROUP BY 1),
+        f"""WITH d AS ({Q.DOCS}), b AS ({Q.ITEMS}), c AS (SELECT item_id AS target, kmer, count(*) AS cnt FROM b GROUP BY 1, 2 UNION ALL SELECT doc_id + 1000, kmer, count(*) FROM d GROUP BY 1, 2), z AS (SELECT target, sum(cnt) AS size FROM c GROUP BY 1),
 p AS (SELECT x.target AS i, y.target AS j, sum(least(x.cnt, y.cnt)) AS shared FROM c x JOIN c y ON x.kmer = y.kmer AND x.target < y.target GROUP BY 1, 2)
 SELECT i, j, round(CAST(shared AS DOUBLE) / least(x.size, y.size), 6) AS containment FROM p JOIN z x ON x.target = i JOIN z y ON y.target = j""",
     ),

@@ -17,13 +17,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _written(df: DataFrame, line: Column, name: str, head: str = "", **options: str) -> str:
-    """A text file of one line a row, after `head`."""
+def _written(df: DataFrame, line: Column, name: str, head: str = "", one: bool = False, **options: str) -> str:
+    """Text files with a line for each row, after one with `head`; a single file only where the format is one, or a file is what is listed."""
     path = scratch(df.sparkSession, name)
     rows = df.select(line.alias("value"))
     if head:
         rows = df.sparkSession.createDataFrame([(head,)], "value string").unionByName(rows)
-    rows.coalesce(1).write.options(**options).text(path)
+    (rows.coalesce(1) if one else rows).write.options(**options).text(path)
     return path
 
 
@@ -65,14 +65,15 @@ def fasta_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fastq_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "benchmark").select("item_id", F.substring(S.bridge("text"), 1, 40).alias("seq"))
+    rows = _read(spark, sf_dir, "benchmark").select("item_id", S.bridge("text").alias("seq"))
     path = _written(rows, _T("@r", F.col("item_id"), "\n", F.col("seq"), "\n+\n", F.translate("seq", "ACGT", "@I+#")), "reads.fastq", compression="gzip")
     return readers.sequences(spark, path)
 
 
 def kmer_count_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "counts")
-    writers.kmer_counts(Q.K.counts(Q.item_kmers(spark, sf_dir)), path)
+    counted = Q.K.counts(Q.item_kmers(spark, sf_dir), cap=None).select("kmer", F.least("cnt", F.lit(255)).alias("cnt"), F.col("cnt").alias("n"))
+    writers.kmer_counts(counted, path)
     return readers.kmer_list(spark, path)
 
 
@@ -114,7 +115,7 @@ def matrix_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
     value = lambda i: _T((n + 1) * (i + 1) * F.lit(0.5))
     rows = _read(spark, sf_dir, "nation").coalesce(1).sortWithinPartitions(n)
-    return readers.norm_matrix(spark, _written(rows, F.concat_ws(",", *(value(i) for i in range(25))), "matrix.csv"))
+    return readers.norm_matrix(spark, _written(rows, F.concat_ws(",", *(value(i) for i in range(25))), "matrix.csv", one=True))
 
 
 def matrix_long_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +126,7 @@ def matrix_long_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _paf(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("l_partkey")
-    rows = _read(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    rows = _read(spark, sf_dir, "lineitem")
     return rows.select(_T("q", F.col("l_orderkey")).alias("qname"), (p + 100).alias("qlen"), p.alias("qstart"), (p + 50).alias("qend"), N._strand(p).alias("strand"), _T("r", F.col("l_suppkey")).alias("rname"), (p + 900).alias("rlen"), (p + 1).alias("rstart"), (p + 51).alias("rend"), (p % 50).cast("int").alias("match"), F.lit(50).alias("alnlen"), F.lit(255).alias("mapq"), (90 + F.col("l_quantity") / 8).alias("identity"), _T(p % 50, "=", 50 - p % 50, "X").alias("cigar"))
 
 
@@ -137,7 +138,7 @@ def paf_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sam_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("l_partkey")
-    rows = _read(spark, sf_dir, "lineitem").where("l_linenumber = 2").select("l_orderkey", "l_partkey", "l_suppkey")
+    rows = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     line = F.concat_ws("\t", _T("r", F.col("l_suppkey")), (p % 2 * 16).cast("string"), _T("q", F.col("l_orderkey")), p.cast("string"), F.lit("255"), _T(p % 40 + 1, "M"), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("*"), _T("AS:i:", p % 700), _T("PI:f:", p % 200 * F.lit(0.5)))
     return readers.sam_like(spark, _written(rows, line, "sam", "@HD\tVN:1.2")).drop("seq")
 
@@ -167,9 +168,9 @@ def error_region_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gapped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignment text in two blocks for each nation, one file."""
+    """Alignment text in two blocks for each nation."""
     name = lambda x: _T(x, F.col("n_nationkey"))
-    rows = _read(spark, sf_dir, "nation").coalesce(1).sortWithinPartitions("n_nationkey")
+    rows = _read(spark, sf_dir, "nation")
     text = F.concat(F.lit("# head\n"), name("q"), F.lit("     1 AC-T 3\n        |\n"), name("r"), F.lit("     1 ACGT 4\n\n"), name("q"), F.lit("     4 GG"), F.repeat(F.lit("A"), F.col("n_nationkey")), F.lit(" 9\n"), name("r"), F.lit("     5 G-\n"))
     return readers.stretcher(spark, _written(rows, text, "stretcher")).select("name", "row")
 
@@ -177,7 +178,7 @@ def gapped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FASTA files found through a folder, a list file and a manifest, which gives their samples."""
     rows = _alleles(spark, sf_dir)
-    folders = [_written(rows.where(F.col("group_id") == g), _T(">", F.col("name"), "\n", F.col("seq")), f"part{g}") for g in range(3)]
+    folders = [_written(rows.where(F.col("group_id") == g), _T(">", F.col("name"), "\n", F.col("seq")), f"part{g}", one=True) for g in range(3)]
     files = [[x for x in readers.path_list(spark, f) if x.rsplit("/", 1)[-1].startswith("part-")] for f in folders]
     lines = spark.createDataFrame([(x,) for x in files[1] + files[2]], "value string")
     listed = readers.path_list(spark, files[0], _written(lines, F.col("value"), "list"))
@@ -217,14 +218,14 @@ def gathered_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STRAND = "CASE WHEN {0} % 3 = 0 THEN '-' ELSE '+' END"
 PAF_SQL = f"""SELECT 'q' || l_orderkey AS qname, l_partkey + 100 AS qlen, l_partkey AS qstart, l_partkey + 50 AS qend, {STRAND.format("l_partkey")} AS strand, 'r' || l_suppkey AS rname, l_partkey + 900 AS rlen, l_partkey + 1 AS rstart, l_partkey + 51 AS rend,
-CAST(l_partkey % 50 AS INTEGER) AS match, 50 AS alnlen, 255 AS mapq, 90 + l_quantity / 8 AS identity, l_partkey % 50 || '=' || 50 - l_partkey % 50 || 'X' AS cigar FROM lineitem WHERE l_linenumber = 1"""
+CAST(l_partkey % 50 AS INTEGER) AS match, 50 AS alnlen, 255 AS mapq, 90 + l_quantity / 8 AS identity, l_partkey % 50 || '=' || 50 - l_partkey % 50 || 'X' AS cigar FROM lineitem"""
 
 QUERIES = {
     "fasta_alleles": (fasta_alleles, f"""SELECT 'a' || item_id AS name, 'c:' || item_id % 5 AS contig, item_id * 3 - 7 AS start, item_id * 3 + 50 AS "end", {STRAND.format("item_id")} AS strand, 'G' || item_id % 4 || ',H' || item_id % 3 AS genes, {N.BRIDGED} AS seq FROM benchmark"""),
     "fasta_contigs": (fasta_contigs, f"SELECT 'c' || item_id || ' x' AS header, {N.BRIDGED} AS seq FROM benchmark"),
     "fasta_samples": (fasta_samples, "SELECT 'h' || item_id % 6 AS haplo, 'a' || item_id AS name FROM benchmark"),
     "fasta_groups": (fasta_groups, f"WITH b AS ({Q.ITEMS}) SELECT group_id, n_sequences, n_kmers FROM (SELECT item_id % 3 AS group_id, count(*) AS n_sequences FROM benchmark GROUP BY 1) JOIN (SELECT item_id % 3 AS group_id, count(DISTINCT kmer) AS n_kmers FROM b GROUP BY 1) USING (group_id)"),
-    "fastq_reads": (fastq_reads, f"SELECT 'r' || item_id AS header, substr({N.BRIDGED}, 1, 40) AS seq FROM benchmark"),
+    "fastq_reads": (fastq_reads, f"SELECT 'r' || item_id AS header, {N.BRIDGED} AS seq FROM benchmark"),
     "kmer_count_file": (kmer_count_file, f"WITH b AS ({Q.ITEMS}) SELECT kmer, least(count(*), 255) AS cnt FROM b GROUP BY 1"),
     "hotspot_files": (hotspot_files, """SELECT 't' || event_id % 3 AS target, 's' || event_id % 4 AS sample, 'c' || user_id AS contig, event_id AS start, event_id * 2 AS "end" FROM events"""),
     "kmer_set_files": (kmer_set_files, f"WITH b AS ({Q.ITEMS}) SELECT DISTINCT kmer, CASE WHEN kmer IN (SELECT kmer FROM b WHERE item_id % 2 = 1) THEN 'exclude' ELSE 'include' END AS part FROM b WHERE item_id % 2 = 0"),
@@ -233,7 +234,7 @@ QUERIES = {
     "matrix_file": (matrix_file, "SELECT CAST(a.n_nationkey AS INTEGER) AS i, CAST(b.n_nationkey AS INTEGER) AS j, (a.n_nationkey + 1) * (b.n_nationkey + 1) * CAST(0.5 AS DOUBLE) AS m FROM nation a JOIN nation b ON a.n_nationkey <= b.n_nationkey"),
     "matrix_long_file": (matrix_long_file, "SELECT n_regionkey AS row, n_nationkey AS col, n_nationkey * CAST(0.25 AS DOUBLE) AS m FROM nation"),
     "paf_file": (paf_file, PAF_SQL),
-    "sam_file": (sam_file, "SELECT 'r' || l_suppkey AS rname, CAST(l_partkey % 2 * 16 AS INTEGER) AS flag, 'q' || l_orderkey AS qname, l_partkey AS pos, 255 AS mapq, l_partkey % 40 + 1 || 'M' AS cigar, CAST(l_partkey % 700 AS INTEGER) AS score, l_partkey % 200 * CAST(0.5 AS DOUBLE) AS identity FROM lineitem WHERE l_linenumber = 2"),
+    "sam_file": (sam_file, "SELECT 'r' || l_suppkey AS rname, CAST(l_partkey % 2 * 16 AS INTEGER) AS flag, 'q' || l_orderkey AS qname, l_partkey AS pos, 255 AS mapq, l_partkey % 40 + 1 || 'M' AS cigar, CAST(l_partkey % 700 AS INTEGER) AS score, l_partkey % 200 * CAST(0.5 AS DOUBLE) AS identity FROM lineitem"),
     "gff_file": (gff_file, f"""SELECT 'chr' || user_id % 22 AS chrom, CASE WHEN event_id % 2 = 0 THEN 'exon' ELSE 'gene' END AS type, event_id AS start, event_id + 90 AS "end", {STRAND.format("event_id")} AS strand, event_type AS gene_name, 'G' || event_id % 7 AS gene_id, CASE WHEN event_id % 2 = 0 THEN 'ENSE' || event_id END AS exon_id FROM events"""),
     "bed_file": (bed_file, f"""SELECT 'c' || user_id AS chrom, event_id AS start, event_id + 9 AS "end", {STRAND.format("event_id")} AS strand, 'n' || event_id AS name, event_type AS gene FROM events"""),
     "contig_size_file": (contig_size_file, "SELECT s_name AS contig, s_suppkey * 1000 + 7 AS size FROM supplier"),

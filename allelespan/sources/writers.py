@@ -17,8 +17,9 @@ def _tabbed(*cols: str) -> Column:
 
 
 def kmer_counts(df: DataFrame, path: str, size: int | None = None) -> None:
-    """kmer, cnt above 0, after a line with the number of all occurrences (their sum, unless it is given)."""
-    size = size if size is not None else (df.agg(F.sum("cnt")).first()[0] or 0)
+    """kmer, cnt above 0, after a line with the number of all occurrences: size, else the sum of n (counts that are not capped), else that
+    of cnt."""
+    size = size if size is not None else (df.agg(F.sum("n" if "n" in df.columns else "cnt")).first()[0] or 0)
     head = df.sparkSession.createDataFrame([(f"@targetsize\t{size}", 0)], "value string, o int")
     rows = df.where("cnt > 0").select(_tabbed("kmer", "cnt").alias("value"), F.lit(1).alias("o"))
     head.coalesce(1).union(rows).select("value").write.mode("overwrite").text(path)

@@ -54,6 +54,8 @@ def test_kmer_files(spark, tmp_path):
     df = spark.createDataFrame([("A", 2), ("C", 0)], "kmer string, cnt long")
     writers.kmer_counts(df, str(tmp_path / "c"))
     assert readers.kmer_list(spark, str(tmp_path / "c")).collect() == [("A", 2)]
+    writers.kmer_counts(spark.createDataFrame([("A", 255, 900), ("C", 3, 3)], "kmer string, cnt long, n long"), str(tmp_path / "n"))
+    assert "@targetsize\t903" in {r.value for r in spark.read.text(str(tmp_path / "n")).collect()}
     writers.kmer_sets(spark.createDataFrame([("A", True), ("C", False)], "kmer string, excluded boolean"), str(tmp_path / "k"))
     assert readers.kmer_list(spark, str(tmp_path / "k/include")).select("kmer").collect() == [("C",)]
     writers.hotspots(spark.createDataFrame([("t", "s", "c", 1, 2)], "target string, sample string, contig string, start int, end int"), str(tmp_path / "h"))

@@ -348,11 +348,30 @@ def test_matches(spark):
     assert rows(cluster.match_references(pairs, alleles).select("name", "tag")) == [("a", "Dup"), ("b", "Pri"), ("c", "Novel"), ("r", "Ref")]
 
 
+def test_uncertain_against_the_file_order(spark):
+    """Line by line: neighbours in the file whatever their haplotype, shared pairs and first differences of assembled haplotypes only."""
+    rng = random.Random(2)
+    lines = [(rng.choice("abcdefgh") + str(i // 2 if rng.random() < 0.5 else i), rng.choice(["s_h1", "s_h2", "NC_060925", "chr1"]), rng.choice("rstuvwxyz") + str(rng.randrange(40)), rng.random() * 0.2) for i in range(300)]
+    want, pairs, last = set(), {}, ""
+    for name, haplo, ref, diff in lines:
+        if name == last:
+            want.add(name)
+        last = name
+        if "_h" in haplo or "NC_0609" in haplo:
+            if (haplo, ref) in pairs:
+                want |= {name, *pairs[haplo, ref]}
+            elif diff > 0.1:
+                want.add(name)
+            pairs.setdefault((haplo, ref), []).append(name)
+    df = spark.createDataFrame([(*x, i) for i, x in enumerate(lines)], "allele string, haplo string, ref string, diff double, n long").repartition(7)
+    assert {r.allele for r in annotate.uncertain(df).collect()} == want and 50 < len(want) < 300
+    apart = spark.createDataFrame([("a", "h1", "r", 0.0, 1), ("b", "h2", "s", 0.0, 2), ("a", "h1", "t", 0.0, 3)], df.schema)
+    assert not annotate.uncertain(apart).collect()
+
+
 def test_annotation(spark):
     df = spark.createDataFrame([(1, "x", 0), (1, "y", 1), (1, "y", 0), (2, "z", 0), (2, "z", 0), (2, "Ref", 0), (3, "b", 0), (3, "a", 0)], "t int, tag string, exon int")
     assert rows(annotate.majority(df, "t", "tag", "exon")) == [(1, "y", 1, 3), (2, "Ref", 0, 3), (3, "a", 0, 2)]
-    u = spark.createDataFrame([("a", "h", "r", 0.0, 1), ("b", "h", "r", 0.0, 2), ("c", "h", "s", 0.2, 3), ("d", "h", "q", 0.0, 4)], "allele string, haplo string, ref string, diff double, n int")
-    assert rows(annotate.uncertain(u)) == [("a",), ("b",), ("c",)]
     loci = spark.createDataFrame([("l", "c", -2, 3, "-")], "name string, contig string, start long, end long, strand string")
     assert annotate.fetch(loci, spark.createDataFrame([("c", "AACGT")], "contig string, seq string")).first().seq == "GTT"
     seqs = spark.createDataFrame([("q", "aaCGt"), ("r", "TTtt")], "name string, seq string")

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelespan.functions import cigar as C
+from allelespan.functions import runs
 from allelespan.operators import annotate, graph
+from allelespan.plans import function_queries as N
+from allelespan.plans import kmer_queries as Q
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +53,51 @@ def graph_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.paths(got).select("allele", "path", F.size("steps").alias("n_steps"))
 
 
+def cigar_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.col("l_partkey") % 400
+    got = rows(spark, sf_dir).select("allele", C.clipped_udf("cigar", start, start + 150).alias("c"))
+    return got.select("allele", "c.start", "c.end", "c.cigar")
+
+
+def _gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with gaps for GA in one row and for the first of CC in the other."""
+    seqs = Q.documents(spark, sf_dir).where(F.length("seq") > 0)
+    return seqs.select("doc_id", F.regexp_replace("seq", "GA", "--").alias("q"), F.regexp_replace("seq", "CC", "-T").alias("r"))
+
+
+def gapped_cigar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gapped(spark, sf_dir).select("doc_id", F.md5(runs.from_gapped(F.col("q"), F.col("r"))).alias("cigar"))
+
+
+def gapped_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = lambda places: F.md5(F.array_join(places.cast("array<string>"), ","))
+    return _gapped(spark, sf_dir).select("doc_id", text(runs.gapped_places(F.col("q"))).alias("gapped"), text(runs.ungapped_places(F.col("q"))).alias("ungapped"))
+
+
+def extended_cigar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as queries of references with CA for CC, without four bases after a third, and with three more at the end."""
+    n, third = F.length("seq"), F.floor(F.length("seq") / 3)
+    seqs = Q.documents(spark, sf_dir).where(n >= 12).select("doc_id", "seq", n.alias("n"), third.cast("int").alias("m"))
+    ref = F.concat(F.regexp_replace(F.expr("substring(seq, 1, m)"), "CC", "CA"), F.regexp_replace(F.expr("substring(seq, m + 5)"), "CC", "CA"), F.lit("ACG"))
+    cigar = F.concat(F.col("m").cast("string"), F.lit("M4D"), (F.col("n") - F.col("m") - 4).cast("string"), F.lit("M3I"))
+    return seqs.select("doc_id", F.md5(runs.extended(cigar, ref, F.col("seq"))).alias("cigar"))
+
+
+def global_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items against the next one."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", Q.S.bridge("text").alias("seq"))
+    pairs = items.join(items.select((F.col("item_id") - 1).alias("item_id"), F.col("seq").alias("ref")), "item_id")
+    return pairs.select("item_id", C.aligned_udf("seq", "ref").alias("cigar"))
+
+
 R_CTE = """WITH r AS (SELECT *, row_number() OVER () AS rn, l_orderkey || '_' || l_linenumber AS allele, CAST(floor(l_quantity) AS INTEGER) AS q FROM lineitem),
 c AS (SELECT *, (l_suppkey % 9 + 1) || 'H' || (q * 10) || '=' || l_linenumber || 'X' || (l_partkey % 41 + 1) || 'I' || (q * 7 + 40) || '=' || (l_partkey % 23 + 1) || 'D' || (q * 5) || '=' AS cigar FROM r),
 t AS (SELECT rn, allele, unnest(regexp_extract_all(cigar, '\\d+[A-Za-z=]')) AS t FROM c),
 n AS (SELECT rn, allele, CAST(sum(CASE WHEN op IN ('=', 'X', 'I') THEN n ELSE 0 END) AS INTEGER) AS ref_len, CAST(sum(CASE WHEN op IN ('=', 'X', 'D') THEN n ELSE 0 END) AS INTEGER) AS query_len, CAST(sum(CASE WHEN op = 'H' THEN n ELSE 0 END) AS INTEGER) AS clip, CAST(sum(CASE WHEN op = 'I' THEN n ELSE 0 END) AS INTEGER) AS inserted, CAST(sum(CASE WHEN op = '=' THEN n ELSE 0 END) AS INTEGER) AS match FROM (SELECT rn, allele, CAST(left(t, -1) AS INTEGER) AS n, right(t, 1) AS op FROM t) GROUP BY rn, allele)"""
 
+GAPS = f"""WITH s AS (SELECT doc_id, replace(seq, 'GA', '--') AS q, replace(seq, 'CC', '-T') AS r FROM (SELECT doc_id, {N.BRIDGED} AS seq FROM documents) WHERE length(seq) > 0),
+p AS (SELECT *, unnest(range(1, length(q) + 1)) AS i FROM s)"""
+
 QUERIES = {
     "cigar_lengths": (cigar_lengths, R_CTE + " SELECT allele, ref_len, query_len, clip, inserted, CASE WHEN inserted >= query_len / 10.0 * 0.5 THEN 'Novel(insert)' ELSE 'Mutate' END AS kind FROM n"),
     "paf_filter": (paf_filter, R_CTE + " SELECT allele, match FROM n JOIN (SELECT rn, 100 - l_linenumber * 2 AS identity, l_partkey % 200 AS z FROM r) USING (rn) WHERE identity > 90 AND ((ref_len - z > 300 AND match > 150) OR (match > 100 AND ref_len - z > ref_len * 2 / 3.0))"),
@@ -66,6 +109,42 @@ x AS (SELECT *, count(*) OVER (PARTITION BY haplo, ref) AS same, row_number() OV
 SELECT allele FROM b WHERE allele = b UNION SELECT allele FROM x WHERE same > 1 OR (seen = 1 AND diff > 0.08)""",
     ),
     "alignment_segments": (alignment_segments, None),
+    "global_alignment": (global_alignment, None),
+    "cigar_clip": (
+        cigar_clip,
+        R_CTE.split("\nt AS")[0]
+        + """ l AS (SELECT rn, allele, l_partkey % 400 AS s, l_partkey % 400 + 150 AS e, list_filter(regexp_extract_all(cigar, '\\d+[A-Za-z=]'), lambda x: right(x, 1) <> 'H') AS l FROM c),
+t AS (SELECT rn, allele, s, e, i, CAST(left(l[i], -1) AS INTEGER) AS n, right(l[i], 1) AS op FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM l)),
+m AS (SELECT *, CASE WHEN op = 'I' THEN 0 ELSE n END AS step, CASE WHEN op = 'D' THEN 0 ELSE n END AS move FROM t),
+p AS (SELECT *, coalesce(sum(step) OVER w, 0) AS a, coalesce(sum(move) OVER w, 0) AS b FROM m WINDOW w AS (PARTITION BY rn ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+k AS (SELECT *, greatest(s, a) AS lo, least(e, a + step) AS hi FROM p),
+z AS (SELECT rn, i, CASE WHEN step > 0 THEN hi - lo ELSE n END AS n, op, b + CASE WHEN move > 0 AND step > 0 THEN lo - a ELSE 0 END AS f, b + CASE WHEN step = 0 THEN move WHEN move > 0 THEN hi - a ELSE 0 END AS g FROM k WHERE (step > 0 AND lo < hi) OR (step = 0 AND s < a AND a < e)),
+o AS (SELECT rn, arg_min(f, i) AS f, arg_max(g, i) AS g, string_agg(n || op, '' ORDER BY i) AS cigar FROM z GROUP BY rn)
+SELECT allele, CAST(coalesce(f, 0) AS BIGINT) AS start, CAST(coalesce(g, 0) AS BIGINT) AS "end", coalesce(o.cigar, '') AS cigar FROM r LEFT JOIN o USING (rn)""",
+    ),
+    "gapped_cigar": (
+        gapped_cigar,
+        GAPS
+        + """, o AS (SELECT doc_id, i, q[i] AS a, CASE WHEN q[i] = '-' THEN 'D' WHEN r[i] = '-' THEN 'I' WHEN q[i] = r[i] THEN '=' ELSE 'X' END AS op FROM p WHERE q[i] <> '-' OR r[i] <> '-'),
+f AS (SELECT *, CASE WHEN lag(op) OVER (PARTITION BY doc_id ORDER BY i) = op THEN 0 ELSE 1 END AS f FROM o), g AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM f),
+u AS (SELECT doc_id, g, count(*) || op || CASE WHEN op IN ('X', 'I') THEN string_agg(a, '' ORDER BY i) ELSE '' END AS t FROM g GROUP BY doc_id, g, op)
+SELECT doc_id, md5(string_agg(t, '' ORDER BY g)) AS cigar FROM u GROUP BY doc_id""",
+    ),
+    "gapped_places": (
+        gapped_places,
+        GAPS
+        + """, n AS (SELECT doc_id, i, q[i] AS a, length(q) AS size, count(*) FILTER (q[i] <> '-') OVER (PARTITION BY doc_id ORDER BY i) AS n FROM p)
+SELECT doc_id, md5(coalesce(string_agg(i - 1, ',' ORDER BY i) FILTER (a <> '-') || ',', '') || max(size)) AS gapped, md5(string_agg(n - CASE WHEN a = '-' THEN 0 ELSE 1 END, ',' ORDER BY i) || ',' || max(n)) AS ungapped FROM n GROUP BY doc_id""",
+    ),
+    "extended_cigar": (
+        extended_cigar,
+        f"""WITH s AS (SELECT doc_id, seq, length(seq) // 3 AS m FROM (SELECT doc_id, {N.BRIDGED} AS seq FROM documents) WHERE length(seq) >= 12),
+x AS (SELECT doc_id, seq, m, replace(substr(seq, 1, m), 'CC', 'CA') || 'NNNN' || replace(substr(seq, m + 5), 'CC', 'CA') AS ref FROM s),
+o AS (SELECT doc_id, i, seq[i] AS a, CASE WHEN i > m AND i <= m + 4 THEN 'D' WHEN seq[i] = ref[i] THEN '=' ELSE 'X' END AS op FROM (SELECT *, unnest(range(1, length(seq) + 1)) AS i FROM x)),
+f AS (SELECT *, CASE WHEN lag(op) OVER (PARTITION BY doc_id ORDER BY i) = op THEN 0 ELSE 1 END AS f FROM o), g AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM f),
+u AS (SELECT doc_id, g, count(*) || op || CASE WHEN op IN ('X', 'D') THEN string_agg(a, '' ORDER BY i) ELSE '' END AS t FROM g GROUP BY doc_id, g, op)
+SELECT doc_id, md5(string_agg(t, '' ORDER BY g) || '3I') AS cigar FROM u GROUP BY doc_id""",
+    ),
     "graph_paths": (
         graph_paths,
         R_CTE

@@ -1,13 +1,14 @@
 """Growth of graphs, repeats in them and the whole chain, against plain loops."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from allelespan.operators import growth, repeats
 from allelespan.plans import pipelines
+from tests.test_operators import naive_tree
 
 TURN = str.maketrans("ACGTacgt", "TGCAtgca")
 
@@ -207,3 +208,47 @@ def test_chain_by_group_is_that_of_each_group_alone(spark):
         assert sorted(got) == sorted(alone) and got, name
     paths = {(r.fam, r.allele): r.path for r in both["paths"].collect()}
     assert all(paths[g, "a_chr"].startswith(">a_chr_0_1200") for g in "uv") and all(paths[g, "b"].count(">") >= 3 for g in "uv")
+
+
+def test_masked_order_against_loops(spark):
+    """Unmasked bases, distances and trees of each group, k-mer by k-mer and merge by merge."""
+    rng = random.Random(13)
+    k, rows = 9, []
+    for g in ("u", "v"):
+        base = bases(rng, 300)
+        for i in range(9):
+            s = list(base)
+            for _ in range(rng.randrange(3, 40)):
+                s[rng.randrange(300)] = rng.choice("ACGT")
+            rows.append((g, f"{g}{i}", "".join(s)))
+        rows += [(g, f"{g}x", bases(rng, 200)), (g, f"{g}y", "ACG")]
+    canonical = lambda x: max(x, turned(x))
+    listed = sorted({canonical(s[i : i + k]) for _, _, s in rows for i in range(0, len(s) - k + 1, 2)})
+    masked, trees = pipelines.masked_trees(spark.createDataFrame(rows, "fam string, name string, seq string"), spark.createDataFrame([(x,) for x in listed], "kmer string"), "fam", k)
+    seqs = {r.name: r.seq for r in masked.collect()}
+    ranks = {(r.fam, r.name): r.leaf for r in pipelines.leaf_ranks(trees, "fam").collect()}
+    known = set(listed)
+    for g in ("u", "v"):
+        own = sorted((n, s) for f, n, s in rows if f == g)
+        counts = []
+        for n, s in own:
+            c, upper, last = Counter(), set(), None  # from one hit's last base up to that of the next, if they are at most k apart
+            for i in range(len(s) - k + 1):
+                x = canonical(s[i : i + k])
+                if x in known:
+                    c[x] += 1
+                    upper.update(range(last + k - 1, i + k - 1) if last is not None and i - last <= k else ())
+                    last = i
+            counts.append(c)
+            assert seqs[n] == "".join(b if i in upper else b.lower() for i, b in enumerate(s))
+        lone = Counter(x for c in counts for x in c)
+        weight = [sum(v * v / (20 if lone[x] == 1 else 1) for x, v in c.items()) for c in counts]
+        dist = [[1 - sum(v * b[x] for x, v in a.items()) / (max(1, wa) * max(1, wb)) ** 0.5 for b, wb in zip(counts, weight)] for a, wa in zip(counts, weight)]
+        leaves, todo = [], [naive_tree([n for n, _ in own], dist)[0]]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, tuple):
+                todo += [x[1], x[0]]
+            else:
+                leaves.append(x)
+        assert [n for n, _ in sorted(((n, r) for (f, n), r in ranks.items() if f == g), key=lambda x: x[1])] == leaves

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelespan.functions import seq as S
+from allelespan.operators import scan
+from allelespan.sources.staging import staged
 
 #: Largest distinct target set that is sent to all executors.
 BROADCAST_ROWS = 2_000_000
@@ -106,13 +108,21 @@ def window_gc(df: DataFrame, by: str, pos: str, base: str, size: int = 100, cuto
 
 
 def hotspots(hits: DataFrame, c: int = 50, near: int = 1000, by: tuple[str, ...] = ("target", "contig")) -> DataFrame:
-    """hits: by, pos. Runs in which the hit c before is less than `near` away."""
-    w = Window.partitionBy(*by).orderBy("pos")
-    spans = hits.withColumn("start", F.lag("pos", c).over(w)).where(F.col("pos") - F.col("start") < near).select(*by, "start", F.col("pos").alias("end"))
-    w = Window.partitionBy(*by).orderBy("end", "start")
-    fresh = F.when(F.col("start") - F.lag("end").over(w) < near, 0).otherwise(1)
-    islands = spans.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(w))
-    return islands.groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+    """hits: by, pos. Runs in which the hit c before is less than `near` away. Hits are numbered over sorted parts, and the hit c before is
+    met by its number, so a contig that holds most hits is many tasks."""
+    keys = list(by)
+    parts = scan.dealt(hits.select(*keys, "pos"), keys, ["pos"])
+    at = staged(scan.numbered(parts, keys, ["pos"], "n").select(*keys, "pos", "n"), "numbered-hits")
+    before = at.select(*(F.col(x).alias(f"_{x}") for x in keys), (F.col("n") + c).alias("_n"), F.col("pos").alias("start"))
+    met = F.col("n") == F.col("_n")
+    for x in keys:
+        met = met & F.col(x).eqNullSafe(F.col(f"_{x}"))
+    spans = at.join(before, met).where(F.col("pos") - F.col("start") < near).select(*keys, "start", F.col("pos").alias("end"))
+    order = ["end", "start"]
+    reached = staged(scan.running_max(scan.dealt(spans, keys, order), keys, order, {"_reach": F.col("end")}), "reached")
+    fresh = F.when(F.col("_reach").isNull() | (F.col("start") - F.col("_reach") >= near), F.col("end"))
+    islands = scan.running_max(reached, keys, order, {"_island": fresh}).withColumn("_island", F.greatest("_island", fresh))
+    return islands.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def end_trim(hits: DataFrame, cutoff: int, hit: int = 9, miss: int = -1, by: str = "name") -> DataFrame:
@@ -146,10 +156,15 @@ def _runs(seq: Column, k: int) -> Column:
     return F.aggregate(F.split(seq, "(?=[^ACGTacgt])"), zero, step)["runs"]
 
 
-def end_trim_of(seqs: DataFrame, listed: DataFrame, cutoff: int, k: int, by: str = "name", seq: str = "seq", hit: int = 9, miss: int = -1) -> DataFrame:
-    """As end_trim(), from sequences and the k-mers of the list (kmer, distinct). Only hits are shuffled: what stands between two of
-    them is a number of misses, which the sequence itself tells."""
-    hits = S.kmers(seqs, seq, k, by).join(probe(listed.select("kmer"), bounded(listed)), "kmer", "left_semi")
+def listed_hits(seqs: DataFrame, listed: DataFrame, k: int, by: str = "name", seq: str = "seq") -> DataFrame:
+    """by, pos and kmer of the k-mers that the list (kmer, distinct) has."""
+    return S.kmers(seqs, seq, k, by).join(probe(listed.select("kmer"), bounded(listed)), "kmer", "left_semi")
+
+
+def end_trim_of(seqs: DataFrame, listed: DataFrame, cutoff: int, k: int, by: str = "name", seq: str = "seq", hit: int = 9, miss: int = -1, hits: DataFrame | None = None) -> DataFrame:
+    """As end_trim(), from sequences and the k-mers of the list (kmer, distinct), or their listed_hits. Only hits are shuffled: what stands
+    between two of them is a number of misses, which the sequence itself tells."""
+    hits = listed_hits(seqs, listed, k, by, seq) if hits is None else hits
     found = hits.groupBy(by).agg(F.sort_array(F.collect_list(F.col("pos").cast("int"))).alias("hits"))
     rows = seqs.select(by, _runs(F.col(seq), k).alias("runs")).where(F.size("runs") > 0).join(found, by, "left")
     last = F.element_at("runs", -1)

@@ -17,18 +17,17 @@ def trim_sequences(seqs: DataFrame, listed: DataFrame, k: int = 31, cutoff: int
     sequences pass as they are."""
     if not cutoff or not ratio:
         return seqs, listed
-    at = S.kmers(seqs, "seq", k, "name")
-    hits = at.join(listed.select("kmer").distinct().withColumn("h", F.lit(True)), "kmer", "left").select("name", "pos", "kmer", F.col("h").isNotNull().alias("is_hit"))
-    scale = round(1 / ratio) - 1
-    ends = kmer.end_trim(hits, cutoff, scale, -1)
-    inner = hits.where("is_hit").join(ends, "name").where("pos BETWEEN left AND right").groupBy("name").agg(F.count("*").alias("n"))
+    known = staged(listed.select("kmer").distinct(), "listed")
+    hits = staged(kmer.listed_hits(seqs, known, k), "hits")  # all that follows reads hits, never all k-mers
+    ends = staged(kmer.end_trim_of(seqs, known, cutoff, k, hit=round(1 / ratio) - 1, hits=hits), "ends")
+    inner = hits.join(ends, "name").where("pos BETWEEN left AND right").groupBy("name").agg(F.count("*").alias("n"))
     got = seqs.join(ends, "name", "left").join(inner, "name", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     keep = F.col("left").isNotNull() & (F.col("n") >= cutoff) & (F.col("n") >= (F.length("seq") - 2 * anchor) * ratio)
     kept = got.where(keep).withColumns({"lo": F.greatest(F.lit(0), F.col("left") - anchor).cast("long"), "hi": F.least(F.length("seq"), F.col("right") + k + anchor).cast("long")})
     start, end = S.trim_locus(F.col("start"), F.col("end"), F.col("strand"), F.col("lo"), F.col("hi"))
     trimmed = kept.select("name", "contig", start.alias("start"), end.alias("end"), "strand", F.substring(F.col("seq"), (F.col("lo") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int")).alias("seq"))
     spans = kept.select("name", "lo", "hi")
-    lost = at.join(spans, "name", "left").where(F.col("lo").isNull() | (F.col("pos") < F.col("lo")) | (F.col("pos") + k > F.col("hi"))).select("kmer").distinct()
+    lost = hits.join(spans, "name", "left").where(F.col("lo").isNull() | (F.col("pos") < F.col("lo")) | (F.col("pos") + k > F.col("hi"))).select("kmer").distinct()
     return trimmed, listed.join(lost, "kmer", "left_anti")
 
 

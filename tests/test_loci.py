@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from allelespan.operators import interval, scan
+from allelespan.operators import interval, kmer, scan
 from allelespan.plans import pipelines
 
 KIND = "contig string, start long, end long, strand string, gene string, is_exon boolean"
@@ -121,6 +121,31 @@ def test_running_max_over_parts(spark):
             held[r.g] = (r.v if a is None else max(a, r.v), -r.v if b is None else max(b, -r.v))
 
 
+def test_hotspots_of_one_hot_contig(spark):
+    """Numbers over parts, and runs in which the hit c before is near, against a list of hits; nearly all stand on one contig."""
+    rng = random.Random(6)
+    hits = [(rng.choice("tu") if i % 20 == 0 else "t", "hot" if i % 20 else rng.choice("ab"), rng.randrange(20_000)) for i in range(3000)]
+    df = spark.createDataFrame(hits, "target string, contig string, pos long")
+    parts = scan.dealt(df, ["target", "contig"], ["pos"])
+    numbers = sorted((r.target, r.contig, r.n) for r in scan.numbered(parts, ["target", "contig"], ["pos"], "n").collect())
+    want, runs = defaultdict(list), []
+    for t, c, p in hits:
+        want[t, c].append(p)
+    assert numbers == sorted((*k, i + 1) for k, v in want.items() for i in range(len(v)))
+    for k, v in want.items():
+        v.sort()
+        last = None
+        for a, b in zip(v, v[5:]):
+            if b - a < 40:
+                if last is not None and a - last[3] < 40:
+                    last[2], last[3] = min(last[2], a), b
+                else:
+                    last = [*k, a, b]
+                    runs.append(last)
+    got = kmer.hotspots(df, 5, 40).select("target", "contig", "start", "end").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, runs)) and len(runs) > 20
+
+
 def test_empty_loci(spark):
     none = spark.createDataFrame([], KIND)
     assert pipelines.allele_loci(none, spark.createDataFrame([], "contig string, seq string")).count() == 0

@@ -111,7 +111,8 @@ def hotspots(hits: DataFrame, c: int = 50, near: int = 1000, by: tuple[str, ...]
     """hits: by, pos. Runs in which the hit c before is less than `near` away. Hits are numbered over sorted parts, and the hit c before is
     met by its number, so a contig that holds most hits is many tasks."""
     keys = list(by)
-    parts = scan.dealt(hits.select(*keys, "pos"), keys, ["pos"])
+    # stored first, as the ranges are found by a pass of their own
+    parts = scan.dealt(staged(hits.select(*keys, "pos"), "hits"), keys, ["pos"])
     at = staged(scan.numbered(parts, keys, ["pos"], "n").select(*keys, "pos", "n"), "numbered-hits")
     before = at.select(*(F.col(x).alias(f"_{x}") for x in keys), (F.col("n") + c).alias("_n"), F.col("pos").alias("start"))
     met = F.col("n") == F.col("_n")

@@ -219,7 +219,6 @@ def test_partition(spark):
     names = spark.createDataFrame([(x,) for x in (2, 3, 4, 7, 9)], "name long")
     shared = spark.createDataFrame([(2, 7, 501), (3, 4, 600), (4, 7, 501), (7, 9, 500)], "i long, j long, shared long")
     assert rows(cluster.groups(names, shared)) == [(2, 2), (3, 2), (4, 2), (7, 2), (9, 9)]
-    assert cluster.single_pass([2, 3, 4, 7], [(2, 7), (3, 4), (4, 7)])[2] == 2
     again = cluster.regrouped(names, shared.withColumn("shared", F.col("shared") * 2), [(0, 900), (3, 1100)])
     assert rows(again) == [(2, 2), (3, 3), (4, 3), (7, 7), (9, 9)]
 
@@ -235,6 +234,28 @@ def test_components_against_union_find(spark, edges):
     assert got == {x: root[x] for e in edges if e[0] != e[1] for x in e}
 
 
+def test_single_pass_against_the_matrix(spark):
+    """All cells of the upper triangle in order; components that one pass leaves in pieces are among them."""
+    rng = random.Random(8)
+    size, common = 60, 5
+    m = {(i, j): rng.randrange(4, 9) for i in range(size) for j in range(i + 1, size) if rng.random() < 0.04}
+    label = list(range(size))
+    for i in range(size):
+        for j in range(i + 1, size):
+            if m.get((i, j), 0) > common:
+                label[i] = label[j] = min(label[i], label[j])
+    want = []
+    for x in range(size):
+        while label[x] != label[label[x]]:
+            label[x] = label[label[x]]
+        want.append((x, label[x]))
+    shared = spark.createDataFrame([(j, i, n) if (i + j) % 2 else (i, j, n) for (i, j), n in m.items()], "i long, j long, shared long")
+    names = spark.range(size).withColumnRenamed("id", "name")
+    assert rows(cluster.single_pass(names, shared, common)) == want
+    whole = rows(cluster.groups(names, shared, common))
+    assert len({g for _, g in want}) > len({g for _, g in whole}) and all(a >= b for (_, a), (_, b) in zip(want, whole))
+
+
 def naive_tree(names, dist):
     """The rule step by step over a growing matrix, as nested tuples (left, right)."""
     d = {(i, j): float(dist[i][j]) for i in range(len(names)) for j in range(len(names)) if i != j}

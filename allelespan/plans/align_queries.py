@@ -49,8 +49,9 @@ def alignment_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as alleles: each line aligns its part to the order, the discount gives the score."""
     c = F.col("cigar")
-    got = rows(spark, sf_dir).select(F.col("l_orderkey").alias("allele"), F.col("l_linenumber").alias("id"), F.col("l_partkey").cast("string").alias("segment"), F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("strand"), (F.col("l_partkey") % 500).alias("start"), (F.col("l_partkey") % 500 + C.length(c, "=MXD")).alias("end"), F.col("l_suppkey").alias("rstart"), "cigar", F.round(F.col("l_discount") * 100).cast("long").alias("score"))
-    return graph.paths(got).select("allele", "path", F.size("steps").alias("n_steps"))
+    got = rows(spark, sf_dir).select(F.col("l_orderkey").alias("allele"), (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("id"), F.col("l_partkey").cast("string").alias("segment"), F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("strand"), (F.col("l_partkey") % 500).alias("start"), (F.col("l_partkey") % 500 + C.length(c, "=MXD")).alias("end"), F.col("l_suppkey").alias("rstart"), "cigar", F.round(F.col("l_discount") * 100).cast("long").alias("score"))
+    places = F.transform("steps", lambda s: F.concat_ws("_", s["rstart"].cast("string"), s["rend"].cast("string"), s["cigar"]))
+    return graph.paths(got).select("allele", "path", F.size("steps").alias("n_steps"), F.md5(F.array_join(places, ";")).alias("places"))
 
 
 def cigar_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,11 +149,19 @@ SELECT doc_id, md5(string_agg(t, '' ORDER BY g) || '3I') AS cigar FROM u GROUP B
     "graph_paths": (
         graph_paths,
         R_CTE
-        + """, a AS (SELECT l_orderkey AS chrom, l_linenumber AS id, l_partkey AS segment, CASE WHEN l_returnflag = 'R' THEN '<' ELSE '>' END AS o, l_partkey % 500 AS start, l_partkey % 500 + query_len AS "end", CAST(round(l_discount * 100) AS BIGINT) AS score FROM r JOIN n USING (rn)),
+        + """, a AS (SELECT rn, l_suppkey AS rs, l_orderkey AS chrom, l_linenumber * 1000000 + l_partkey AS id, l_partkey AS segment, CASE WHEN l_returnflag = 'R' THEN '<' ELSE '>' END AS o, l_partkey % 500 AS start, l_partkey % 500 + query_len AS "end", CAST(round(l_discount * 100) AS BIGINT) AS score FROM r JOIN n USING (rn)),
 p AS (SELECT chrom, start AS p FROM a UNION SELECT chrom, "end" FROM a), c2 AS (SELECT * FROM (SELECT chrom, p AS s, lead(p) OVER (PARTITION BY chrom ORDER BY p) AS t FROM p) WHERE t IS NOT NULL),
 b AS (SELECT * FROM (SELECT x.chrom, s, t, id, row_number() OVER (PARTITION BY x.chrom, s ORDER BY score DESC, id) AS r FROM c2 x JOIN a ON x.chrom = a.chrom AND a.start < t AND s < a."end") WHERE r = 1),
 f AS (SELECT *, CASE WHEN lag(id) OVER w = id AND lag(t) OVER w = s THEN 0 ELSE 1 END AS f FROM b WINDOW w AS (PARTITION BY chrom ORDER BY s)),
-g AS (SELECT *, sum(f) OVER (PARTITION BY chrom ORDER BY s) AS g FROM f), e AS (SELECT chrom, id, min(s) AS s, max(t) AS t FROM g GROUP BY chrom, g, id HAVING max(t) - min(s) > 30)
-SELECT e.chrom AS allele, string_agg(o || segment, '' ORDER BY e.s, e.t, o || segment) AS path, CAST(count(*) AS INTEGER) AS n_steps FROM e JOIN a ON a.chrom = e.chrom AND a.id = e.id GROUP BY 1""",
+g AS (SELECT *, sum(f) OVER (PARTITION BY chrom ORDER BY s) AS g FROM f), e AS (SELECT chrom, id, min(s) AS s, max(t) AS t FROM g GROUP BY chrom, g, id HAVING max(t) - min(s) > 30),
+h AS (SELECT e.chrom, e.s AS es, e.t AS et, a.rn, o || segment AS step, rs, e.s - a.start AS s, e.t - a.start AS e FROM e JOIN a ON a.chrom = e.chrom AND a.id = e.id),
+l AS (SELECT h.*, list_filter(regexp_extract_all(cigar, '\\d+[A-Za-z=]'), lambda x: right(x, 1) <> 'H') AS l FROM h JOIN c USING (rn)),
+k AS (SELECT * EXCLUDE (l), CAST(left(l[i], -1) AS INTEGER) AS n, right(l[i], 1) AS op FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM l)),
+m AS (SELECT *, CASE WHEN op = 'I' THEN 0 ELSE n END AS w, CASE WHEN op = 'D' THEN 0 ELSE n END AS v FROM k),
+q AS (SELECT *, coalesce(sum(w) OVER z, 0) AS x, coalesce(sum(v) OVER z, 0) AS y FROM m WINDOW z AS (PARTITION BY rn, es ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+d AS (SELECT *, greatest(s, x) AS lo, least(e, x + w) AS hi FROM q),
+z AS (SELECT chrom, es, et, step, rs, rn, i, CASE WHEN w > 0 THEN hi - lo ELSE n END || op AS t, y + CASE WHEN v > 0 AND w > 0 THEN lo - x ELSE 0 END AS first, y + CASE WHEN w = 0 THEN v WHEN v > 0 THEN hi - x ELSE 0 END AS last FROM d WHERE (w > 0 AND lo < hi) OR (w = 0 AND s < x AND x < e)),
+y AS (SELECT h.chrom, h.es, h.et, h.step, h.rs + coalesce(arg_min(first, i), 0) AS f, h.rs + coalesce(arg_max(last, i), 0) AS g, coalesce(string_agg(t, '' ORDER BY i), '') AS t FROM h LEFT JOIN z ON z.rn = h.rn AND z.es = h.es GROUP BY h.chrom, h.es, h.et, h.step, h.rn, h.rs)
+SELECT chrom AS allele, string_agg(step, '' ORDER BY es, et, step) AS path, CAST(count(*) AS INTEGER) AS n_steps, md5(string_agg(f || '_' || g || '_' || t, ';' ORDER BY es, et, step, f, g, t)) AS places FROM y GROUP BY chrom""",
     ),
 }

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,47 @@ def test_runs_take_a_fraction_of_strings(spark):
     df = spark.createDataFrame([(s,) for s in seqs], "seq string").coalesce(1)
     sent = superkmers.parts(df, "seq", 31, buckets=128).agg(F.sum(F.length("sizes") + F.length("bases") + 16)).first()[0]
     assert sent < 31 * 4 * (20_000 - 30) / 12
+
+
+@pytest.mark.parametrize("k", [3, 31, 32])
+def test_listed_hits_are_those_of_single_kmers(spark, k):
+    df = spark.createDataFrame([(i, f"s{i % 3}", s) for i, s in enumerate(sequences(k))], "id int, src string, seq string").repartition(3)
+    every = S.kmers(df, "seq", k, "id", "src")
+    listed = every.select("kmer").distinct().where("hash(kmer) % 3 = 0")
+    want = every.join(listed, "kmer", "left_semi").select("id", "src", "pos", "kmer")
+    got = kmer.listed_hits(df, listed, k, "id", "src")
+    assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert kmer.listed_hits(df, listed.limit(0), k, "id").count() == 0
+
+
+def test_slices_have_every_kmer_once(monkeypatch):
+    monkeypatch.setattr(superkmers, "CHUNK", 50)
+    seqs, k, found = [s or "" for s in sequences(7)], 7, []
+    for (row, at), offsets, text in superkmers._slices(pa.array(seqs), k):
+        assert len(text) == offsets[-1] and len(text) < 200
+        for r, (a, b) in enumerate(zip(offsets, offsets[1:])):
+            found += [(row + r, i - a + (at if r == 0 else 0), text[i : i + k].decode()) for i in range(a, b - k + 1)]
+    plain_ = [s.encode("ascii", "replace").decode() for s in seqs]
+    assert sorted(found) == sorted((r, i, s[i : i + k]) for r, s in enumerate(plain_) for i in range(len(s) - k + 1))
+
+
+def test_judged_kmers_are_those_of_joins(spark):
+    rows = [(i, [None, "a", "b"][i % 3], "x" if i % 2 else "y", i % 4 == 1, s) for i, s in enumerate(sequences(5) * 2)]
+    df = spark.createDataFrame(rows, "id int, haplo string, lang string, toxic boolean, seq string").repartition(3)
+    k = 5
+    at = S.kmers(df, "seq", k, "haplo", "lang", "toxic")
+    got = superkmers.judged(df, "seq", k, "haplo", superkmers.of_one_group, "kmer string, key string, n long")
+    want = kmer.group_exclusive(at, "haplo")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 0
+    got = superkmers.judged(df, "seq", k, "toxic", superkmers.of_sets, "kmer string, excluded boolean")
+    want = kmer.set_filter(at.where("NOT toxic"), at.where("toxic"))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.where("excluded").count() > 0
+    gene = df.where("lang = 'x'")
+    one = lambda d: kmer.counts(S.kmers(d.where("haplo IS NOT NULL"), "seq", k, "haplo"), "haplo", cap=255)
+    chosen = kmer.exclusive(one(gene), one(df))
+    got = kmer.selected(gene, df, k, superkmers.combined, "kmer string, n_haplo long")
+    assert sorted(got.collect()) == sorted(kmer.pan_combine(chosen).collect())
+    got = kmer.selected(gene, df, k, superkmers.selected_sums, "haplo string, n_included long, n_excluded long, sum_diff long").groupBy("haplo").agg(F.sum("n_included"), F.sum("n_excluded"), F.sum("sum_diff"))
+    want = chosen.groupBy("haplo").agg(F.count_if("included"), F.count_if(~F.col("included")), F.sum(F.coalesce("diff", F.lit(0))))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 2

@@ -142,17 +142,34 @@ def _letters(codes: np.ndarray, k: int) -> pa.Array:
     return pa.StringArray.from_buffers(len(codes), pa.py_buffer(np.arange(0, (len(codes) + 1) * k, k, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(text)))
 
 
+def _kmers(rows: list[tuple[bytes, bytes]], k: int) -> np.ndarray:
+    """The k-mers of all runs of the rows (sizes, bases); each row's bases begin with a byte of their own."""
+    sizes = [np.frombuffer(x, np.int32).astype(np.int64) for x, _ in rows]
+    size = np.concatenate(sizes)
+    packed = b"".join(x for _, x in rows)
+    first = 4 * np.cumsum([0, *(len(x) for _, x in rows[:-1])])
+    whole = size + k - 1
+    at = np.cumsum(whole) - whole  # of each run, were rows not filled up
+    runs_ = np.array([len(x) for x in sizes])
+    row_at = at[np.cumsum(runs_) - runs_]
+    at += np.repeat(first - row_at, runs_)
+    return _canonical(_unpacked(packed, 4 * len(packed)), k)[_stretch(at, size)]
+
+
 def _tables(batches: Iterator[pa.RecordBatch], k: int, tagged: bool, most: int) -> Iterator[tuple[int, list[tuple[object, np.ndarray, np.ndarray]]]]:
     """Each bucket with its tags, and their distinct k-mers in order with their counts; a tag's are handed on at once where tagged is
     false. batches: rows of parts(), sorted."""
     at, codes, n = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    held: list[np.ndarray] = []
+    held: list[tuple[bytes, bytes]] = []
+    pending = 0
 
     def add() -> None:
-        nonlocal codes, n
+        nonlocal codes, n, pending
         if held:
-            fresh, times = np.unique(np.concatenate(held), return_counts=True)
+            # rows are short where there are many buckets and tags, so they are taken together
+            fresh, times = np.unique(_kmers(held, k), return_counts=True)
             held.clear()
+            pending = 0
             if len(codes):
                 fresh, where = np.unique(np.concatenate((codes, fresh)), return_inverse=True)
                 times = np.bincount(where, np.concatenate((n, times)))
@@ -161,6 +178,7 @@ def _tables(batches: Iterator[pa.RecordBatch], k: int, tagged: bool, most: int)
     table: list[tuple[object, np.ndarray, np.ndarray]] = []
     for batch in batches:
         whose = batch.column(1).to_pylist() if batch.num_columns > 3 else [None] * batch.num_rows
+        sizes, bases = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
         for i, key in enumerate(zip(batch.column(0).to_pylist(), whose)):
             if key != at:
                 if at is not None:
@@ -171,11 +189,9 @@ def _tables(batches: Iterator[pa.RecordBatch], k: int, tagged: bool, most: int)
                         yield at[0], table
                         table = []
                 at = key
-            size = np.frombuffer(batch.column(batch.num_columns - 2)[i].as_py(), np.int32).astype(np.int64)
-            whole = size + k - 1
-            base = _unpacked(batch.column(batch.num_columns - 1)[i].as_py(), int(whole.sum()))
-            held.append(_canonical(base, k)[_stretch(np.cumsum(whole) - whole, size)])
-            if sum(map(len, held)) >= PENDING:
+            held.append((sizes[i], bases[i]))
+            pending += 4 * len(bases[i])
+            if pending >= PENDING:
                 add()
     if at is not None:
         add()

@@ -32,9 +32,10 @@ def trim_sequences(seqs: DataFrame, listed: DataFrame, k: int = 31, cutoff: int
 
 
 def hotspot_queries(hotspots: DataFrame, contigs: DataFrame, gap: int = 20_000) -> DataFrame:
-    """Merged hotspots with their sequences."""
+    """Merged hotspots with their sequences; one without an end has no name."""
     merged = interval.merge(hotspots, ["contig"], gap)
-    named = merged.select(F.concat_ws("_", "contig", "start", "end").alias("name"), "contig", "start", "end", F.lit("+").alias("strand"))
+    name = F.concat(F.col("contig").cast("string"), F.lit("_"), F.col("start").cast("string"), F.lit("_"), F.col("end").cast("string"))
+    named = merged.select(name.alias("name"), "contig", "start", "end", F.lit("+").alias("strand"))
     return annotate.fetch(named, contigs)
 
 

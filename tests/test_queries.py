@@ -24,3 +24,11 @@ def test_entry(spark):
 
     assert e.entry(spark).columns == ["kmer", "cnt"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_hotspots_without_an_end_equal_sql(spark, con, sf_dir, tmp_path):
+    con.execute("CREATE TEMP TABLE odd AS SELECT * REPLACE (CASE WHEN event_id % 3 = 0 OR event_id % 40 = 7 THEN NULL ELSE user_id END AS user_id) FROM events")
+    con.execute(f"COPY odd TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    (tmp_path / "benchmark.parquet").symlink_to(f"{sf_dir}/benchmark.parquet")
+    sql = catalog.oracle_sql()["hotspot_sequences"].replace("FROM events)", "FROM odd)")
+    same(spark, con, catalog.queries()["hotspot_sequences"], sql, str(tmp_path))

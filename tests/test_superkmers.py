@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from allelespan.functions import seq as S
-from allelespan.operators import kmer, superkmers
+from allelespan.operators import kmer, similarity, superkmers
 
 TURN = str.maketrans("ACGT", "TGCA")
 
@@ -124,3 +124,23 @@ def test_judged_kmers_are_those_of_joins(spark):
     got = kmer.selected(gene, df, k, superkmers.selected_sums, "haplo string, n_included long, n_excluded long, sum_diff long").groupBy("haplo").agg(F.sum("n_included"), F.sum("n_excluded"), F.sum("sum_diff"))
     want = chosen.groupBy("haplo").agg(F.count_if("included"), F.count_if(~F.col("included")), F.sum(F.coalesce("diff", F.lit(0))))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 2
+
+
+def test_patterns_stand_for_the_kmers_of_equal_owners(spark):
+    """Copies, near copies, k-mers of one owner, an owner of two rows and rows without an owner: the sums over pairs are those of single k-mers."""
+    rng = np.random.default_rng(5)
+    new = lambda n: "".join(rng.choice(list("ACGT"), n))
+    one, two = new(400), new(300)
+    rows = [(1, one), (2, one), (3, one[:200] + two), (4, two + two), (4, one[100:180]), (5, new(90)), (None, one[:60]), (None, new(50)), (6, "ACG"), (7, two[:80] + "N" + two[80:]), (8, None)]
+    df = spark.createDataFrame(rows, "d long, seq string")
+    got = superkmers.patterns(df, "seq", 9, "d").cache()
+    single = S.kmers(df, "seq", 9, "d").groupBy("d", "kmer").agg(F.count("*").alias("cnt")).cache()
+    same = lambda a, b: sorted(map(repr, map(tuple, a.collect()))) == sorted(map(repr, map(tuple, b.collect())))
+    assert same(similarity.shared_l1(got, "d"), similarity.shared_l1(single, "d"))
+    assert same(similarity.gram(got, "d"), similarity.gram(single, "d"))
+    assert same(similarity.shared_above(got, "d", 60), similarity.shared_above(single, "d", 60))
+    assert got.count() * 10 < single.count()
+    sizes = lambda x, w: x.groupBy("d").agg(F.sum(w))
+    assert same(sizes(got, F.col("cnt") * F.col("weight")), sizes(single, F.col("cnt")))
+    own = lambda x: {r["i"]: pytest.approx(r["own"]) for r in similarity.self_weights(x, "d").collect()}
+    assert own(got) == {r["i"]: r["own"] for r in similarity.self_weights(single, "d").collect()}

@@ -144,3 +144,31 @@ def test_patterns_stand_for_the_kmers_of_equal_owners(spark):
     assert same(sizes(got, F.col("cnt") * F.col("weight")), sizes(single, F.col("cnt")))
     own = lambda x: {r["i"]: pytest.approx(r["own"]) for r in similarity.self_weights(x, "d").collect()}
     assert own(got) == {r["i"]: r["own"] for r in similarity.self_weights(single, "d").collect()}
+
+
+def test_near_pairs_are_those_of_all_pairs(spark):
+    """Copies with changes, references and others; the pairs within the distance, without the pairs of k-mers that all have."""
+    rng = np.random.default_rng(9)
+    common, rows = "".join(rng.choice(list("ACGT"), 40)), []
+    for d in range(40):
+        seq = np.array(list("".join(np.random.default_rng(d // 4).choice(list("ACGT"), 300)) + common))
+        seq[rng.integers(0, 340, d % 4 * 2)] = "A"
+        rows.append((d, "".join(seq), [True, False, False, None][d % 4] if d < 36 else d % 2 == 0))
+    df = spark.createDataFrame(rows, "d long, seq string, is_ref boolean")
+    counts = superkmers.patterns(df, "seq", 15, "d").cache()
+    refs = df.where("is_ref IS NOT NULL").select(F.col("d").alias("name"), "is_ref")
+    got = sorted(map(tuple, similarity.near(counts, "d", refs, 0.3).collect()))
+    is_ref = {d: x for d, _, x in rows}
+    every = similarity.distances(counts, "d").select("i", "j", "m", F.round("dist", 6)).collect()
+    want = [(i, j, m, x) if is_ref[i] else (j, i, m, x) for i, j, m, x in every if x <= 0.3 and {is_ref[i], is_ref[j]} == {True, False}]
+    assert got == sorted(want) and len(want) > 5
+
+
+def test_matrix_of_groups_is_that_of_all_pairs(spark, sf_dir):
+    from allelespan.plans import pair_queries as P
+
+    got = P._matrix(spark, sf_dir).cache()
+    group = {r["i"]: r["group_id"] for r in got.where("i = j").collect()}
+    found = {(r["i"], r["j"]): r["m"] for r in got.where("i <> j").collect()}
+    whole = similarity.gram(P._counts(spark, sf_dir), "doc_id").collect()
+    assert found == {(r["i"], r["j"]): r["m"] for r in whole if group[r["i"]] == group[r["j"]]} and found

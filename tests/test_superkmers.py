@@ -147,7 +147,7 @@ def test_patterns_stand_for_the_kmers_of_equal_owners(spark):
 
 
 def test_near_pairs_are_those_of_all_pairs(spark):
-    """Copies with changes, references and others; the pairs within the distance, without the pairs of k-mers that all have."""
+    """Copies with changes, references, others and rows that are neither, with k-mers that all have."""
     rng = np.random.default_rng(9)
     common, rows = "".join(rng.choice(list("ACGT"), 40)), []
     for d in range(40):

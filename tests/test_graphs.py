@@ -193,6 +193,26 @@ def test_exact_hits_are_all_maximal_matches(spark):
     assert all(r.g == "g" and r.rend - r.rstart == r.end - r.start for r in got)
 
 
+def test_hits_do_not_depend_on_blocks(spark, monkeypatch):
+    """Pairs are found in tasks that hold two blocks; few or many blocks give the same hits. Of exact hits those that none holds stay."""
+    rng = random.Random(14)
+    units = [bases(rng, 400) for _ in range(3)]
+    seqs = [bases(rng, 150) + (units[i % 3] if i % 2 else turned(units[i % 3])) + bases(rng, 90) + units[i % 2][:200] for i in range(12)]
+    rows = spark.createDataFrame([("g", f"s{i}", s, i) for i, s in enumerate(seqs)], "g string, segment string, seq string, place int").cache()
+    alleles = rows.select("g", F.col("segment").alias("name"), "seq")
+    found = []
+    for block, together in ((1 << 22, 1 << 19), (1500, 40)):
+        monkeypatch.setattr(repeats, "BLOCK", block)
+        monkeypatch.setattr(repeats, "TOGETHER", together)
+        found.append(({tuple(r) for r in repeats.self_hits(rows, "g").collect()}, {tuple(r) for r in repeats.exact_hits(alleles, rows, "g", 31).collect()}))
+    assert found[0] == found[1] and len(found[0][0]) > 20
+    monkeypatch.undo()
+    whole = repeats.exact_hits(alleles, rows, "g", 31).collect()
+    best = {(r.allele, r.id) for r in repeats.exact_hits(alleles, rows, "g", 31, best=True).collect()}
+    holds = lambda a, b: a.allele == b.allele and a.start <= b.start and b.end <= a.end and (a.score > b.score or a.id < b.id)
+    assert best == {(b.allele, b.id) for b in whole if not any(holds(a, b) for a in whole)} and len(best) < len(whole)
+
+
 def test_chain_by_group_is_that_of_each_group_alone(spark):
     """Two graphs with the same names give what each gives alone: groups do not mix."""
     rng = random.Random(12)

@@ -406,3 +406,20 @@ def test_graph(spark):
     assert got.path == ">s<t" and got.steps[0].cigar == "60=" and (got.steps[1].rstart, got.steps[1].rend) == (10, 150)
     text = spark.createDataFrame([("a", ">s<t", "0_60;10_150")], "allele string, path string, ranges string")
     assert rows(graph.exploded(text)) == [("a", 0, "s", ">", 0, 60), ("a", 1, "t", "<", 10, 150)]
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_sparse_tree_is_that_of_the_whole_matrix(weighted):
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 40, 90):
+        d = np.ones((n, n))
+        pairs = []
+        for i in range(n):
+            for j in range(i + 1, n):
+                if rng.random() < 2 / n:
+                    d[i, j] = d[j, i] = rng.choice([0.0, 0.25, 0.5, 0.5, rng.random()])
+                    pairs.append((i, j, float(d[i, j])))
+        np.fill_diagonal(d, 0)
+        names = [f"n{i}" for i in range(n)]
+        assert cluster.sparse_tree(names, pairs, weighted).newick() == cluster.tree(names, d, weighted).newick()
+    assert len(cluster.sparse_tree([str(i) for i in range(50_000)], [(3, 40_000, 0.1)], weighted).leaves()) == 50_000

@@ -100,6 +100,16 @@ def test_index_keeps_first_places():
         assert index.places(t).tolist() == [first.get(max(t[i : i + 11], turned(t[i : i + 11])), -1) for i in range(len(t) - 10)]
 
 
+def test_set_grows_the_graph_of_the_index_in_less_memory():
+    rng = random.Random(9)
+    base = bases(rng, 3000)
+    alleles = [(f"a{i}", base[: rng.randrange(3000)] + bases(rng, rng.choice((10, 31, 80, 400))) + turned(base[rng.randrange(3000) :])) for i in range(60)]
+    by_set, by_index = growth.Graph(growth.KmerSet()), growth.Graph(growth.KmerIndex())
+    assert [by_set.add(*a) for a in alleles] == [by_index.add(*a) for a in alleles]
+    kept = sum(x.nbytes for x in by_set.finder.runs)
+    assert 2 * kept <= sum(x.nbytes for run in by_index.finder.runs for x in run) and kept == 8 * len(set().union(*(x.tolist() for x in by_set.finder.runs)))
+
+
 def plain_left(hits, size):
     """start, end of what is left of one segment, step by step."""
     used = sorted((a, b) for a, b, place, rplace, x, y in hits if rplace <= place and a > x and a > y)

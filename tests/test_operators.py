@@ -208,6 +208,30 @@ def test_pairs_above_a_threshold(spark, common):
         assert met < whole.count() / 4
 
 
+def test_links_give_the_groups_of_all_pairs(spark):
+    """Sparse groups, in which the smallest name reaches few others at once, and a group of near copies, which takes no more than two rows for each of them."""
+    rng = random.Random(3)
+    ids = rng.sample(range(1000), 180)
+    found = {(ids[i], f"g{i // 15}x{x}"): rng.randrange(1, 4) for i in range(120) for x in range(40) if rng.random() < (0.25 if i % 3 else 0.6)}
+    found |= {(i, f"near{x}"): 1 for i in ids[120:] for x in range(60) if rng.random() < 0.95}
+    found |= {(ids[i], f"both{i % 7}x{x}"): 2 for i in range(0, 180, 9) for x in range(6)}
+    counts = spark.createDataFrame([(a, b, n, 1 + len(b) % 2) for (a, b), n in found.items()], "s long, kmer string, cnt long, weight long")
+    names = spark.createDataFrame([(x,) for x in range(1000)], "name long")
+    whole = similarity.shared_l1(counts, "s").cache()
+    common = 22
+    pairs = whole.where(F.col("shared") > common)
+    links = similarity.linked(counts, "s", common)
+    want = rows(cluster.groups(names, pairs, common))
+    assert rows(cluster.groups(names, links, common)) == want
+    assert links.count() <= 3 * len(ids) < pairs.count() / 3
+    first = similarity.first_links(counts, "s", common)
+    single = rows(cluster.single_pass(names, pairs, common))
+    assert rows(cluster.single_pass(names, first, common)) == single != want
+    assert set(rows(first)) <= set(rows(pairs)) and first.count() < pairs.count() / 3
+    steps = [(0, common), (3, 30)]
+    assert rows(cluster.regrouped_counts(names, counts, "s", steps)) == rows(cluster.regrouped(names, whole, steps)) != want
+
+
 def test_hot_kmers_are_paired_in_blocks(spark):
     counts = spark.createDataFrame([(i, "HOT", i % 3 + 1) for i in range(40)] + [(1, "B", 2), (30, "B", 5)], "s long, kmer string, cnt long")
     want = {(i, j): min(i % 3, j % 3) + 1 + 2 * ((i, j) == (1, 30)) for i in range(40) for j in range(i + 1, 40)}

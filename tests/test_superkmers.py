@@ -172,3 +172,24 @@ def test_matrix_of_groups_is_that_of_all_pairs(spark, sf_dir):
     found = {(r["i"], r["j"]): r["m"] for r in got.where("i <> j").collect()}
     whole = similarity.gram(P._counts(spark, sf_dir), "doc_id").collect()
     assert found == {(r["i"], r["j"]): r["m"] for r in whole if group[r["i"]] == group[r["j"]]} and found
+
+
+def test_arrays_are_cut_into_parts_without_a_seam(monkeypatch):
+    """Small parts give the runs, k-mers and letters that whole arrays give; packed rows begin with a byte of their own."""
+    rng = np.random.default_rng(4)
+    base = rng.choice(5, 3000, p=[0.248] * 4 + [0.008]).astype(np.uint8)
+    for k, m in ((31, 11), (32, 11), (5, 5), (1, 1)):
+        whole = superkmers.runs(base, k, m, 64), superkmers._canonical(base & 3, k)
+        with monkeypatch.context() as patch:
+            patch.setattr(superkmers, "NEAR", 64)
+            parts = superkmers.runs(base, k, m, 64), superkmers._canonical(base & 3, k)
+            starts, size, bucket = parts[0]
+            order = np.argsort(bucket, kind="stable")
+            starts, size, bucket = starts[order], size[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            rows = list(zip(superkmers._cut(size.astype(np.int32), cuts).to_pylist(), superkmers._packed(base, starts, size + k - 1, cuts).to_pylist()))
+            got = superkmers._kmers(rows, k)
+        assert all((a == b).all() for a, b in zip(whole[0], parts[0])) and (whole[1] == parts[1]).all()
+        assert (got == whole[1][np.concatenate([np.arange(a, a + n) for a, n in zip(starts, size)])]).all()
+        word = superkmers._letters(whole[1][:50], k).to_pylist()
+        assert word == ["".join("ACGT"[int(x) >> 2 * i & 3] for i in range(k - 1, -1, -1)) for x in whole[1][:50]]

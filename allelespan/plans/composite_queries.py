@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelespan.operators import cluster, graph, repeats
+from allelespan.operators import kmer as K
 from allelespan.plans import function_queries as N
 from allelespan.plans import interval_queries as E
 from allelespan.plans import kmer_queries as Q
@@ -72,7 +73,8 @@ def _mode(mode: int, key: str, targeted: bool = True):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = Q.documents(spark, sf_dir).select(F.col("doc_id").alias("name"), "seq")
         if mode == 3:
-            docs = docs.join(_read(spark, sf_dir, "labels").select(F.col("doc_id").alias("name"), (F.col("toxic") == 1).alias("excluded")), "name")
+            labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("name"), (F.col("toxic") == 1).alias("excluded"))
+            docs = docs.join(K.probe(labels, K.bounded(labels)), "name")
         targets = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("target"), Q.S.bridge("text").alias("seq"))
         return pipelines.convert(mode, docs, targets if targeted else None, Q.LEN)[key]
 

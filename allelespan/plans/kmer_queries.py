@@ -47,7 +47,8 @@ def kmer_dual_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _read(spark, sf_dir, "labels").where("toxic IN (0, 1)").select("doc_id", (F.col("toxic") == 1).alias("toxic"))
-    return superkmers.judged(documents(spark, sf_dir).join(labels, "doc_id"), "seq", LEN, "toxic", superkmers.of_sets, "kmer string, excluded boolean")
+    # sequences stay where they are read while labels are few enough
+    return superkmers.judged(documents(spark, sf_dir).join(K.probe(labels, K.bounded(labels)), "doc_id"), "seq", LEN, "toxic", superkmers.of_sets, "kmer string, excluded boolean")
 
 
 def kmer_set_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

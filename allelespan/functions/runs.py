@@ -1,4 +1,4 @@
-"""Base-level walks as arithmetic over runs, in columns of Spark's own functions.
+"""Base-level walks as arithmetic over runs, in columns of Spark's own functions, or of arrays for rows of an alignment.
 
 An alignment is written out as one letter for each of its columns; runs of a letter come from one pattern match, and what is
 added up is a row for each run, never one for each base in Python.
@@ -6,6 +6,8 @@ added up is a row for each run, never one for each base in Python.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,11 +33,33 @@ def compared(a: Column, b: Column) -> Column:
     return F.array_join(F.zip_with(F.split(F.upper(a), ""), F.split(F.upper(b), ""), lambda x, y: F.when(x == y, "=").otherwise("X")), "")
 
 
+def _gapped_cigar(query: str, ref: str) -> str:
+    wide = not (query.isascii() and ref.isascii())
+    code, kind = ("utf-32-le", np.uint32) if wide else ("ascii", np.uint8)
+    (a, b), (x, y) = ([np.frombuffer(s.encode(code), kind) for s in pair] for pair in ((query, ref), (query.upper(), ref.upper())))
+    n = min(len(a), len(b))
+    if len(x) != len(a) or len(y) != len(b):  # a letter of several in upper case
+        x, y = (np.array([c.upper() for c in s], object) for s in (query, ref))
+    a, b, same = a[:n], b[:n], x[:n] == y[:n]
+    gap, other = a == ord("-"), b == ord("-")
+    op = np.where(gap, np.where(other, 0, ord("D")), np.where(other, ord("I"), np.where(same, ord("="), ord("X"))))
+    op = op[op > 0].astype(np.uint8)
+    if not len(op):
+        return ""
+    at = np.flatnonzero(np.diff(op, prepend=0))
+    moved = np.concatenate(([0], np.cumsum(op != ord("D"))))  # query bases before each column
+    size = np.diff(np.append(at, len(op)))
+    bases = query.replace("-", "")
+    return "".join([f"{n}{o}{bases[s:e]}" if o in "XI" else f"{n}{o}" for n, o, s, e in zip(size.tolist(), op[at].tobytes().decode(), moved[at].tolist(), moved[at + size].tolist())])
+
+
 def from_gapped(query: Column, ref: Column) -> Column:
     """CIGAR of two rows of an alignment, query bases after X and I; I is what the query has more. Columns of two gaps go."""
-    both = F.arrays_zip(F.split(query, "").alias("a"), F.split(ref, "").alias("b"))
-    letter = lambda x: F.when((x["a"] == "-") & (x["b"] == "-") | (x["a"] == ""), "").when(x["a"] == "-", "D").when(x["b"] == "-", "I").when(F.upper(x["a"]) == F.upper(x["b"]), "=").otherwise("X")
-    return run_lengths(F.array_join(F.transform(both, letter), ""), F.replace(query, F.lit("-"), F.lit("")), "=XI", "XI")
+
+    def made(query: pd.Series, ref: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None or b is None else _gapped_cigar(a, b) for a, b in zip(query, ref)], dtype=object)
+
+    return F.pandas_udf(made, "string")(query, ref)
 
 
 def extended(cigar: Column, ref: Column, query: Column) -> Column:
@@ -68,3 +92,18 @@ def ungapped_places(row: Column) -> Column:
 
     end = F.aggregate(runs, zero, add)
     return F.array_append(end["out"], end["n"])
+
+
+def _bases(row: str) -> np.ndarray:
+    code, kind = ("ascii", np.uint8) if row.isascii() else ("utf-32-le", np.uint32)
+    return np.frombuffer(row.encode(code), kind) != ord("-")
+
+
+def places_text(row: Column, gapped: bool) -> Column:
+    """gapped_places(), else ungapped_places(), joined by commas, without an array of the places in Spark."""
+
+    def made(row: pd.Series) -> pd.Series:
+        places = lambda base: np.append(np.flatnonzero(base), len(base)) if gapped else np.concatenate(([0], np.cumsum(base)))
+        return pd.Series([None if x is None else ",".join(map(str, places(_bases(x)).tolist())) for x in row], dtype=object)
+
+    return F.pandas_udf(made, "string")(row)

@@ -71,8 +71,7 @@ def gapped_cigar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gapped_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = lambda places: F.md5(F.array_join(places.cast("array<string>"), ","))
-    return _gapped(spark, sf_dir).select("doc_id", text(runs.gapped_places(F.col("q"))).alias("gapped"), text(runs.ungapped_places(F.col("q"))).alias("ungapped"))
+    return _gapped(spark, sf_dir).select("doc_id", F.md5(runs.places_text(F.col("q"), True)).alias("gapped"), F.md5(runs.places_text(F.col("q"), False)).alias("ungapped"))
 
 
 def extended_cigar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,21 @@ def test_gapped_rows_against_walks(spark):
         assert x.g == cigar.gapped_places(x.q) and x.u == cigar.ungapped_places(x.q)
 
 
+def test_long_gapped_rows_take_no_row_of_spark_for_each_base(spark):
+    """Letters of several bytes, or of two in upper case, rows without bases, nulls and a long row; no array in the plan."""
+    rng = random.Random(5)
+    pairs = [("", ""), ("--", "--"), ("-é", "É-"), ("ßa-é", "ßA\u0131E"), ("".join(rng.choice("ACGTa-") for _ in range(300_000)), "".join(rng.choice("ACGTa-") for _ in range(300_000))), (None, "A")]
+    df = spark.createDataFrame(pairs, "q string, r string")
+    made = df.select("q", "r", runs.from_gapped(F.col("q"), F.col("r")).alias("c"), runs.places_text(F.col("q"), True).alias("g"), runs.places_text(F.col("q"), False).alias("u"))
+    assert "arrays_zip" not in made._jdf.queryExecution().toString()
+    for x in made.collect():
+        if x.q is None:
+            assert (x.c, x.g, x.u) == (None, None, None)
+        else:
+            assert x.c == cigar.from_gapped(x.q, x.r)
+            assert x.g == ",".join(map(str, cigar.gapped_places(x.q))) and x.u == ",".join(map(str, cigar.ungapped_places(x.q)))
+
+
 def test_extended_against_walks(spark):
     rng = random.Random(2)
     rows = []

@@ -447,3 +447,12 @@ def test_sparse_tree_is_that_of_the_whole_matrix(weighted):
         names = [f"n{i}" for i in range(n)]
         assert cluster.sparse_tree(names, pairs, weighted).newick() == cluster.tree(names, d, weighted).newick()
     assert len(cluster.sparse_tree([str(i) for i in range(50_000)], [(3, 40_000, 0.1)], weighted).leaves()) == 50_000
+
+
+def test_set_overlaps_follow_the_number_of_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(similarity, "DEALT", 20)
+    a, b = ([(i, [rng.randrange(40) for _ in range(6)]) for i in range(50)] for _ in range(2))
+    got = similarity.set_overlaps(spark.createDataFrame(a, "id long, items array<int>"), spark.createDataFrame(b, "id2 long, items2 array<int>"))
+    assert rows(got) == sorted((i, j, len(set(x) & set(y))) for i, x in a for j, y in b if set(x) & set(y))
+    assert "partial_count" not in got._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]

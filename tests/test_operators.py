@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from allelespan.functions import seq as S
-from allelespan.operators import annotate, cluster, graph, interval, kmer, similarity
+from allelespan.operators import annotate, blocks, cluster, graph, interval, kmer, similarity
 
 SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -456,3 +456,43 @@ def test_set_overlaps_follow_the_number_of_rows(spark, monkeypatch):
     got = similarity.set_overlaps(spark.createDataFrame(a, "id long, items array<int>"), spark.createDataFrame(b, "id2 long, items2 array<int>"))
     assert rows(got) == sorted((i, j, len(set(x) & set(y))) for i, x in a for j, y in b if set(x) & set(y))
     assert "partial_count" not in got._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
+
+
+@pytest.mark.parametrize("product", [False, True])
+def test_pairs_of_blocks_are_those_of_a_join(spark, monkeypatch, product):
+    """Many blocks and pieces, an even and an odd number of blocks, a sequence of no pair, one without a name; no row for each k-mer of a pair is sent."""
+    rng = random.Random(12)
+    counts = [(i, x, rng.randrange(1, 5), 1 + x % 3) for i in range(90) for x in rng.sample(range(60), 6)] + [(200, 900, 3, 4), (None, 1, 1, 2)]
+    df = spark.createDataFrame(counts, "s long, kmer long, cnt long, weight long").cache()
+    value = F.col("ci") * F.col("cj") if product else F.least("ci", "cj")
+    want = rows(similarity._pairs(df, "s").groupBy("i", "j").agg(F.sum(value * F.col("weight")).alias("m")))
+    assert want
+    for n in (1, 4, 7):
+        monkeypatch.setattr(blocks, "TINY", 10 if n > 1 else 10_000)
+        monkeypatch.setattr(blocks, "BLOCKS", n)
+        monkeypatch.setattr(blocks, "PIECE", 9)
+        got = blocks.paired(df, "s", product)
+        assert rows(got) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        # with sides, every pair of a true and a false one, the true one first
+        sided = df.withColumn("is_ref", F.when(F.col("s") % 4 < 2, F.col("s") % 4 == 0))
+        kind = lambda x: {0: True, 1: False}.get(x % 4)
+        both = [(i, j, m) if kind(i) else (j, i, m) for i, j, m in want if {kind(i), kind(j)} == {True, False}]
+        assert rows(blocks.paired(sided, "s", product, "is_ref")) == sorted(both)
+
+
+def test_sums_of_a_pair_are_added_up_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    name, kmer = (x.ravel() for x in np.meshgrid(np.arange(20) * 7 + 3, np.arange(30)))
+    cnt = rng.integers(1, 5, len(name))
+    a, b = (blocks.Rows(name, kmer, n, np.full(len(name), w)) for n, w in ((cnt, 2), (cnt[::-1], 2)))
+    flat = lambda: sorted(x for i, j, m in blocks.sums(a, b, True) for x in zip(i.tolist(), j.tolist(), m.tolist()))
+    want = flat()
+    m = cnt.reshape(30, 20)
+    assert [x[2] for x in want] == (2 * m.T @ cnt[::-1].reshape(30, 20)).ravel().tolist()
+    for most in (1, 50, 333, 5000):
+        monkeypatch.setattr(blocks, "MOST", most)
+        assert flat() == want
+    huge = blocks.Rows(np.array([1, 1]), np.array([5, 6]), np.array([2**30, 1]), np.array([1, 1]))
+    assert [m.tolist() for _, _, m in blocks.sums(huge, huge, True)] == [[2**60 + 1]]

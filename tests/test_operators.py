@@ -496,3 +496,25 @@ def test_sums_of_a_pair_are_added_up_in_parts(monkeypatch):
         assert flat() == want
     huge = blocks.Rows(np.array([1, 1]), np.array([5, 6]), np.array([2**30, 1]), np.array([1, 1]))
     assert [m.tolist() for _, _, m in blocks.sums(huge, huge, True)] == [[2**60 + 1]]
+
+
+def test_trees_of_many_groups_are_made_in_batches(spark):
+    """Groups of one, a group without a name and one that batches cut; Python is not called anew for each group."""
+    rng = random.Random(8)
+    large = [(-5, i, j, float(rng.randrange(1, 90)) if i < j else 100.0) for i in range(200) for j in range(i, 200)]
+    none = [(None, 7000, 7000, 5.0), (None, 7001, 7001, 5.0), (None, 7000, 7001, 4.0)]
+    df = spark.createDataFrame([*large, *none, *((g, 9000 + g, 9000 + g, 3.0) for g in range(500))], "g long, i long, j long, m double")
+    d = np.zeros((200, 200))
+    for _, i, j, m in large:
+        d[i, j] = d[j, i] = m
+    names = sorted(range(200))
+    root = cluster.tree([str(x) for x in names], cluster._distances(d))
+    found = cluster.trees(df, "g")
+    got = {r.g: (r.newick, r.leaves) for r in found.collect()}
+    assert got[-5] == (root.newick() + ";", [x.name for x in root.leaves()])
+    assert sorted(got[None][1]) == ["7000", "7001"] and got[3] == ("9003:0.0000000;", ["9003"]) and len(got) == 502
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+    typed = cluster.types(df, "g")
+    assert typed.count() == 702 and rows(typed.where("g >= 0").select("type").distinct()) == [(1,)]
+    want = cluster.typed(root, cluster.clades(root, {str(x): x for x in names}, d))
+    assert {r.name: r.type for r in typed.where("g = -5").collect()} == want

@@ -518,3 +518,18 @@ def test_trees_of_many_groups_are_made_in_batches(spark):
     assert typed.count() == 702 and rows(typed.where("g >= 0").select("type").distinct()) == [(1,)]
     want = cluster.typed(root, cluster.clades(root, {str(x): x for x in names}, d))
     assert {r.name: r.type for r in typed.where("g = -5").collect()} == want
+
+
+def test_pairs_are_not_sent_again_for_their_sequences(spark):
+    """Distances and containment: what each sequence has goes to the pairs, which stay where they are made."""
+    counts = spark.createDataFrame([(i, x, 1 + i % 3, 1) for i in range(12) for x in range(i % 4, 9)], "s long, kmer long, cnt long, weight long")
+    shared = similarity.shared_l1(counts, "s")
+    sizes = counts.groupBy(F.col("s").alias("name")).agg(F.sum("cnt").alias("size"))
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for got in (similarity.distances(counts, "s"), similarity.containment(shared, sizes)):
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and got.count() == 66
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
